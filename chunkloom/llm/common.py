@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -67,8 +68,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder, so that a lost executor loses nothing."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    out = df.checkpoint(eager=True)
+    del df
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()  # shuffles that nothing refers to any more give up their files
+    return out
 
 
 def held_out(doc_id) -> F.Column:

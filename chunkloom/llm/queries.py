@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import language_id, secrets, sentencepiece_codec, toxicity, wordpiece_counts
+from . import jaccard_join, language_id, secrets, sentencepiece_codec, toxicity, wordpiece_counts
 from .common import table
 
 
@@ -16,6 +16,10 @@ def op1_language_id(spark, sf_dir):
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op2_jaccard_join(spark, sf_dir):
+    return jaccard_join.jaccard_groups(table(spark, sf_dir, "documents"))
+
+
 def op4_secret_scan(spark, sf_dir):
     return secrets.secret_spans(table(spark, sf_dir, "documents"))
 
@@ -33,7 +37,7 @@ def op7_token_counts(spark, sf_dir):
 
 
 def queries():
-    return {f.__name__: f for f in (op1_language_id, op4_secret_scan, op5_sentencepiece, op6_toxicity, op7_token_counts)}
+    return {f.__name__: f for f in (op1_language_id, op2_jaccard_join, op4_secret_scan, op5_sentencepiece, op6_toxicity, op7_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
