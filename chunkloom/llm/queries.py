@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import jaccard_join, language_id, secrets, sentencepiece_codec, toxicity, wordpiece_counts
+from . import embedding_dedup, jaccard_join, language_id, secrets, sentencepiece_codec, toxicity, wordpiece_counts
 from .common import table
 
 
@@ -36,8 +36,12 @@ def op7_token_counts(spark, sf_dir):
     return wordpiece_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op9_embedding_dedup(spark, sf_dir):
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def queries():
-    return {f.__name__: f for f in (op1_language_id, op2_jaccard_join, op4_secret_scan, op5_sentencepiece, op6_toxicity, op7_token_counts)}
+    return {f.__name__: f for f in (op1_language_id, op2_jaccard_join, op4_secret_scan, op5_sentencepiece, op6_toxicity, op7_token_counts, op9_embedding_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
