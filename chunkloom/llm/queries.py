@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import embedding_dedup, jaccard_join, language_id, secrets, sentencepiece_codec, toxicity, wordpiece_counts
+from . import embedding_dedup, jaccard_join, language_id, line_dedup, secrets, sentencepiece_codec, toxicity, wordpiece_counts
 from .common import table
 
 
@@ -20,6 +20,10 @@ def op2_jaccard_join(spark, sf_dir):
     return jaccard_join.jaccard_groups(table(spark, sf_dir, "documents"))
 
 
+def op3_line_dedup(spark, sf_dir):
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+
+
 def op4_secret_scan(spark, sf_dir):
     return secrets.secret_spans(table(spark, sf_dir, "documents"))
 
@@ -41,7 +45,7 @@ def op9_embedding_dedup(spark, sf_dir):
 
 
 def queries():
-    return {f.__name__: f for f in (op1_language_id, op2_jaccard_join, op4_secret_scan, op5_sentencepiece, op6_toxicity, op7_token_counts, op9_embedding_dedup)}
+    return {f.__name__: f for f in (op1_language_id, op2_jaccard_join, op3_line_dedup, op4_secret_scan, op5_sentencepiece, op6_toxicity, op7_token_counts, op9_embedding_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
