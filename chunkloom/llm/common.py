@@ -57,6 +57,17 @@ def map_texts(df: DataFrame, id_col: str, text_col: str, row: Callable, schema:
     return df.select(id_col, text_col).mapInArrow(run, full)
 
 
+def filter_texts(df: DataFrame, text_col: str, keep: Callable) -> DataFrame:
+    """Rows whose text ``keep`` accepts, with all their columns and without a shuffle."""
+    at = df.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([keep(t) for t in batch.column(at).to_pylist()], pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The session's shared checkpoint folder; one is made only where none is set, as in tests."""
     sc = spark.sparkContext

@@ -15,6 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import cut
 from .components import components
@@ -283,6 +284,18 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Within a document the first of equal lines stays. Rows that repeat an id count as one document, so they
     don't take lines from each other; rows with a null id come last in order.
     """
+    out, key, at = _rewritten(docs, id_col, text_col, edits, min_chars)
+    return out.select(F.col(f"c{key}").alias(id_col), F.col(f"c{at}").alias(text_col), "n_lines", "n_dropped")
+
+
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+    """``docs`` with all its columns and its repeated lines dropped; documents that lose every line go."""
+    out, _, at = _rewritten(docs, id_col, text_col, edits, min_chars)
+    kept = out.where((F.col("n_dropped") == 0) | F.coalesce(F.col(f"c{at}").rlike(r"\\S"), F.lit(True)))
+    return kept.drop("n_lines", "n_dropped").toDF(*docs.columns)
+
+
+def _rewritten(docs: DataFrame, id_col: str, text_col: str, edits: int, min_chars: int):
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     dense = source.select(F.coalesce("id", F.lit(2**63 - 1)).alias("id"), "text")
     lines = cut(_lines(dense, min_chars))
@@ -294,10 +307,14 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rules = cut(placed.select("h1", "h2", "group").join(best, "group").select("h1", "h2", F.col("best.doc").alias("keep_doc"), ((F.col("best.h1") == F.col("h1")) & (F.col("best.h2") == F.col("h2"))).alias("is_best")))
     gone = lines.join(rules, ["h1", "h2"]).where(~(F.col("is_best") & (F.col("id") == F.col("keep_doc")))).groupBy("id").agg(F.collect_set("line_no").alias("gone"))
 
+    renamed = docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))
+    key, at, width = docs.columns.index(id_col), docs.columns.index(text_col), len(docs.columns)
+    schema = T.StructType([*renamed.schema, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
+
     def run(batches):
         for batch in batches:
             texts, totals, dropped = [], [], []
-            for text, drop in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            for text, drop in zip(batch.column(at).to_pylist(), batch.column(width).to_pylist(), strict=True):
                 if text is None:
                     texts.append(None)
                     totals.append(0)
@@ -316,8 +333,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 texts.append("\n".join(out))
                 totals.append(len(all_lines))
                 dropped.append(len(all_lines) - len(out))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array(totals, pa.int64()), pa.array(dropped, pa.int64())], names=["id", "text", "n_lines", "n_dropped"])
+            columns = [pa.array(texts, pa.string()) if k == at else batch.column(k) for k in range(width)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(totals, pa.int64()), pa.array(dropped, pa.int64())], names=schema.names)
 
-    keyed = source.withColumn("_k", F.coalesce("id", F.lit(2**63 - 1))).join(gone.withColumnRenamed("id", "_k"), "_k", "left")
-    out = keyed.select("id", "text", "gone").mapInArrow(run, "id long, text string, n_lines long, n_dropped long")
-    return out.withColumnRenamed("id", id_col).withColumnRenamed("text", text_col)
+    keyed = renamed.withColumn("k", F.coalesce(F.col(f"c{key}").cast("long"), F.lit(2**63 - 1))).join(gone.withColumnRenamed("id", "k"), "k", "left")
+    out = keyed.select(*renamed.columns, "gone").mapInArrow(run, schema)
+    return out, key, at

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from . import embedding_dedup, jaccard_join, language_id, line_dedup, secrets, sentencepiece_codec, toxicity, wordpiece_counts
+from . import decontamination, embedding_dedup, jaccard_join, language_id, line_dedup, secrets, sentencepiece_codec, surrogates, toxicity, wordpiece_counts
 from .common import table
 
 
+#: A key for the registered query; users pass their own.
+PSEUDONYM_KEY = "example key"
+
+
 def tokenizer_file() -> str:
     import public_tokenizers
 
@@ -40,12 +44,20 @@ def op7_token_counts(spark, sf_dir):
     return wordpiece_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op8_decontamination(spark, sf_dir):
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_embedding_dedup(spark, sf_dir):
     return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op10_surrogates(spark, sf_dir):
+    return surrogates.pseudonymize(table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
+
+
 def queries():
-    return {f.__name__: f for f in (op1_language_id, op2_jaccard_join, op3_line_dedup, op4_secret_scan, op5_sentencepiece, op6_toxicity, op7_token_counts, op9_embedding_dedup)}
+    return {f.__name__: f for f in (op1_language_id, op2_jaccard_join, op3_line_dedup, op4_secret_scan, op5_sentencepiece, op6_toxicity, op7_token_counts, op8_decontamination, op9_embedding_dedup, op10_surrogates)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Shipped, held_out, map_texts
+from .common import Shipped, filter_texts, held_out, map_texts
 
 # Common insults with a prior weight, and phrases in which an entry is harmless.
 BASE_WORDS = "idiot moron stupid scum loser pathetic worthless disgusting trash clown imbecile dumbass bastard retard".split()
@@ -187,3 +187,9 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Learn outside the held-out fold, then score all documents."""
     scored = score_texts(docs, learn(docs, labels))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def drop_toxic(docs: DataFrame, model: tuple[dict[str, float], float, float], least: float = 0.5, text_col: str = "text") -> DataFrame:
+    """Rows of ``docs`` whose score is below ``least``; null and empty texts stay."""
+    shipped = Shipped(docs.sparkSession, model)
+    return filter_texts(docs, text_col, lambda text: not text or shipped.built(lambda m: Lexicon(*m)).score(text) < least)
