@@ -1,10 +1,62 @@
-"""A training corpus from ``documents`` in stages, each written and read again."""
+"""A training corpus from ``documents`` in five stages, each written and read again.
+
+Each stage takes all rows its predecessor kept. All but the last return the columns of ``documents``.
+SQL can't express the learned, approximate-string and tokenizer stages, so there is no ORACLE_SQL; the
+tests hold the stages against plain Python on a small corpus.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from chunkloom.llm import decontamination, jaccard_join, line_dedup, sentencepiece_codec, toxicity
+from chunkloom.llm.common import cut, table
+from chunkloom.llm.queries import tokenizer_file
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents whose toxicity score is 0.5 or more."""
+    return toxicity.drop_toxic(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without lines that repeat an earlier one up to two edits; n_chars follows the text."""
+    kept = line_dedup.without_repeats(docs)
+    return kept.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, that with the least id."""
+    groups = jaccard_join.jaccard_groups(docs)
+    others = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_other")).distinct()
+    return docs.join(others, F.col("doc_id") == F.col("_other"), "left_anti")
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that hold a benchmark item."""
+    return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of the ids and of the decoded text."""
+    return sentencepiece_codec.encode_decode(docs, tokenizer_file())
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line dedup", drop_repeated_lines),
+    ("n-gram Jaccard join", drop_near_duplicates),
+    ("benchmark decontamination", drop_contaminated),
+    ("SentencePiece", encode),
+]
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for k, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = cut(docs)
+    return docs
