@@ -291,7 +291,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """``docs`` with all its columns and its repeated lines dropped; documents that lose every line go."""
     out, _, at = _rewritten(docs, id_col, text_col, edits, min_chars)
-    kept = out.where((F.col("n_dropped") == 0) | F.coalesce(F.col(f"c{at}").rlike(r"\\S"), F.lit(True)))
+    kept = out.where((F.col("n_dropped") == 0) | F.coalesce(F.col(f"c{at}").rlike(r"\S"), F.lit(True)))
     return kept.drop("n_lines", "n_dropped").toDF(*docs.columns)
 
 
