@@ -24,11 +24,11 @@ def pack(counts: Column, budget: int, overlap_tokens: int = 0, overlap_items: in
     back over the items that cover ``overlap_tokens``, or over ``overlap_items`` items, but starts after
     the previous start. Packing ends with the chunk that holds the last item.
     """
-    sums, n = prefix_sums(counts), F.size(counts)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<first:int,last:int,tokens:bigint>>").alias("out"))
+    start = F.struct(prefix_sums(counts).alias("sums"), F.lit(0).alias("at"), F.array().cast("array<struct<first:int,last:int,tokens:bigint>>").alias("out"))
 
     def step(state, _):
-        at = state["at"]
+        at, sums = state["at"], state["sums"]  # in the state, so that they are worked out once
+        n = F.size(sums) - 1
         base = F.get(sums, at)
         fits = (F.size(F.filter(sums, lambda s, i: (i > at) & (s <= base + budget))) + at).cast("int")
         end = F.greatest(fits, at + 1)
@@ -38,7 +38,7 @@ def pack(counts: Column, budget: int, overlap_tokens: int = 0, overlap_items: in
         else:
             following = F.greatest(at + 1, end - overlap_items)
         row = F.struct((at + 1).alias("first"), end.alias("last"), (F.get(sums, end) - base).alias("tokens"))
-        moved = F.struct(F.when(end >= n, n).otherwise(following).alias("at"), F.concat(state["out"], F.array(row)).alias("out"))
+        moved = F.struct(sums.alias("sums"), F.when(end >= n, n).otherwise(following).alias("at"), F.concat(state["out"], F.array(row)).alias("out"))
         return F.when(at >= n, state).otherwise(moved)
 
     return F.aggregate(counts, start, step)["out"]

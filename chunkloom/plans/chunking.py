@@ -130,10 +130,10 @@ def _pack_sql(items: str, budget: int, following: str) -> str:
     """Chunks of (doc, c: list of counts) by a recursion over chunks; p holds 0 and the running sums."""
     return f"""WITH RECURSIVE items AS ({items}),
 sums AS (SELECT doc, len(c) AS n, list_transform(range(0, len(c) + 1), lambda i: CAST(coalesce(list_sum(c[1:i]), 0) AS BIGINT)) AS p FROM items WHERE len(c) > 0),
-w AS (SELECT doc, n, p, CAST(0 AS BIGINT) AS at, CAST(0 AS BIGINT) AS k, greatest(CAST(1 AS BIGINT), CAST(len(list_filter(p, lambda s: s <= {budget})) - 1 AS BIGINT)) AS e FROM sums
+w AS (SELECT doc, n, p, CAST(0 AS BIGINT) AS lo, CAST(0 AS BIGINT) AS k, greatest(CAST(1 AS BIGINT), CAST(len(list_filter(p, lambda s: s <= {budget})) - 1 AS BIGINT)) AS e FROM sums
 UNION ALL SELECT doc, n, p, nx, k + 1, greatest(nx + 1, CAST(len(list_filter(p, lambda s: s <= p[nx + 1] + {budget})) - 1 AS BIGINT)) FROM (
-SELECT *, CAST(greatest(at + 1, {following}) AS BIGINT) AS nx FROM w WHERE e < n))
-SELECT doc, k AS chunk_no, at + 1 AS item_first, e AS item_last, p[e + 1] - p[at + 1] AS tokens FROM w"""
+SELECT *, CAST(greatest(lo + 1, {following}) AS BIGINT) AS nx FROM w WHERE e < n))
+SELECT doc, k AS chunk_no, lo + 1 AS item_first, e AS item_last, p[e + 1] - p[lo + 1] AS tokens FROM w"""
 
 
 @query(_pack_sql(r"SELECT doc_id AS doc, list_transform(string_split(text, chr(10)), lambda l: len(list_filter(regexp_split_to_array(l, '\s+'), lambda t: t <> ''))) AS c FROM documents", 200, "len(list_filter(p, lambda s: s <= p[e + 1] - 20)) - 1"))

@@ -114,7 +114,7 @@ def ocr_line_filter(spark, d):
 
 
 @query(
-    """SELECT r_regionkey, '| name | key |' || chr(10) || '| --- | --- |' || chr(10) || string_agg('| ' || n_name || ' | ' || n_nationkey || ' |', chr(10) ORDER BY n_nationkey) AS markdown,
+    """SELECT CAST(r_regionkey AS BIGINT) AS r_regionkey, '| name | key |' || chr(10) || '| --- | --- |' || chr(10) || string_agg('| ' || n_name || ' | ' || n_nationkey || ' |', chr(10) ORDER BY n_nationkey) AS markdown,
 'name' || chr(9) || 'key' || chr(10) || string_agg(n_name || chr(9) || n_nationkey, chr(10) ORDER BY n_nationkey) AS tsv, TRUE AS valid FROM region JOIN nation ON n_regionkey = r_regionkey GROUP BY r_regionkey"""
 )
 def table_text(spark, d):
