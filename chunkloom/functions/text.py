@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,8 +20,6 @@ def line_canonicalize(text: Column) -> Column:
 
 def nfkc(text: Column) -> Column:
     """Unicode NFKC for texts outside ASCII; needs Python, so it stays out of the other expressions."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def run(s: pd.Series) -> pd.Series:
         return s.str.normalize("NFKC")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -87,8 +88,6 @@ def hash_embedding(dimensions: int) -> Callable[[Column], Column]:
 
 def apply_model(df: DataFrame, column: str, output: str, model: Callable[[list], list], returns: str) -> DataFrame:
     """A model service as Arrow batches: ``model`` maps a list of inputs to a list of outputs of equal length."""
-    import pandas as pd
-
     @F.pandas_udf(returns)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
