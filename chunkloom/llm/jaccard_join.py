@@ -3,8 +3,9 @@
 1. Documents with equal shingle sets become one class; only its least id goes on.
 2. A pair with Jaccard similarity of at least t shares, among the shingles with the lowest hashes, more
    than chance leaves: with the first (1-t)n + k of n each, at least min(k) of them. Shingles that occur in
-   one class alone can't be shared, so classes with fewer others than that drop out; the rest need only be
-   looked up under their rarest ones, one of which each partner has as well.
+   one class alone can't be shared, so classes with fewer others than that drop out. The whole sets of the
+   rest are counted in the same way: what a class shares with any other bounds what it shares with one, and
+   it need only be looked up under its rarest shingles, one of which each partner has as well.
 3. Classes are partitioned into groups: each is linked to the class with which it leads most of its rare
    shingles, if the exact similarity allows, and the components of these links, in bounded parts, are the
    groups. The matrix holds each group's shingle union as a row of hashed bits.
@@ -150,6 +151,21 @@ def _prefixes(docs: DataFrame, width: int, percent: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, n int, f1 long, f2 long, prefix array<long>")
 
 
+def _tokens(width: int):
+    """One row (id, n, token) for each shingle of (id, text, n)."""
+
+    def run(batches):
+        for batch in batches:
+            for k in range(0, len(batch), 256):
+                part = batch.slice(k, 256)
+                sets = [shingle_hashes(t, width) for t in part.column(1).to_pylist()]
+                sizes = list(map(len, sets))
+                ids = np.repeat(part.column(0).to_numpy(), sizes)
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.repeat(np.array(sizes, np.int32), sizes)), pa.array(np.concatenate(sets).view(np.int64))], names=["id", "n", "token"])
+
+    return run
+
+
 def _with_bits(texts: DataFrame, width: int) -> DataFrame:
     def run(batches):
         for batch in batches:
@@ -200,17 +216,17 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
 
 
 def _unions(members: DataFrame) -> DataFrame:
-    """(group, bits, least, most): a group's union of bits and its extreme sizes. Groups are of bounded size."""
+    """(group, bits): a group's union of bits. Groups are of bounded size."""
 
     def run(key, batch):
-        bits, sizes = batch.column("bits").to_pylist(), batch.column("n").to_pylist()
+        bits = batch.column("bits").to_pylist()
         size = min(map(len, bits))
         out = np.zeros(size, np.uint8)
         for b in bits:
             out |= _folded(np.frombuffer(b, np.uint8), size)
-        return pa.table({"group": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([out.tobytes()], pa.binary()), "least": pa.array([min(sizes)], pa.int32()), "most": pa.array([max(sizes)], pa.int32())})
+        return pa.table({"group": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([out.tobytes()], pa.binary())})
 
-    return members.groupBy("group").applyInArrow(run, "group long, bits binary, least int, most int")
+    return members.select("group", "bits").groupBy("group").applyInArrow(run, "group long, bits binary")
 
 
 def _leaders(rare: DataFrame, order) -> DataFrame:
@@ -237,18 +253,25 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shared = tokens.withColumn("df", F.expr("count(1) OVER (PARTITION BY token)")).where("df > 1")
     sure = F.greatest(F.lit(1), F.ceil(F.ceil(F.col("n") * percent / 100) * 6 / 100)).cast("int")
     left = shared.groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("others")).where(F.size("others") >= sure)
-    rare = cut(left.select("id", "n", F.slice("others", F.lit(1), F.size("others") - sure + 1)["token"].alias("rare")))
+    survivors = cut(left.select("id", "n"))
     del shared, tokens, classes, left
 
-    texts = cut(_with_bits(named.join(rare.select("id", "n"), "id").dropDuplicates(["id"]), width))
-    bits = texts.select("id", "n", "bits")
+    texts = cut(_with_bits(named.join(survivors, "id").dropDuplicates(["id"]), width))
+    tokens = texts.select("id", "text", "n").mapInArrow(_tokens(width), "id long, n int, token long")
+    shared = tokens.withColumn("df", F.expr("count(1) OVER (PARTITION BY token)")).where("df > 1")
+    enough = F.ceil(F.col("n") * percent / 100).cast("int")
+    left = shared.groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("others")).where(F.size("others") >= enough)
+    rare = cut(left.select("id", "n", F.size("others").alias("most"), F.slice("others", F.lit(1), F.size("others") - enough + 1)["token"].alias("rare")))
+    del shared, tokens, left
+    bits = texts.select("id", "n", "bits").join(rare.select("id", "most"), "id")
     looked_up = rare.select("id", F.explode("rare").alias("token"))
 
+    possible = F.expr(f"na * 100 >= nb * {percent} AND nb * 100 >= na * {percent} AND least(ra, rb) * {100 + percent} >= (na + nb) * {percent}")
+
     def pair_bits(pairs: DataFrame) -> DataFrame:
-        a = bits.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("bits").alias("bits_a"))
-        b = bits.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bits_b"))
-        near = (F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)
-        return pairs.join(a, "a").join(b, "b").where(near).withColumn("whole", F.lit(False))
+        a = bits.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("most").alias("ra"), F.col("bits").alias("bits_a"))
+        b = bits.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("most").alias("rb"), F.col("bits").alias("bits_b"))
+        return pairs.join(a, "a").join(b, "b").where(possible).withColumn("whole", F.lit(False))
 
     led = _leaders(looked_up, F.col("id")).unionByName(_leaders(looked_up, F.xxhash64("id"))).distinct()
     links = cut(_verified(_bounded(pair_bits(led), percent, _BOUND), texts, width, percent))
@@ -256,18 +279,19 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     sizes = state.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     part = F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / GROUP_SIZE))
-    members = cut(bits.join(state, "id").join(sizes, "component").select("id", "n", "bits", "component", F.when(F.col("size") == 1, F.col("id")).otherwise(F.xxhash64("component", part)).alias("group"), "size"))
-    matrix = _unions(members.where("size > 1")).unionByName(members.where("size = 1").select("group", "bits", F.col("n").alias("least"), F.col("n").alias("most")))
-    entries = looked_up.join(members.select("id", "component", "group"), "id")
+    members = cut(bits.join(state, "id").join(sizes, "component").select("id", "n", "most", "bits", "component", F.when(F.col("size") == 1, F.col("id")).otherwise(F.xxhash64("component", part)).alias("group"), "size"))
+    extremes = members.groupBy("group").agg(F.min("n").alias("nb"), F.max("n").alias("nb_most"), F.max("most").alias("rb"))
+    matrix = _unions(members.where("size > 1")).unionByName(members.where("size = 1").select("group", "bits"))
+    entries = looked_up.join(members.select("id", "n", "most", "component", "group"), "id")
     spread = entries.groupBy("token").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 <> c2").select("token")
     entries = cut(entries.join(spread, "token", "left_semi"))
-    columns = entries.select("token", F.col("group").alias("b"), F.col("component").alias("cb")).distinct()
-    probes = entries.select(F.col("id").alias("a"), "token", "component").join(columns, "token").where(F.col("component") < F.col("cb")).select("a", "b").distinct()
-    own = bits.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("bits").alias("bits_a"))
-    rows = matrix.select(F.col("group").alias("b"), F.col("bits").alias("bits_b"), F.col("least").alias("nb"), "most")
-    fits = (F.col("na") * 100 >= F.col("nb") * percent) & (F.col("most") * 100 >= F.col("na") * percent)
-    met = probes.join(own, "a").join(rows, "b").where(fits).withColumn("whole", F.lit(True))
-    opened = _bounded(met, percent, _BOUND)
+    columns = entries.select("token", "group", F.col("component").alias("cb")).distinct().join(extremes, "group")
+    probes = entries.select(F.col("id").alias("a"), "token", "component", F.col("n").alias("na"), F.col("most").alias("ra"))
+    fits = F.expr(f"component < cb AND na * 100 >= nb * {percent} AND nb_most * 100 >= na * {percent} AND least(ra, rb) * {100 + percent} >= (na + nb) * {percent}")
+    met = probes.join(columns, (probes["token"] == columns["token"]) & fits).select("a", F.col("group").alias("b"), "na", "nb").distinct()
+    own = bits.select(F.col("id").alias("a"), F.col("bits").alias("bits_a"))
+    rows = matrix.select(F.col("group").alias("b"), F.col("bits").alias("bits_b"))
+    opened = _bounded(met.join(own, "a").join(rows, "b").withColumn("whole", F.lit(True)), percent, _BOUND)
     inside = opened.select("a", F.col("b").alias("group")).join(members.select("group", F.col("id").alias("b")), "group").select("a", "b")
     more = _verified(_bounded(pair_bits(inside), percent, _BOUND), texts, width, percent)
     links = cut(links.unionByName(more))
