@@ -39,6 +39,7 @@ _FOREIGN = re.compile("[" + "".join(LOOKALIKES) + "]")
 
 #: Labelled texts a class is learned from, as expected number of a hash sample; entries kept.
 SAMPLE_TEXTS, MOST_ENTRIES = 5_000, 4_000
+LEAST_EVIDENCE = 16.0
 PREFIXES = range(4, 8)
 
 
@@ -125,7 +126,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_texts: int = SAMPLE_TEXTS)
         weight = F.log((F.col("n1") + 0.5) / (n1 + 1)) - F.log((F.col("n0") + 0.5) / (n0 + 1))
         kept = counts.where((F.col("n1") >= 4) & (weight >= math.log(5)) & (surplus >= min(2.5, 1 + n1 / 100)))
         rows = kept.orderBy(surplus.desc(), "entry").limit(MOST_ENTRIES).select("entry", "n0", "n1", weight.alias("w"), surplus.alias("z")).collect()
-        entries |= select_entries([tuple(r) for r in rows])
+        entries |= select_entries([tuple(r) for r in rows], n1 / (n0 + n1))
     shipped = Shipped(docs.sparkSession, entries)
 
     def strength(batches):
@@ -137,17 +138,26 @@ def learn(docs: DataFrame, labels: DataFrame, sample_texts: int = SAMPLE_TEXTS)
     return (entries, *fit(points))
 
 
-def select_entries(rows: list[tuple[str, int, int, float, float]]) -> dict[str, float]:
-    """Word beginnings stand for many words, so one that a single word makes up gives way to the word; what a kept beginning covers is left out."""
+def evidence(n0: int, n1: int, share: float) -> float:
+    """Bound on minus the logarithm of the chance that n1 of n0 + n1 texts are toxic when ``share`` are."""
+    q = n1 / (n0 + n1)
+    if q <= share:
+        return 0.0
+    return (n0 + n1) * (q * math.log(q / share) + (0 if q == 1 else (1 - q) * math.log((1 - q) / (1 - share))))
+
+
+def select_entries(rows: list[tuple[str, int, int, float, float]], share: float) -> dict[str, float]:
+    """Entries that chance doesn't explain, among as many candidates as texts have words.
+
+    Word beginnings stand for many words, so one that a single word makes up gives way to the word; what a
+    kept beginning covers is left out.
+    """
     words = {e: n1 for e, _, n1, _, _ in rows if e.endswith(" ")}
     out: dict[str, float] = {}
-    for entry, _n0, n1, weight, z in sorted(rows, key=lambda r: (len(r[0]), r[0])):
-        if any(entry[:n] in out for n in range(1, len(entry))):
+    for entry, n0, n1, weight, _z in sorted(rows, key=lambda r: (len(r[0]), r[0])):
+        if any(entry[:n] in out for n in range(1, len(entry))) or evidence(n0, n1, share) < LEAST_EVIDENCE:
             continue
-        if entry.endswith(" "):
-            if n1 >= 8 or z >= 3:
-                out[entry] = weight
-        elif n1 >= 8 and z >= 3 and max((m for w, m in words.items() if w.startswith(entry)), default=0) < 0.5 * n1:
+        if entry.endswith(" ") or max((m for w, m in words.items() if w.startswith(entry)), default=0) < 0.5 * n1:
             out[entry] = weight
     return out
 
