@@ -6,9 +6,10 @@
    one class alone can't be shared, so classes with fewer others than that drop out. The whole sets of the
    rest are counted in the same way: what a class shares with any other bounds what it shares with one, and
    it need only be looked up under its rarest shingles, one of which each partner has as well.
-3. Classes are partitioned into groups: each is linked to the class with which it leads most of its rare
-   shingles, if the exact similarity allows, and the components of these links, in bounded parts, are the
-   groups. The matrix holds each group's shingle union as a row of hashed bits.
+3. Classes are partitioned into groups: each is linked to the class that leads most of its rare shingles,
+   if the exact similarity allows; the leader of a shingle is the class with the least share of shingles of
+   its own, so the original before its edited copies. The components of these links, in bounded parts, are
+   the groups. The matrix holds each group's shingle union as a row of hashed bits.
 4. A class meets the groups that share a rare shingle with it. The bits it has and the group lacks bound
    the overlap from above; only groups whose bound reaches t are opened, and their members are verified on
    the texts. Classes in one component already need no further link between them.
@@ -264,7 +265,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rare = cut(left.select("id", "n", F.size("others").alias("most"), F.slice("others", F.lit(1), F.size("others") - enough + 1)["token"].alias("rare")))
     del shared, tokens, left
     bits = texts.select("id", "n", "bits").join(rare.select("id", "most"), "id")
-    looked_up = rare.select("id", F.explode("rare").alias("token"))
+    looked_up = rare.select("id", F.explode("rare").alias("token"), ((F.col("n") - F.col("most")) / F.col("n")).alias("own_share"))
 
     possible = F.expr(f"na * 100 >= nb * {percent} AND nb * 100 >= na * {percent} AND least(ra, rb) * {100 + percent} >= (na + nb) * {percent}")
 
@@ -273,7 +274,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         b = bits.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("most").alias("rb"), F.col("bits").alias("bits_b"))
         return pairs.join(a, "a").join(b, "b").where(possible).withColumn("whole", F.lit(False))
 
-    led = _leaders(looked_up, F.col("id")).unionByName(_leaders(looked_up, F.xxhash64("id"))).distinct()
+    led = _leaders(looked_up, F.struct("own_share", "id")).unionByName(_leaders(looked_up, F.xxhash64("id"))).distinct()
     links = cut(_verified(_bounded(pair_bits(led), percent, _BOUND), texts, width, percent))
     state = cut(rare.select("id").join(components(links).withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("component", "id").alias("component")))
 
@@ -282,7 +283,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     members = cut(bits.join(state, "id").join(sizes, "component").select("id", "n", "most", "bits", "component", F.when(F.col("size") == 1, F.col("id")).otherwise(F.xxhash64("component", part)).alias("group"), "size"))
     extremes = members.groupBy("group").agg(F.min("n").alias("nb"), F.max("n").alias("nb_most"), F.max("most").alias("rb"))
     matrix = _unions(members.where("size > 1")).unionByName(members.where("size = 1").select("group", "bits"))
-    entries = looked_up.join(members.select("id", "n", "most", "component", "group"), "id")
+    entries = looked_up.drop("own_share").join(members.select("id", "n", "most", "component", "group"), "id")
     spread = entries.groupBy("token").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 <> c2").select("token")
     entries = cut(entries.join(spread, "token", "left_semi"))
     columns = entries.select("token", "group", F.col("component").alias("cb")).distinct().join(extremes, "group")
