@@ -283,12 +283,13 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     members = cut(bits.join(state, "id").join(sizes, "component").select("id", "n", "most", "bits", "component", F.when(F.col("size") == 1, F.col("id")).otherwise(F.xxhash64("component", part)).alias("group"), "size"))
     extremes = members.groupBy("group").agg(F.min("n").alias("nb"), F.max("n").alias("nb_most"), F.max("most").alias("rb"))
     matrix = _unions(members.where("size > 1")).unionByName(members.where("size = 1").select("group", "bits"))
-    entries = looked_up.drop("own_share").join(members.select("id", "n", "most", "component", "group"), "id")
+    entries = looked_up.drop("own_share").join(members.select("id", "n", "most", "component", "group", "size"), "id")
     spread = entries.groupBy("token").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 <> c2").select("token")
     entries = cut(entries.join(spread, "token", "left_semi"))
-    columns = entries.select("token", "group", F.col("component").alias("cb")).distinct().join(extremes, "group")
-    probes = entries.select(F.col("id").alias("a"), "token", "component", F.col("n").alias("na"), F.col("most").alias("ra"))
-    fits = F.expr(f"component < cb AND na * 100 >= nb * {percent} AND nb_most * 100 >= na * {percent} AND least(ra, rb) * {100 + percent} >= (na + nb) * {percent}")
+    # of two components the smaller one's classes probe the larger one's groups
+    columns = entries.select("token", "group", F.col("component").alias("cb"), F.col("size").alias("sb")).distinct().join(extremes, "group")
+    probes = entries.select(F.col("id").alias("a"), "token", "component", "size", F.col("n").alias("na"), F.col("most").alias("ra"))
+    fits = F.expr(f"(size < sb OR (size = sb AND component < cb)) AND na * 100 >= nb * {percent} AND nb_most * 100 >= na * {percent} AND least(ra, rb) * {100 + percent} >= (na + nb) * {percent}")
     met = probes.join(columns, (probes["token"] == columns["token"]) & fits).select("a", F.col("group").alias("b"), "na", "nb").distinct()
     own = bits.select(F.col("id").alias("a"), F.col("bits").alias("bits_a"))
     rows = matrix.select(F.col("group").alias("b"), F.col("bits").alias("bits_b"))
