@@ -13,7 +13,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -241,19 +241,49 @@ def _texts_of(docs: DataFrame, wanted: DataFrame, min_chars: int) -> DataFrame:
         for hashes, lines in _distinct(batches, min_chars):
             yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(lines, pa.string())], names=["line", "text"])
 
+    def signed(batches):
+        for batch in batches:
+            marks = [parities(t) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array([m[k] for m in marks], pa.int64()) for k in (0, 1))], names=["line", "text", "chars", "pairs"])
+
     side = F.broadcast(wanted) if wanted.count() <= MOST_BROADCAST else wanted
-    return docs.mapInArrow(run, "line long, text string").join(side, "line", "left_semi").dropDuplicates(["line"])
+    found = docs.mapInArrow(run, "line long, text string").join(side, "line", "left_semi").dropDuplicates(["line"])
+    return found.mapInArrow(signed, "line long, text string, chars long, pairs long")
+
+
+def parities(line: str) -> tuple[int, int]:
+    """Parities of the counts of characters and of character pairs, in 64 classes each.
+
+    An edit changes at most two character counts and four pair counts.
+    """
+    codes = np.frombuffer(line.encode("utf-32-le"), np.uint32).astype(np.uint64)
+    out = []
+    for values in (codes, codes[:-1] * np.uint64(0x110000) + codes[1:]):
+        classes = _mixed(values * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(58)
+        out.append(int(np.bitwise_xor.reduce(np.uint64(1) << classes, initial=np.uint64(0)).astype(np.int64)))
+    return out[0], out[1]
+
+
+def _alike(a: str, b: str, edits: int) -> Column:
+    """What lines within the threshold satisfy, by lengths and parities named ``length_a`` and so on."""
+    return F.expr(f"abs(length_{a} - length_{b}) <= {edits} AND bit_count(chars_{a} ^ chars_{b}) <= {2 * edits} AND bit_count(pairs_{a} ^ pairs_{b}) <= {4 * edits}")
+
+
+def _signs(texts: DataFrame, name: str, *more: str) -> DataFrame:
+    return texts.select(F.col("line").alias(name), F.length("text").alias(f"length_{name}"), F.col("chars").alias(f"chars_{name}"), F.col("pairs").alias(f"pairs_{name}"), *(F.col(m).alias(f"{m}_{name}") for m in more))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
-    both = pairs.join(texts.select(F.col("line").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("line").alias("b"), F.col("text").alias("tb")), "b").where(F.abs(F.length("ta") - F.length("tb")) <= edits)
+    near = pairs.join(_signs(texts, "a", "text"), "a")
+    b = _signs(texts, "b", "text").withColumnRenamed("b", "_b")
+    both = near.join(b, (F.col("b") == F.col("_b")) & _alike("a", "b", edits))
 
     def run(batches):
         for batch in batches:
             keep = [within(x, y, edits) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", F.col("text_a"), F.col("text_b")).mapInArrow(run, "a long, b long")
 
 
 def near_lines(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
@@ -269,10 +299,11 @@ def near_lines(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
     members = met.select("key", "line", "own").unionByName(met.select("key", F.col("lead").alias("line"), F.lit(True).alias("own"))).distinct()
     members = members.join(joined.withColumnRenamed("node", "line"), "line", "left").withColumn("component", F.coalesce("component", "line"))
     apart = members.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.approx_count_distinct("line").alias("m")).where("c1 <> c2 AND m > 2").select("key")
-    open_ = cut(members.join(apart, "key", "left_semi"))
-    left = open_.where("own").select("key", F.col("line").alias("x"), F.col("component").alias("cx"))
-    right = open_.select("key", F.col("line").alias("y"), F.col("component").alias("cy"), F.col("own").alias("yo"))
-    cross = left.join(right, "key").where("cx <> cy AND (NOT yo OR x < y)").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
+    open_ = cut(members.join(apart, "key", "left_semi").join(_signs(texts, "x").withColumnRenamed("x", "line"), "line"))
+    left = open_.where("own").select("key", F.col("line").alias("x"), F.col("component").alias("cx"), "length_x", "chars_x", "pairs_x")
+    right = open_.select(F.col("key").alias("k"), F.col("line").alias("y"), F.col("component").alias("cy"), F.col("own").alias("yo"), *(F.col(f"{c}_x").alias(f"{c}_y") for c in ("length", "chars", "pairs")))
+    meet = (F.col("key") == F.col("k")) & F.expr("cx <> cy AND (NOT yo OR x < y)") & _alike("x", "y", edits)
+    cross = left.join(right, meet).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
     more = cut(_verified(cross, texts, edits))
     return joined if more.isEmpty() else components(links.unionByName(more))
 
