@@ -38,7 +38,7 @@ def hybrid(vec: DataFrame, lex: DataFrame, vec_weight: float = 0.7, lex_weight:
     """Weighted sum of two lists by query and key, positive scores only."""
     both = assemble({"vec": vec, "lex": lex})
     score = F.coalesce("vec", F.lit(0.0)) * vec_weight + F.coalesce("lex", F.lit(0.0)) * lex_weight
-    return both.withColumn("score", F.round(score, 6)).where("score > 0")
+    return both.withColumn("score", F.round(score, 7)).where("score > 0")
 
 
 def rrf(lists: dict[str, tuple[DataFrame, float]], k: int, by: str = "query_id", key: str = "id") -> DataFrame:
@@ -51,4 +51,4 @@ def rrf(lists: dict[str, tuple[DataFrame, float]], k: int, by: str = "query_id",
 
 
 def rerank_blend(ranked: DataFrame, rerank: Column, share: float = 0.5) -> DataFrame:
-    return ranked.withColumn("score", F.round(F.col("score") * (1 - share) + rerank * share, 6))
+    return ranked.withColumn("score", F.round(F.col("score") * (1 - share) + rerank * share, 7))

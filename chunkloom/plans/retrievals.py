@@ -129,7 +129,7 @@ def minmax_fuse(spark, d):
     return fusion.fuse(both, {"bm25": 0.6, "lex": 0.4}).select("query_id", "id", "final_score")
 
 
-@query(f"WITH v AS (SELECT query_id, id, greatest(0.0, score) AS score FROM ({_top(VEC, 20)})), l AS (SELECT * FROM ({_top(LEX, 20)})) SELECT query_id, id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM (SELECT coalesce(v.query_id, l.query_id) AS query_id, coalesce(v.id, l.id) AS id, round(0.7 * coalesce(v.score, 0) + 0.3 * coalesce(l.score, 0), 6) AS score FROM v FULL JOIN l ON v.query_id = l.query_id AND v.id = l.id) WHERE score > 0 QUALIFY rank <= 20")
+@query(f"WITH v AS (SELECT query_id, id, greatest(0.0, score) AS score FROM ({_top(VEC, 20)})), l AS (SELECT * FROM ({_top(LEX, 20)})) SELECT query_id, id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM (SELECT coalesce(v.query_id, l.query_id) AS query_id, coalesce(v.id, l.id) AS id, round(0.7 * coalesce(v.score, 0) + 0.3 * coalesce(l.score, 0), 7) AS score FROM v FULL JOIN l ON v.query_id = l.query_id AND v.id = l.id) WHERE score > 0 QUALIFY rank <= 20")
 def hybrid_merge(spark, d):
     vec = vector_topk_scores(spark, d)
     lex = retrieval.top_k(lex_scores(spark, d), "query_id", "score", "id", 20)
@@ -154,7 +154,7 @@ def rrf_two_stage(spark, d):
     return fusion.rrf({"one": (one, 1.2), "graph": (linked, 0.8)}, 60)
 
 
-@query(f"SELECT query_id, id, round(score * 0.5 + 0.5 * (1.0 / (1 + id % 10)), 6) AS score FROM ({_top(LEX, 20)})")
+@query(f"SELECT query_id, id, round(score * 0.5 + 0.5 * (1.0 / (1 + id % 10)), 7) AS score FROM ({_top(LEX, 20)})")
 def rerank_blend(spark, d):
     lex = retrieval.top_k(lex_scores(spark, d), "query_id", "score", "id", 20)
     return fusion.rerank_blend(lex, F.lit(1.0) / (1 + F.col("id") % 10)).select("query_id", "id", "score")
