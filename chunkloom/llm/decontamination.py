@@ -1,8 +1,8 @@
 """Benchmark decontamination with DataFrame operations alone.
 
-A window of a document is compared with a benchmark item of as many words. Only windows that share a
-shingle with an item can reach the similarity, so windows are cut where a shingle of the item says that
-the item would begin. Each window and item gets a 64-bit SimHash of its shingles. The fingerprints are
+A window of a document is compared with a benchmark item of as many words. A window can reach the
+similarity only if enough of its shingles are shingles of items of its size, so windows are cut at every
+start where that many lie close together. Each window and item gets a 64-bit SimHash of its shingles. The fingerprints are
 indexed by size and by blocks, one more than the radius, so any two within the radius agree in one block;
 what the index returns is checked by Hamming distance and then by exact similarity of the shingles
 weighted by how often they occur: the sum of the lesser counts over the sum of the greater.
@@ -53,6 +53,18 @@ def similarity(a: Column, b: Column) -> Column:
     return shared / (F.size(a) + F.size(b) - shared)
 
 
+def starts_of(hits: Column, count: Column, need: Column, low: Column, high: Column) -> Column:
+    """Starts from ``low`` to ``high`` of the runs of ``count`` places that hold ``need`` of the sorted ``hits``."""
+
+    def run(i):
+        # starts up to the hit before belong to that hit's own run, as ends only grow
+        first = F.greatest(low, F.get(hits, i + need - 1) - count + 1, F.coalesce(F.get(hits, i - 1) + 1, F.lit(0)))
+        last = F.least(high, F.get(hits, i))
+        return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+
+    return F.when(F.size(hits) >= need, F.flatten(F.transform(F.sequence(F.lit(0), F.size(hits) - need), run))).otherwise(F.array().cast("array<int>"))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = WIDTH, least: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
     """One row per document and item that it holds: start_word of the best window, similarity.
 
@@ -65,19 +77,24 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     widths = sorted(r[0] for r in items.select("width").distinct().collect())  # at most ``width`` values
     cases = F.coalesce(*(F.when(F.col("width") == k, shingles(F.col("w"), k)) for k in widths)) if widths else F.array().cast("array<bigint>")
     items = cut(items.select("item", F.size("w").alias("words"), "width", cases.alias("shingles")).withColumn("print", simhash(F.col("shingles"))))
-    known = items.select("item", "words", "width", F.posexplode("shingles").alias("place", "shingle"))
-    anchors = known.select("shingle", "width", "words", "place").distinct()  # items of one size share their windows
+    known = items.select("item", "words", "width", F.explode("shingles").alias("shingle"))
+    anchors = known.select("shingle", "width", "words").distinct()  # items of one size share their windows
     if anchors.count() <= MOST_BROADCAST:
         anchors = F.broadcast(anchors)
     source = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc"), F.col(text_col).alias("_text"))
     split = source.select("doc", words_of(F.col("_text")).alias("w"))
     hits = None
     for k in widths:
-        found = split.select("doc", F.posexplode(shingles(F.col("w"), k)).alias("at", "shingle")).join(anchors.where(F.col("width") == k), "shingle").select("doc", "width", "words", F.greatest(F.lit(0), F.col("at") - F.col("place")).alias("start"))
+        found = split.select("doc", F.size("w").alias("length"), F.posexplode(shingles(F.col("w"), k)).alias("at", "shingle")).join(anchors.where(F.col("width") == k), "shingle").select("doc", "width", "words", "length", "at")
         hits = found if hits is None else hits.unionByName(found)
     if hits is None:
-        hits = source.select("doc", F.lit(0).alias("width"), F.lit(0).alias("words"), F.lit(0).alias("start")).where("false")
-    starts = cut(hits.distinct())
+        hits = source.select("doc", *(F.lit(0).alias(c) for c in ("width", "words", "length", "at"))).where("false")
+    # The similarity's denominator is at least the item's shingles; for whole windows it is twice these less the shared ones.
+    places = hits.groupBy("doc", "width", "words").agg(F.sort_array(F.collect_set("at")).alias("hits"), F.min("length").alias("length")).withColumn("count", F.col("words") - F.col("width") + 1)
+    need = lambda share: F.greatest(F.lit(1), F.ceil(F.col("count") * share - 1e-6).cast("int"))
+    whole = F.col("length") - F.col("words")
+    both = F.concat(starts_of(F.col("hits"), F.col("count"), need(2 * least / (1 + least)), F.lit(0), whole), starts_of(F.col("hits"), F.col("count"), need(least), F.greatest(F.lit(0), whole + 1), F.col("length")))
+    starts = cut(places.select("doc", "width", "words", F.explode(both).alias("start")))
     wanted = starts.select("doc").distinct()
     there = source.join(wanted, "doc", "left_semi").select("doc", words_of(F.col("_text")).alias("w"))
     cut_out = starts.join(there, "doc").select("doc", "width", "words", "start", F.slice("w", F.col("start") + 1, F.col("words")).alias("v"))

@@ -115,6 +115,29 @@ def test_decontamination(spark):
     assert decontamination.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_between_diagonals(spark):
+    rows, items = [], []
+    for n in (58, 60, 62, 64, 66):
+        item = [f"i{n}w{k}" for k in range(n)]
+        inside = ["first", *item[1 : n // 2], "two", "more", *item[n // 2 : -1], "last"]
+        items.append((n, " ".join(item)))
+        rows.append((n, " ".join([*(f"a{k}" for k in range(30)), *inside, *(f"b{k}" for k in range(30))])))
+        rows.append((n + 100, " ".join([f"c{k}" for k in range(30)] + item[: n - 8])))  # the document ends within the item
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = {}
+    for d, text in rows:
+        own, _ = counted(text, 1)
+        for i, item in items:
+            _, grams = counted(item, 5)
+            for start in range(len(own)):
+                theirs = counted(" ".join(own[start : start + i]), 5)[1]
+                shared = sum(min(theirs.count(g), grams.count(g)) for g in set(grams))
+                if theirs and shared / (len(theirs) + len(grams) - shared) >= max(0.8, want.get((d, i), (0, 0))[1] + 1e-12):
+                    want[d, i] = (start, shared / (len(theirs) + len(grams) - shared))
+    got = {(r.doc_id, r.item_id): (r.start_word, r.similarity) for r in decontamination.contaminated(docs, bench).collect()}
+    assert len(want) == 10 and got == want
+
+
 def test_surrogates(spark):
     rows = [
         (1, "Mail ann.b7@mail.example.com or call +1 (743) 555-3824, again 743-555-3824."),
