@@ -296,9 +296,9 @@ def near_lines(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
     first = met.select(F.least("lead", "line").alias("a"), F.greatest("lead", "line").alias("b")).distinct()
     links = cut(_verified(first, texts, edits))
     joined = components(links)
-    members = met.select("key", "line", "own").unionByName(met.select("key", F.col("lead").alias("line"), F.lit(True).alias("own"))).distinct()
+    members = met.select("key", "line", "own").unionByName(met.select("key", F.col("lead").alias("line"), F.lit(True).alias("own"))).groupBy("key", "line").agg(F.max("own").alias("own"))
     members = members.join(joined.withColumnRenamed("node", "line"), "line", "left").withColumn("component", F.coalesce("component", "line"))
-    apart = members.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.approx_count_distinct("line").alias("m")).where("c1 <> c2 AND m > 2").select("key")
+    apart = members.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.count("line").alias("m")).where("c1 <> c2 AND m > 2").select("key")
     open_ = cut(members.join(apart, "key", "left_semi").join(_signs(texts, "x").withColumnRenamed("x", "line"), "line"))
     left = open_.where("own").select("key", F.col("line").alias("x"), F.col("component").alias("cx"), "length_x", "chars_x", "pairs_x")
     right = open_.select(F.col("key").alias("k"), F.col("line").alias("y"), F.col("component").alias("cy"), F.col("own").alias("yo"), *(F.col(f"{c}_x").alias(f"{c}_y") for c in ("length", "chars", "pairs")))

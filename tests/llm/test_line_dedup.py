@@ -86,3 +86,16 @@ def test_band_distance():
 def test_own_places_are_probed():
     for n in range(3, 40):
         assert set(own_places(n, 2)) <= set(places(n, n, 2))
+
+
+def test_each_key_of_three_lines_is_opened(spark):
+    """z is within two edits of y only, and they share one segment with a third line; a sketch of three may say two."""
+    rnd, docs = random.Random(7), ([], [], [])
+    word = lambda: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(15))
+    for _ in range(4000):
+        head, middle, tail = word(), word(), word()
+        docs[0].append(word() + middle + word())
+        docs[1].append(head + middle + tail)
+        docs[2].append(head[:7] + "#" + head[8:] + middle + tail[:7] + "#" + tail[8:])
+    frame = spark.createDataFrame([(k, "\n".join(d)) for k, d in enumerate(docs)], "doc_id long, text string")
+    assert {r.doc_id: r.n_dropped for r in dedup_lines(frame).collect()} == {0: 0, 1: 0, 2: 4000}
