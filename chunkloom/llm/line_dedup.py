@@ -1,6 +1,7 @@
 """Line deduplication: equal lines by hash, lines within a few edits by a segment-partition join.
 
-Only lines of at least ``min_chars`` characters without outer white space take part. A line is cut into
+Lines are compared without outer white space. Equal lines of any length but 0 are repeats; lines within
+the threshold are if both have ``LEAST_PER_EDIT`` characters for each edit. A line is cut into
 threshold-plus-one segments of its length; a line within the threshold that is no shorter holds one of
 them at a place that the length difference bounds. Each line is indexed under its segments and probes the
 substrings at those places for each length it can match. Candidates are verified by banded bit-parallel
@@ -20,7 +21,10 @@ from pyspark.sql import types as T
 from .common import cut
 from .components import components
 
-EDITS, MIN_CHARS = 2, 32
+EDITS, MIN_CHARS = 2, 1
+#: Characters an edit may stand against: two lines within the threshold agree in four fifths at least. In
+#: shorter lines ("page 12", "x = 1") two edits are another line.
+LEAST_PER_EDIT = 5
 BATCH_CHARS, REMEMBERED = 1 << 20, 200_000
 #: Ids of lines to verify that are broadcast at most; more are joined by a shuffle.
 MOST_BROADCAST = 1_000_000
@@ -56,6 +60,11 @@ def eligible(text: str, min_chars: int):
             yield k, line
 
 
+def near_floor(edits: int, min_chars: int) -> int:
+    """Characters from which a line takes part in the join by edits."""
+    return max(min_chars, LEAST_PER_EDIT * edits)
+
+
 def places(length: int, target: int, edits: int) -> list[tuple[int, int, int]]:
     """(segment, start, size): where a string of ``length`` may hold the segments of one of ``target`` characters."""
     out, parts, gap = [], edits + 1, length - target
@@ -288,6 +297,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
 
 def near_lines(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
     """(node, component) of the distinct lines that lie within ``edits`` of another one."""
+    min_chars = near_floor(edits, min_chars)
     rows = _segments(docs, edits, min_chars)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     met = cut(rows.repartition(parts, "key").sortWithinPartitions("key", F.col("own").desc(), "line").mapInArrow(_meetings, "key long, lead long, line long, own boolean"))
@@ -311,7 +321,8 @@ def near_lines(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """One row per row of ``docs``: id, text without its repeated lines, n_lines, n_dropped.
 
-    A null text stays null with no lines; empty texts stay. Lines shorter than ``min_chars`` always stay.
+    A null text stays null with no lines; empty texts stay. Lines shorter than ``min_chars`` always stay,
+    and blank ones; those shorter than ``near_floor`` go only if they are equal to an earlier one.
     Within a document the first of equal lines stays. Rows that repeat an id count as one document, so they
     don't take lines from each other; rows with a null id come last in order.
     """

@@ -99,3 +99,9 @@ def test_each_key_of_three_lines_is_opened(spark):
         docs[2].append(head[:7] + "#" + head[8:] + middle + tail[:7] + "#" + tail[8:])
     frame = spark.createDataFrame([(k, "\n".join(d)) for k, d in enumerate(docs)], "doc_id long, text string")
     assert {r.doc_id: r.n_dropped for r in dedup_lines(frame).collect()} == {0: 0, 1: 0, 2: 4000}
+
+
+def test_short_lines(spark):
+    rows = [(1, "}\n\nAll rights reserved.\nx = 1\n ten chars!"), (2, "All rights reserved\n}\n\nx = 2\nx = 1\n ten chars?\n9 chars 1"), (3, "9 chars 2\n}\n}\n\n9 chars 1")]
+    got = {r.doc_id: r.text for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: rows[0][1], 2: "\nx = 2\n9 chars 1", 3: "9 chars 2\n"}
