@@ -3,7 +3,7 @@
 A text is layer 0. Every layer is scanned for the three kinds and unwrapped: URL escapes, Unicode and
 character escapes, base64 runs, and compressed data inside base64. What an unwrapping gives is a new
 layer, whose characters know their span in the text; layers seen before are not queued again, so the
-list empties. Findings of deeper layers are reported at the span of the text they were unwrapped from.
+list empties. Packed data is read to its end: all members, and packed data in packed data to any depth. Findings of deeper layers are reported at the span of the text they were unwrapped from.
 """
 
 from __future__ import annotations
@@ -28,8 +28,18 @@ LEAST_ASSIGN, LEAST_ACCESS = 6, 20
 URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
-#: Unpacked bytes of one blob that are read; what exceeds it is not a text to scan but a decompression bomb.
-MAX_UNPACKED = 16_000_000
+#: Packed bytes fed to a decompressor at once.
+CHUNK = 4096
+
+
+class Whole:
+    """Spans of a layer unwrapped from one blob: each character has the blob's."""
+
+    def __init__(self, span: tuple[int, int]):
+        self.span = span
+
+    def __getitem__(self, at: int) -> tuple[int, int]:
+        return self.span
 
 
 def scan(text: str) -> list[tuple[str, int, int]]:
@@ -74,30 +84,49 @@ def _readable(data: bytes) -> str | None:
     return text if text and odd <= len(text) // 20 else None
 
 
-def _unpacked(data: bytes) -> bytes | None:
-    for head, bits in ((b"\x1f\x8b", 31), (b"\x78", 15)):
-        if data.startswith(head):
-            try:
-                return zlib.decompressobj(bits).decompress(data, MAX_UNPACKED)
-            except zlib.error:
-                return None
-    if data.startswith(b"BZh"):
+def _opened(data: bytes, at: int):
+    """A decompressor for the member that begins at ``at``, or None."""
+    head = data[at : at + 4]
+    if head.startswith(b"\x1f\x8b"):
+        return zlib.decompressobj(31)
+    if head.startswith(b"\x78"):
+        return zlib.decompressobj(15)
+    if head.startswith(b"BZh"):
         import bz2
 
-        try:
-            return bz2.BZ2Decompressor().decompress(data, MAX_UNPACKED)
-        except OSError:
-            return None
-    if data.startswith(b"\x28\xb5\x2f\xfd"):
+        return bz2.BZ2Decompressor()
+    if head == b"\x28\xb5\x2f\xfd":
         import zstandard
 
-        try:
-            return zstandard.ZstdDecompressor().stream_reader(data).read(MAX_UNPACKED)
-        except zstandard.ZstdError:
-            return None
+        return zstandard.ZstdDecompressor().decompressobj()
     return None
 
 
+def _unpacked(data: bytes) -> bytes | None:
+    """The contents of all members in a row; None if the data begins with none, or with a broken one."""
+    parts, at = None, 0
+    while at < len(data):
+        if data[at + 1 : at + 4] == b"\x2a\x4d\x18" and data[at] >> 4 == 5:  # a zstd frame to be skipped
+            at += 8 + int.from_bytes(data[at + 4 : at + 8], "little")
+            parts = parts or []
+            continue
+        member, own = _opened(data, at), []
+        if member is None:
+            break
+        try:
+            while not member.eof and at < len(data):
+                own.append(member.decompress(data[at : at + CHUNK]))
+                at = min(at + CHUNK, len(data))
+        except Exception as e:  # each library has its own error
+            if isinstance(e, MemoryError):
+                raise
+            break
+        at -= len(member.unused_data)
+        parts = parts or []
+        parts.append(b"".join(own))
+    return None if parts is None else b"".join(parts)
+
+
 def _blob(run: str) -> str | None:
     body = run.rstrip("=")
     if len(body) % 4 == 1:
@@ -106,34 +135,37 @@ def _blob(run: str) -> str | None:
         data = base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4))
     except (binascii.Error, ValueError):
         return None
-    for _ in range(8):  # compressed data inside compressed data
-        inner = _unpacked(data)
-        if inner is None:
-            break
+    seen = set()
+    while (inner := _unpacked(data)) is not None:  # compressed data inside compressed data
+        seen.add(hashlib.sha256(data).digest())
         data = inner
+        if hashlib.sha256(data).digest() in seen:  # it holds itself
+            break
     return _readable(data)
 
 
 def _replaced(text: str, spans, pattern, decode):
     """The layer that ``decode`` gives for all matches in place, or None if nothing changes."""
     parts, where, at, changed = [], [], 0, False
+    each = not isinstance(spans, Whole)
     for m in pattern.finditer(text):
         new = decode(m[0])
         if new is None or new == m[0]:
             continue
         changed = True
         parts += [text[at : m.start()], new]
-        where += spans[at : m.start()]
-        where += [(spans[m.start()][0], spans[m.end() - 1][1])] * len(new)
+        if each:
+            where += spans[at : m.start()]
+            where += [(spans[m.start()][0], spans[m.end() - 1][1])] * len(new)
         at = m.end()
     if not changed:
         return None
-    return "".join([*parts, text[at:]]), where + spans[at:]
+    return "".join([*parts, text[at:]]), where + spans[at:] if each else spans
 
 
-def layers(text: str) -> list[tuple[str, list[tuple[int, int]] | None]]:
+def layers(text: str) -> list[tuple[str, list[tuple[int, int]] | Whole | None]]:
     """All layers, the text first; a layer's spans say which part of the text each character is from."""
-    work: list[tuple[str, list | None]] = [(text, None)]
+    work: list[tuple[str, list | Whole | None]] = [(text, None)]
     seen = {(text, 0, len(text))}
     k = 0
     while k < len(work):
@@ -151,7 +183,7 @@ def layers(text: str) -> list[tuple[str, list[tuple[int, int]] | None]]:
             inner = _blob(m[0])
             if inner is not None:
                 span = (spans[m.start()][0], spans[m.end() - 1][1]) if spans else m.span()
-                found.append((inner, [span] * len(inner)))
+                found.append((inner, Whole(span)))
         for new in found:
             if new is None or not new[0]:
                 continue

@@ -115,6 +115,32 @@ def test_nested_layers():
     assert len(secrets.layers("%2525252541" * 50)) < 10
 
 
+def test_packed_data_is_read_whole():
+    import bz2
+    import zlib
+
+    import zstandard
+
+    secret, filler = b" password=Hunter2Hunter2 ", b"plain words " * 20
+    zstd = zstandard.ZstdCompressor().compress
+    packers = [gzip.compress, zlib.compress, bz2.compress, zstd]
+    blobs = [p(filler) + p(filler) + p(secret) for p in packers]
+    blobs += [b"\x53\x2a\x4d\x18\x03\0\0\0abc" + zstd(filler) + b"\x50\x2a\x4d\x18\0\0\0\0" + zstd(secret)]
+    blobs += [b"".join(gzip.compress(b"few words ") for _ in range(300)) + gzip.compress(secret)]
+    blobs += [gzip.compress(b"a b " * 5_000_000 + secret)]
+    deep = secret
+    for k in range(12):
+        deep = packers[k % 4](deep)
+    for blob in (*blobs, deep):
+        text = base64.b64encode(blob).decode()
+        assert ("assign", 0, len(text.rstrip("="))) in secrets.find(text)[1] or ("assign", 0, len(text)) in secrets.find(text)[1]
+    inner = base64.b64encode(b"see password%3DHunter2Hunter2 there").decode()
+    text = base64.b64encode(gzip.compress(inner.encode())).decode()
+    assert ("assign", 4, 4 + len(text)) in secrets.find(f"x = {text} end")[1]
+    broken = gzip.compress(secret) + gzip.compress(filler)[:-9] + b"????????????"
+    assert secrets._unpacked(broken) is not None and secrets._unpacked(broken[:10] + b"????????????????") is None
+
+
 def test_language_prediction(spark):
     words = {"en": "the and with that ing thon", "de": "der und mit das ung schen", "fr": "le et avec que ment tion"}
     rnd, rows = random.Random(3), []
