@@ -154,6 +154,26 @@ def test_language_prediction(spark):
     assert all(0 <= r.score <= 1 for r in got.values())
 
 
+def test_language_is_learned_from_whole_texts(spark):
+    rnd, rows = random.Random(9), []
+    boilerplate = "notice of the archive: all of this is kept as it was found. " * 60
+    words = {lang: ["".join(rnd.choice(letters) for _ in range(6)) for _ in range(30)] for lang, letters in (("one", "abcdefgh"), ("two", "opqrstuv"))}
+    for k in range(80):
+        lang = ("one", "two")[k % 2]
+        rows.append((k, boilerplate + " ".join(rnd.choice(words[lang]) for _ in range(3000)) + f" mark{chr(97 + k % 26)}{chr(97 + k // 26)}", lang))
+    learned = language_id.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample_texts=40)
+    for lang, other in (("one", "two"), ("two", "one")):
+        held = learned[lang].split()
+        assert sum(w.decode() in words[lang] for w in held) > len(held) / 2 and not any(w.decode() in words[other] for w in held)
+
+
+def test_dictionary_shares_are_equal():
+    texts = [[bytes([97 + t, 97 + k // 26, 97 + k % 26]) * 40 for k in range(300)] for t in range(20)] + [[b"only"]]
+    held = [piece[:1] for piece in language_id.filled(texts).split()]
+    counts = [held.count(bytes([97 + t])) for t in range(20)]
+    assert max(counts) - min(counts) <= 1 and held.count(b"o") >= 1 and len(language_id.filled(texts)) == language_id.DICTIONARY_BYTES
+
+
 def test_toxicity(spark):
     rnd = random.Random(8)
     clean = "alpha beta gamma delta epsilon zeta eta theta".split()
