@@ -34,7 +34,7 @@ FIRST = {
 }
 SYLLABLES = {"latin": "ba da fa ga ka la ma na ra sa ta va be de fe ge ke le me ne re se te ve".split(), "cyrillic": "ба да га ка ла ма на ра са та ва бе де ге ке ле ме не ре се те ве".split()}
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-HINT = r"[0-9@]|\b(?:Mr|Ms|Miss|Herr|Frau|Mme|Mons|Mad|Sr|Se)|Г-|Госп"
+HINT = r"[0-9@]|(?<!\p{L})(?:Mr|Ms|Miss|Herr|Frau|Mme|Mons|Mad|Sr|Se)|Г-|Госп"
 
 
 def kind_of(raw: Column) -> Column:

@@ -170,3 +170,9 @@ def test_surrogates_stay_distinct(spark):
     rows = [(k, f"call 100-555-{k:04d} now") for k in range(300)]
     out = surrogates.pseudonymize(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()
     assert len({r.text for r in out}) == 300
+
+
+def test_title_after_an_underscore(spark):
+    rows = [(1, "said _Mr. Smith_ to __Frau Weber__"), (2, "xMr. Jones stays")]
+    got = {r.doc_id: (r.text, r.n_entities) for r in surrogates.pseudonymize(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()}
+    assert got[1][1] == 2 and "Smith" not in got[1][0] and "Weber" not in got[1][0] and got[2] == (rows[1][1], 0)
