@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,5 +30,21 @@ def uuid5(document: Column, chunk: Column, namespace: str = NAMESPACE) -> Column
 
 
 def document_id(file_hash: Column, key: Column, etag: Column, modified: Column) -> Column:
-    """The manifest's hash, else from key and etag, key and modification time, or the key alone."""
-    return F.coalesce(file_hash, F.sha2(F.concat(key, etag), 256), F.sha2(F.concat(key, modified), 256), F.sha2(key, 256))
+    """The manifest's hash, else from key and etag, key and modification time, the key's last part, or the key alone."""
+    base = F.nullif(F.element_at(F.split(key, "/"), -1), F.lit(""))
+    return F.coalesce(file_hash, F.sha2(F.concat(key, etag), 256), F.sha2(F.concat(key, modified), 256), base, F.sha2(key, 256))
+
+
+def content_digests(content: Column) -> dict[str, Column]:
+    """sha256, sha1 and md5 of bytes, as hex."""
+    return {"sha256": F.sha2(content, 256), "sha1": F.sha1(content), "md5": F.md5(content)}
+
+
+def blake2b(content: Column, size: int = 16) -> Column:
+    """BLAKE2b of bytes with a digest of ``size`` bytes, as hex; there is no built-in."""
+
+    @F.pandas_udf("string")
+    def run(s: pd.Series) -> pd.Series:
+        return pd.Series([None if x is None else hashlib.blake2b(x, digest_size=size).hexdigest() for x in s], dtype=object)
+
+    return run(content.cast("binary"))

@@ -7,30 +7,40 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def canonicalize(text: Column) -> Column:
-    """White space runs become one space; trimmed. Null is empty."""
-    return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", " "))
-
-
-def line_canonicalize(text: Column) -> Column:
-    """Newlines as LF, no blanks at line ends, trimmed as a whole. Null is empty."""
-    unix = F.regexp_replace(F.coalesce(text, F.lit("")), r"\r\n?", "\n")
-    return F.regexp_replace(F.regexp_replace(unix, r"[ \t]+(\n|$)", "$1"), r"^\s+|\s+$", "")
+#: Texts of these characters alone are NFKC already: letters of Latin, Cyrillic and Han without composition marks.
+STABLE = r"\x00-\x7F\xA1-\xA7\xA9\xAB\xAC\xAE\xB0\xB1\xB6\xB7\xBB\xBF-\u0131\u0134-\u013E\u0141-\u0148\u014A-\u017E\u0400-\u0481\u2013\u2014\u2018\u2019\u201C\u201D\u4E00-\u9FFF"
 
 
 def nfkc(text: Column) -> Column:
-    """Unicode NFKC for texts outside ASCII; needs Python, so it stays out of the other expressions."""
+    """Unicode NFKC. Only texts that it may change travel to Python; the others pass as nulls."""
+
     @F.pandas_udf("string")
     def run(s: pd.Series) -> pd.Series:
         return s.str.normalize("NFKC")
 
-    return F.when(text.rlike(r"[^\x00-\x7F]"), run(text)).otherwise(text)
+    return F.coalesce(run(F.when(text.rlike(f"[^{STABLE}]"), text)), text)
+
+
+def canonicalize(text: Column) -> Column:
+    """NFKC; white space runs become one space; trimmed. Null is empty."""
+    return squeezed(nfkc(text))
+
+
+def squeezed(text: Column) -> Column:
+    """``canonicalize`` for texts that are NFKC already, without Python."""
+    return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", " "))
+
+
+def line_canonicalize(text: Column) -> Column:
+    """NFKC; newlines as LF, no blanks at line ends, trimmed as a whole. Null is empty."""
+    unix = F.regexp_replace(F.coalesce(nfkc(text), F.lit("")), r"\r\n?", "\n")
+    return F.regexp_replace(F.regexp_replace(unix, r"[ \t]+(\n|$)", "$1"), r"^\s+|\s+$", "")
 
 
 def reflow(text: Column) -> Column:
     """Drops ``(cid:n)`` marks, control characters become spaces, then canonical."""
     plain = F.regexp_replace(F.coalesce(text, F.lit("")), r"\(cid:\d+\)", "")
-    return canonicalize(F.regexp_replace(plain, r"[\x00-\x1F\x7F]", " "))
+    return squeezed(F.regexp_replace(plain, r"[\x00-\x1F\x7F]", " "))
 
 
 def tokens(text: Column) -> Column:
@@ -48,7 +58,7 @@ def words(text: Column) -> Column:
 
 def sentences(text: Column) -> Column:
     """Parts that end in . ! or ? before white space."""
-    marked = F.regexp_replace(canonicalize(text), r"([.!?]) ", "$1\n")
+    marked = F.regexp_replace(squeezed(text), r"([.!?]) ", "$1\n")
     return F.filter(F.split(marked, "\n"), lambda s: s != "")
 
 
@@ -62,11 +72,30 @@ def html_to_text(html: Column) -> Column:
     bare = html
     for tag in ("script", "style"):
         bare = F.regexp_replace(bare, rf"(?is)<{tag}[^>]*>.*?</{tag}>", " ")
-    return canonicalize(F.regexp_replace(bare, r"(?s)<[^>]+>", " "))
+    return squeezed(F.regexp_replace(bare, r"(?s)<[^>]+>", " "))
 
 
 def html_title(html: Column) -> Column:
-    return canonicalize(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1))
+    return squeezed(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1))
+
+
+def html_markdown(html: Column) -> Column:
+    """The main content as Markdown: navigation, forms and scripts dropped, headings and list items marked."""
+    body = html
+    for tag in ("script", "style", "nav", "header", "footer", "aside", "form", "title"):
+        body = F.regexp_replace(body, rf"(?is)<{tag}\b[^>]*>.*?</{tag}>", " ")
+    body = F.regexp_replace(F.regexp_replace(body, r"(?s)<!--.*?-->", " "), r"\s+", " ")
+    for level in range(1, 7):
+        body = F.regexp_replace(body, rf"(?is)<h{level}\b[^>]*>(.*?)</h{level}>", f"\n{'#' * level} $1\n")
+    body = F.regexp_replace(body, r"(?is)<li\b[^>]*>", "\n- ")
+    body = F.regexp_replace(body, r"(?is)</?(?:p|div|br|tr|table|ul|ol|section|article|main|body|html|head)\b[^>]*>", "\n")
+    body = F.regexp_replace(F.regexp_replace(body, r"(?s)<[^>]+>", ""), r" *\n *", "\n")
+    return F.regexp_replace(F.regexp_replace(body, r"\n{2,}", "\n\n"), r"^\s+|\s+$", "")
+
+
+def decoded_tokens(tokens_: Column) -> Column:
+    """Tokens as text again, one space between them."""
+    return F.array_join(tokens_, " ")
 
 
 def file_name(url: Column) -> Column:
@@ -79,6 +108,15 @@ def extension(name: Column) -> Column:
     return F.lower(F.regexp_extract(name, r"\.([A-Za-z0-9]+)$", 1))
 
 
+def detected_extension(key: Column, content_type: Column, said_name: Column) -> Column:
+    """Extension of an object's %-decoded key, else of the file name its metadata say, else md or txt by its type; else empty."""
+    path = F.try_url_decode(F.replace(F.regexp_replace(key, r"[?#].*$", ""), F.lit("+"), F.lit("%2B")))
+    kind = F.lower(F.coalesce(content_type, F.lit("")))
+    aliased = lambda e: F.when(e.isin("markdown", "mdown"), "md").otherwise(e)
+    own, said = extension(F.coalesce(path, key)), extension(F.coalesce(said_name, F.lit("")))
+    return F.when(own != "", aliased(own)).when(said != "", aliased(said)).when(kind.contains("markdown"), "md").when(kind.startswith("text/"), "txt").otherwise("")
+
+
 def clock(seconds: Column) -> Column:
     """``HH:MM:SS.mmm``; negative times are 0."""
     ms = F.round(F.greatest(seconds, F.lit(0.0)) * 1000).cast("long")

@@ -12,6 +12,7 @@ FORMATS = {
     "jsonl": ("jsonl", "application/x-ndjson"), "ndjson": ("jsonl", "application/x-ndjson"), "json": ("jsonl", "application/json"),
     "pdf": ("pdf", "application/pdf"), "pptx": ("pptx", "application/vnd.openxmlformats-officedocument.presentationml.presentation"),
     "wav": ("wav", "audio/wav"), "png": ("images", "image/png"), "jpg": ("images", "image/jpeg"), "jpeg": ("images", "image/jpeg"), "webp": ("images", "image/webp"),
+    "tif": ("images", "image/tiff"), "tiff": ("images", "image/tiff"), "bmp": ("images", "image/bmp"), "gif": ("images", "image/gif"),
 }
 
 
@@ -44,6 +45,12 @@ def manifest_status(manifests: DataFrame, counts: DataFrame, key: str) -> DataFr
     return joined.withColumn("status", F.when(found == 0, "in-progress").when(F.col("expected_chunks").isNull() | complete, "completed").otherwise("partial"))
 
 
+def to_do(objects: DataFrame, manifests: DataFrame, counts: DataFrame, key: str) -> DataFrame:
+    """Objects that aren't completed with the same hash and as many chunks in the store as expected."""
+    done = manifests.join(counts, key).where("status = 'completed' AND found_chunks = expected_chunks").select(key, "file_hash")
+    return objects.join(done, [key, "file_hash"], "left_anti")
+
+
 def sync_plan(local: DataFrame, remote: DataFrame, path: str = "path") -> DataFrame:
     """upload, skip or delete for each path of two listings with a digest column."""
     both = local.select(path, F.col("digest").alias("ld")).join(remote.select(path, F.col("digest").alias("rd")), path, "full_outer")

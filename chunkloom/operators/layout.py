@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.folds import fold
+
 from ..functions.vectors import overlap, overlap_fraction
 
 
@@ -35,17 +38,17 @@ def ocr_lines(tokens: DataFrame, line: list[str], left: str, text: str, confiden
 
 def row_clusters(items: DataFrame, by: str, top: str, tie: str, tolerance: float) -> DataFrame:
     """Items in order of ``top``; a new row begins where an item lies more than ``tolerance`` below the running median of its row."""
-    ordered = F.array_sort(F.collect_list(F.struct(F.col(top).cast("double").alias("top"), F.col(tie).alias("tie"))))
-    start = F.struct(F.lit(0).alias("g"), F.array().cast("array<double>").alias("tops"), F.array().cast("array<int>").alias("out"))
+    def run(tops: np.ndarray) -> list:
+        out, first, row = [], 0, 0
+        for k, y in enumerate(tops.tolist()):
+            # tops arrive in order, so the row's middle one is its median
+            if not k or abs(y - tops[first + (k - first) // 2]) > tolerance:
+                first, row = k, row + 1
+            out.append(row)
+        return out
 
-    def step(state, e):
-        n = F.size(state["tops"])
-        middle = F.get(state["tops"], F.floor(n / 2).cast("int"))  # tops arrive in order
-        same = (n > 0) & (F.abs(e["top"] - middle) <= tolerance)
-        g = F.when(same, state["g"]).otherwise(state["g"] + 1)
-        return F.struct(g.alias("g"), F.when(same, F.concat(state["tops"], F.array(e["top"]))).otherwise(F.array(e["top"])).alias("tops"), F.concat(state["out"], F.array(g)).alias("out"))
-
-    folded = items.groupBy(by).agg(ordered.alias("o")).withColumn("g", F.aggregate("o", start, step)["out"])
+    ordered = F.array_sort(F.collect_list(F.struct(F.col(top).cast("double").alias("top"), F.col(tie).alias("tie"))))
+    folded = items.groupBy(by).agg(ordered.alias("o")).withColumn("g", fold(F.transform("o", lambda e: e["top"]), "array<int>", run, float))
     return folded.select(by, F.explode(F.arrays_zip("o", "g")).alias("z")).select(by, F.col("z.o.tie").alias(tie), F.col("z.g").alias("row"))
 
 

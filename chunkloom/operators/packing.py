@@ -1,71 +1,112 @@
 """Greedy packing under a token budget, as folds inside one row's arrays.
 
-Boundaries depend on what came before, so they are worked out by ``aggregate`` over small numbers; texts
-are sliced afterwards. Each document is one row, so documents are independent and nothing is sorted
-across them.
+Boundaries depend on what came before, so they are worked out from the token counts alone; texts are sliced
+afterwards. Each document is one row, so documents are independent and nothing is sorted across them.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..functions.folds import fold, rows_of
 
-def prefix_sums(counts: Column) -> Column:
-    """0 and the running sums of the counts."""
-    zero = F.array(F.lit(0).cast("long"))
-    return F.aggregate(counts, zero, lambda acc, c: F.concat(acc, F.array(F.element_at(acc, -1) + c.cast("long"))))
 
-
-def pack(counts: Column, budget: int, overlap_tokens: int = 0, overlap_items: int = 0) -> Column:
+def pack(counts: Column, budget: int, overlap_tokens: int = 0, overlap_items: int = 0, least: int = 0) -> Column:
     """Array of (first, last, tokens), 1-based and inclusive.
 
     An item more joins while the sum stays within the budget; the first always joins. The next chunk goes
     back over the items that cover ``overlap_tokens``, or over ``overlap_items`` items, but starts after
-    the previous start. Packing ends with the chunk that holds the last item.
+    the previous start. Packing ends with the chunk that holds the last item. A chunk of fewer than ``least``
+    tokens is added to the one before, whose tokens may then exceed the budget.
     """
-    start = F.struct(prefix_sums(counts).alias("sums"), F.lit(0).alias("at"), F.array().cast("array<struct<first:int,last:int,tokens:bigint>>").alias("out"))
-
-    def step(state, _):
-        at, sums = state["at"], state["sums"]  # in the state, so that they are worked out once
-        n = F.size(sums) - 1
-        base = F.get(sums, at)
-        fits = (F.size(F.filter(sums, lambda s, i: (i > at) & (s <= base + budget))) + at).cast("int")
-        end = F.greatest(fits, at + 1)
-        if overlap_tokens:
-            back = (F.size(F.filter(sums, lambda s: s <= F.get(sums, end) - overlap_tokens)) - 1).cast("int")
-            following = F.greatest(at + 1, back)
-        else:
-            following = F.greatest(at + 1, end - overlap_items)
-        row = F.struct((at + 1).alias("first"), end.alias("last"), (F.get(sums, end) - base).alias("tokens"))
-        moved = F.struct(sums.alias("sums"), F.when(end >= n, n).otherwise(following).alias("at"), F.concat(state["out"], F.array(row)).alias("out"))
-        return F.when(at >= n, state).otherwise(moved)
-
-    return F.aggregate(counts, start, step)["out"]
+
+    def run(c: np.ndarray) -> list:
+        sums, n = np.concatenate([[0], np.cumsum(c)]), len(c)
+        at, out = 0, []
+        while at < n:
+            end = max(at + 1, int(np.searchsorted(sums, sums[at] + budget, "right")) - 1)
+            tokens = int(sums[end] - sums[at])
+            if out and tokens < least:
+                out[-1][1], out[-1][2] = end, out[-1][2] + tokens
+            else:
+                out.append([at + 1, end, tokens])
+            if end >= n:
+                break
+            back = int(np.searchsorted(sums, sums[end] - overlap_tokens, "right")) - 1 if overlap_tokens else end - overlap_items
+            at = max(at + 1, back)
+        return out
+
+    return rows_of(counts, {"first": "int", "last": "int", "tokens": "bigint"}, run)
+
+
+def _groups(joins):
+    """Group numbers from 1; ``joins(sum, count)`` says whether an item joins the group before."""
+
+    def run(c: np.ndarray) -> list:
+        out, total, group = [], 0, 0
+        for x in c.tolist():
+            if group and joins(total, x):
+                total += x
+            else:
+                total, group = x, group + 1
+            out.append(group)
+        return out
+
+    return run
 
 
 def groups_of_rows(counts: Column, header: int, budget: int) -> Column:
     """Group number of each row: rows join while header and rows stay within the budget; a row over it is alone."""
-    start = F.struct(F.lit(0).cast("long").alias("sum"), F.lit(0).alias("g"), F.array().cast("array<int>").alias("out"))
+    return fold(counts, "array<int>", _groups(lambda total, c: total + c + header <= budget))
 
-    def step(state, c):
-        fits = (F.size(state["out"]) > 0) & (state["sum"] + c + header <= budget)
-        g = F.when(fits, state["g"]).otherwise(state["g"] + 1)
-        return F.struct(F.when(fits, state["sum"] + c).otherwise(c.cast("long")).alias("sum"), g.alias("g"), F.concat(state["out"], F.array(g)).alias("out"))
 
-    return F.aggregate(counts, start, step)["out"]
+def header_tokens(header: Column, budget: int) -> Column:
+    """A header that fills the budget by itself is left out of all chunks."""
+    return F.when(header >= budget, F.lit(0)).otherwise(header).cast("long")
 
 
-def merged_sections(counts: Column, threshold: int, most: int) -> Column:
-    """Group number of each section: a group below the threshold takes the next section unless that exceeds ``most``."""
-    start = F.struct(F.lit(0).cast("long").alias("sum"), F.lit(0).alias("g"), F.array().cast("array<int>").alias("out"))
+def row_chunks(counts: Column, header: Column, budget: int, share: float = 0.1) -> Column:
+    """Array of (first, last, token_start, token_end, with_header, tokens) for the rows of one batch.
+
+    Rows join while header and rows stay within the budget. A row over the budget ends the group before it
+    and is cut into token windows that overlap by ``share``; each window has the header if both fit. Token
+    bounds are null for groups of rows. The header counts as ``header_tokens`` says.
+    """
+    overlap = int(budget * share)
+
+    def run(c: np.ndarray) -> list:
+        head, out, first, total = int(c[0]), [], None, 0
+        for k, x in enumerate(c[1:].tolist(), 1):
+            if x > budget:
+                if first is not None:
+                    out.append([first, k - 1, None, None, int(head > 0), total + head])
+                first, at = None, 0
+                while True:
+                    end = min(x, at + budget)
+                    fits = head > 0 and head + end - at <= budget
+                    out.append([k, k, at, end, int(fits), end - at + (head if fits else 0)])
+                    if end >= x:
+                        break
+                    at += budget - overlap
+            elif first is not None and total + x + head <= budget:
+                total += x
+            else:
+                if first is not None:
+                    out.append([first, k - 1, None, None, int(head > 0), total + head])
+                first, total = k, x
+        if first is not None:
+            out.append([first, len(c) - 1, None, None, int(head > 0), total + head])
+        return out
+
+    fields = {"first": "int", "last": "int", "token_start": "int", "token_end": "int", "with_header": "boolean", "tokens": "bigint"}
+    return rows_of(F.concat(F.array(header_tokens(header, budget)), counts.cast("array<bigint>")), fields, run)
 
-    def step(state, c):
-        joins = (F.size(state["out"]) > 0) & (state["sum"] < threshold) & (state["sum"] + c <= most)
-        g = F.when(joins, state["g"]).otherwise(state["g"] + 1)
-        return F.struct(F.when(joins, state["sum"] + c).otherwise(c.cast("long")).alias("sum"), g.alias("g"), F.concat(state["out"], F.array(g)).alias("out"))
 
-    return F.aggregate(counts, start, step)["out"]
+def merged_sections(counts: Column, threshold: int, most: int) -> Column:
+    """Group number of each section: a group below the threshold takes the next section unless that exceeds ``most``."""
+    return fold(counts, "array<int>", _groups(lambda total, c: total < threshold and total + c <= most))
 
 
 def pieces(words: Column, most: int) -> Column:

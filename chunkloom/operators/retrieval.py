@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
+from functools import reduce
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,6 +14,8 @@ from ..functions.vectors import dot, l2_normalize
 
 #: Rows of a query table up to which it is broadcast; a larger one is shuffled.
 MOST_BROADCAST = 10_000
+#: Query vectors that go out at once.
+QUERY_BLOCK = 4_096
 
 
 def small(df: DataFrame) -> DataFrame:
@@ -26,11 +30,44 @@ def top_k(scored: DataFrame, by: str, score: str, tie: str, k: int) -> DataFrame
 
 
 def vector_topk(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """Exact cosine top-k of all vectors for each query (query_id, query_vector)."""
-    own = vectors.select(F.col(id_col).alias("id"), l2_normalize(F.col(vector_col)).alias("v"))
-    asked = queries.select("query_id", l2_normalize(F.col("query_vector")).alias("q"))
-    scored = own.join(small(asked), F.lit(True)).select("query_id", "id", F.round(dot(F.col("v"), F.col("q")), 6).alias("score"))
-    return top_k(scored, "query_id", "score", "id", k)
+    """Exact cosine top-k of all vectors for each query (query_id, query_vector), scores to six digits.
+
+    Queries go out in blocks of ``QUERY_BLOCK``, one pass over the vectors each. A batch of vectors is multiplied
+    with a block as matrices and returns only rows that may be among the k best. Vectors of another length or
+    with null or non-finite components are left out.
+    """
+    spark, blocks = vectors.sparkSession, max(1, -(-queries.count() // QUERY_BLOCK))
+    own = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v")).where("size(v) > 0")
+
+    def unit(rows) -> np.ndarray:
+        x = np.array(rows, np.float64)
+        return x / (np.linalg.norm(x, axis=1, keepdims=True) + 1e-12)
+
+    def scored(block: int) -> DataFrame:
+        rows = queries.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block).select(F.col("query_id").cast("long"), F.col("query_vector").cast("array<double>")).collect()
+        sent = spark.sparkContext.broadcast([(r[0], r[1]) for r in rows])  # about QUERY_BLOCK vectors
+
+        def run(batches):
+            asked: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+            for width in {len(v) for _, v in sent.value}:
+                some = [(i, v) for i, v in sent.value if len(v) == width]
+                asked[width] = np.array([i for i, _ in some]), unit([v for _, v in some])
+            for batch in batches:
+                lists = batch.column(1).to_pylist()
+                for width, (names, q) in asked.items():
+                    at = [r for r, v in enumerate(lists) if len(v) == width and None not in v]
+                    if not at:
+                        continue
+                    x = np.round(q @ unit([lists[r] for r in at]).T, 6)
+                    x[:, ~np.isfinite(x).all(0)] = -np.inf
+                    least = np.full((len(q), 1), -np.inf) if len(at) <= k else -np.partition(-x, k - 1, 1)[:, k - 1 : k]
+                    row, column = np.nonzero((x >= least) & np.isfinite(x))
+                    ids = batch.column(0).to_numpy(zero_copy_only=False)[at]
+                    yield pa.RecordBatch.from_arrays([pa.array(names[row]), pa.array(ids[column]), pa.array(x[row, column])], names=["query_id", "id", "score"])
+
+        return own.mapInArrow(run, "query_id long, id long, score double")
+
+    return top_k(reduce(DataFrame.unionByName, map(scored, range(blocks))), "query_id", "score", "id", k)
 
 
 def ivf_lists(vectors: DataFrame, centroids: int, seed: int = 7, id_col: str = "vec_id", vector_col: str = "embedding", sample_rows: int = 20_000):
@@ -54,21 +91,57 @@ def ivf_search(model, lists: DataFrame, queries: DataFrame, k: int, probes: int)
     return top_k(scored, "query_id", "score", "id", k)
 
 
-def bm25(docs: DataFrame, queries: DataFrame, id_col: str, words: Callable[[Column], Column], k1: float = 1.2, b: float = 0.75) -> DataFrame:
-    """(query_id, id, score) of documents that share a term with the query; any term counts.
+def term_counts(docs: DataFrame, terms: DataFrame, id_col: str, words: Callable[[Column], Column]) -> DataFrame:
+    """(term, id, len, tf) of the documents that hold a term. Words that no query asks for don't leave their row."""
+    split = docs.select(F.col(id_col).alias("id"), words(F.col("text")).alias("w"))
+    asked = terms.select("term").distinct()
+    few = [r[0] for r in asked.limit(MOST_BROADCAST + 1).collect()]
+    if len(few) <= MOST_BROADCAST:
+        said = split.select("id", F.size("w").alias("len"), F.explode(F.filter("w", lambda x: x.isin(*few)) if few else F.array().cast("array<string>")).alias("term"))
+    else:
+        said = split.select("id", F.size("w").alias("len"), F.explode("w").alias("term")).join(asked, "term", "left_semi")
+    return said.groupBy("term", "id", "len").agg(F.count(F.lit(1)).alias("tf"))
 
-    Only postings of query terms are shuffled; document lengths are taken where the words are split.
+
+def text_signals(docs: DataFrame, queries: DataFrame, id_col: str, words: Callable[[Column], Column], k1: float = 1.2, b: float = 0.75) -> DataFrame:
+    """(query_id, id, bm25, lex) of documents that share a term with the query, from one scan and one for the lengths.
+
+    lex is the share of the query's distinct words that the document holds.
     """
-    terms = queries.select("query_id", F.explode(F.array_distinct(words(F.col("query")))).alias("term"))
-    split = docs.select(F.col(id_col).alias("id"), words(F.col("text")).alias("w"))
-    stats = split.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("w")).alias("avg_len"))
-    postings = split.select("id", F.size("w").alias("len"), F.explode("w").alias("term")).join(small(terms.select("term").distinct()), "term")
-    tf = postings.groupBy("term", "id", "len").agg(F.count(F.lit(1)).alias("tf"))
+    asked = queries.select("query_id", F.array_distinct(words(F.col("query"))).alias("w"))
+    terms = asked.select("query_id", F.size("w").alias("asked"), F.explode("w").alias("term"))
+    stats = docs.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size(words(F.col("text")))).alias("avg_len"))
+    tf = term_counts(docs, terms, id_col, words)
     df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     part = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("len") / F.col("avg_len")))
     scored = tf.join(df, "term").crossJoin(F.broadcast(stats)).select("term", "id", part.alias("s"))  # stats is one row
-    return scored.join(terms, "term").groupBy("query_id", "id").agg(F.round(F.sum("s"), 6).alias("score"))
+    by_pair = scored.join(small(terms), "term").groupBy("query_id", "id", "asked").agg(F.sum("s").alias("s"), F.count(F.lit(1)).alias("held"))
+    return by_pair.select("query_id", "id", F.round("s", 6).alias("bm25"), F.round(F.col("held") / F.col("asked"), 6).alias("lex"))
+
+
+def bm25(docs: DataFrame, queries: DataFrame, id_col: str, words: Callable[[Column], Column], k1: float = 1.2, b: float = 0.75) -> DataFrame:
+    """(query_id, id, score); any term counts."""
+    return text_signals(docs, queries, id_col, words, k1, b).select("query_id", "id", F.col("bm25").alias("score"))
+
+
+def substring_hits(texts: DataFrame, queries: DataFrame, id_col: str = "id") -> DataFrame:
+    """(query_id, id) of the texts that hold the query as it is.
+
+    A word between two blanks of the query stands between blanks of the text too, so the longest of these finds
+    the candidates; only queries of one or two words are looked for in all texts.
+    """
+    inner = F.filter(F.slice(F.split("query", " "), F.lit(2), F.greatest(F.size(F.split("query", " ")) - 2, F.lit(0))), lambda w: w != "")
+    longest = F.element_at(F.array_sort(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w")))), -1)["w"]
+    asked = queries.select("query_id", "query", F.when(F.size(inner) > 0, longest).alias("word"))
+    long_, short = asked.where("word IS NOT NULL"), asked.where("word IS NULL")
+    few = [r[0] for r in long_.select("word").distinct().limit(MOST_BROADCAST + 1).collect()]
+    words = F.array_distinct(F.split("text", " "))
+    held = texts.select(id_col, "text", F.explode(F.filter(words, lambda x: x.isin(*few)) if 0 < len(few) <= MOST_BROADCAST else words).alias("word"))
+    found = held.join(small(long_), "word").where(F.col("text").contains(F.col("query"))).select("query_id", id_col)
+    if short.isEmpty():
+        return found
+    return found.unionByName(texts.join(small(short.drop("word")), F.col("text").contains(F.col("query"))).select("query_id", id_col))
 
 
 def lexical_overlap(query_words: Column, text_words: Column) -> Column:
@@ -81,19 +154,7 @@ def hash_embedding(dimensions: int) -> Callable[[Column], Column]:
     """A deterministic embedder from hashed words, in place of a model service."""
 
     def embed(words: Column) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.lit(dimensions - 1)), lambda d: F.size(F.filter(words, lambda w: F.pmod(F.crc32(w.cast("binary")), F.lit(dimensions)) == d)).cast("double"))
+        places = F.transform(words, lambda w: F.pmod(F.crc32(w.cast("binary")), F.lit(dimensions)))
+        return F.transform(F.sequence(F.lit(0), F.lit(dimensions - 1)), lambda d: F.size(F.filter(places, lambda p: p == d)).cast("double"))
 
     return embed
-
-
-def apply_model(df: DataFrame, column: str, output: str, model: Callable[[list], list], returns: str) -> DataFrame:
-    """A model service as Arrow batches: ``model`` maps a list of inputs to a list of outputs of equal length."""
-    @F.pandas_udf(returns)
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            out = model(batch.tolist())
-            if len(out) != len(batch):
-                raise ValueError("the model returned another number of outputs")
-            yield pd.Series(out)
-
-    return df.withColumn(output, run(F.col(column)))

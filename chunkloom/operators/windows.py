@@ -26,13 +26,14 @@ def token_windows(df: DataFrame, tokens: str, width: int, overlap: int, keep: li
     return out.select(*keep, "window_index", "token_start", end.alias("token_end"), (end - F.col("token_start")).alias("token_count"), text.alias("text"))
 
 
-def char_windows(df: DataFrame, text: str, budget: int, overlap_tokens: int, keep: list[str]) -> DataFrame:
-    """Windows of a long line by its characters per token: at least 200 wide, stepping on by the rest of the overlap."""
+def char_windows(df: DataFrame, text: str, budget: int, overlap_tokens: int, keep: list[str], most: int = 1000) -> DataFrame:
+    """Windows of a long line by its whole characters per token: at least 200 wide, stepping on by the rest of the
+    overlap, ``most`` of them."""
     n = F.length(text)
-    count = F.greatest(F.size(F.split(F.trim(text), r"\s+")), F.lit(1))
-    width = F.greatest(F.lit(200), F.floor(n * F.lit(budget) / count).cast("int"))
-    step = F.greatest(F.lit(1), width - F.floor(n * F.lit(overlap_tokens) / count).cast("int"))
-    last = F.greatest(F.lit(0), F.ceil((n - width) / step).cast("int"))
+    each = F.greatest(F.lit(1), F.floor(n / F.greatest(F.size(F.filter(F.split(text, r"\s+"), lambda t: t != "")), F.lit(1))).cast("int"))
+    width = F.greatest(F.lit(200), each * budget)
+    step = F.greatest(F.lit(1), width - each * overlap_tokens)
+    last = F.least(F.lit(most - 1), F.greatest(F.lit(0), F.ceil((n - width) / step).cast("int")))
     out = df.select(*keep, F.col(text).alias("_x"), width.alias("_w"), step.alias("_s"), F.explode(F.sequence(F.lit(0), last)).alias("window_index"))
     return out.select(*keep, "window_index", F.substr("_x", F.col("window_index") * F.col("_s") + 1, F.col("_w")).alias("text"))
 
@@ -42,9 +43,9 @@ def tumbling(number: Column, size: int) -> Column:
     return F.floor((number - 1) / size).cast("long")
 
 
-def islands(df: DataFrame, by: list[str], start: str, end: str, factor: float) -> DataFrame:
+def islands(df: DataFrame, by: list[str], start: str, end: str, factor: float, tie: str | None = None) -> DataFrame:
     """Gaps and islands: a new island after a gap of more than ``factor`` times the median gap of its group."""
-    order = Window.partitionBy(*by).orderBy(start, end)
+    order = Window.partitionBy(*by).orderBy(start, tie or end)
     gapped = df.withColumn("gap", F.col(start) - F.lag(end).over(order))
     median = F.expr("percentile(gap, 0.5)").over(Window.partitionBy(*by))
     jump = F.when(F.col("gap") > median * factor, 1).otherwise(0)

@@ -29,6 +29,6 @@ def query(sql: str | None = None):
 
 
 def load() -> dict:
-    from . import chunking, indexing, layouts, relations, retrievals, streams, texts  # noqa: F401
+    from . import chunking, indexing, layouts, relations, retrievals, stores, streams, texts  # noqa: F401
 
     return ENTRIES

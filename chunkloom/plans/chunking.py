@@ -36,10 +36,10 @@ def html_windows(spark, d):
 
 @query(
     r"""SELECT doc_id, k AS window_index, sha256(substr(x, k * s + 1, w)) AS digest FROM (
-SELECT doc_id, x, w, s, unnest(range(0, CAST(greatest(0, ceil((length(x) - w) / s)) AS BIGINT) + 1)) AS k FROM (
-SELECT doc_id, x, w, greatest(1, w - CAST(floor(length(x) * 20 / c) AS BIGINT)) AS s FROM (
-SELECT doc_id, x, c, greatest(200, CAST(floor(length(x) * 200 / c) AS BIGINT)) AS w FROM (
-SELECT doc_id, x, greatest(len(regexp_split_to_array(trim(x), '\s+')), 1) AS c FROM (SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS x FROM documents)))))"""
+SELECT doc_id, x, w, s, unnest(range(0, least(999, CAST(greatest(0, ceil((length(x) - w) / s)) AS BIGINT)) + 1)) AS k FROM (
+SELECT doc_id, x, greatest(200, e * 200) AS w, greatest(1, greatest(200, e * 200) - e * 20) AS s FROM (
+SELECT doc_id, x, greatest(1, length(x) // greatest(1, len(list_filter(regexp_split_to_array(x, '\s+'), lambda t: t <> '')))) AS e FROM (
+SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS x FROM documents))))"""
 )
 def char_windows(spark, d):
     docs = table(spark, d, "documents").select("doc_id", text.canonicalize(F.col("text")).alias("x"))
@@ -73,11 +73,9 @@ SELECT *, quantile_cont(gap, 0.5) OVER (PARTITION BY user_id) AS median_gap FROM
 SELECT user_id, event_id, s, s - lag(s) OVER (PARTITION BY user_id ORDER BY s, event_id) AS gap FROM (SELECT user_id, event_id, epoch_us(ts) / 1000000 AS s FROM events)))"""
 )
 def gap_islands(spark, d):
-    events = table(spark, d, "events").select("user_id", "event_id", (F.unix_micros(F.col("ts").cast("timestamp")) / 1000000).alias("s"))
-    order = Window.partitionBy("user_id").orderBy("s", "event_id")
-    gapped = events.withColumn("gap", F.col("s") - F.lag("s").over(order)).withColumn("m", F.expr("percentile(gap, 0.5)").over(Window.partitionBy("user_id")))
-    jump = F.when(F.col("gap") > F.lit(1.5) * F.col("m"), 1).otherwise(0)
-    return gapped.withColumn("island", F.sum(jump).over(order.rowsBetween(Window.unboundedPreceding, 0))).select("user_id", "event_id", "island")
+    s = F.unix_micros(F.col("ts").cast("timestamp")) / 1000000
+    events = table(spark, d, "events").select("user_id", "event_id", s.alias("s"), s.alias("e"))
+    return windows.islands(events, ["user_id"], "s", "e", 1.5, tie="event_id").select("user_id", "event_id", "island")
 
 
 @query(
@@ -156,7 +154,8 @@ SENTENCES = r"list_filter(string_split(regexp_replace(trim(regexp_replace(text,
 def sentence_chunks(spark, d):
     docs = table(spark, d, "documents").select(F.col("doc_id").alias("doc"), text.sentences(F.col("text")).alias("s"))
     parts = F.flatten(F.transform("s", lambda s: F.transform(packing.pieces(F.split(s, " "), 60), F.size)))
-    chunks = docs.select("doc", F.posexplode(packing.pack(parts, 120, overlap_items=2)).alias("chunk_no", "x"))
+    packed = docs.select("doc", parts.alias("c")).withColumn("x", packing.pack(F.col("c"), 120, overlap_items=2))
+    chunks = packed.select("doc", F.posexplode("x").alias("chunk_no", "x"))
     return chunks.select("doc", "chunk_no", F.col("x.first").alias("item_first"), F.col("x.last").alias("item_last"), F.col("x.tokens").alias("tokens"))
 
 
@@ -173,6 +172,38 @@ def merge_sections(spark, d):
     return flat.groupBy("doc", F.col("z.g").alias("group_no")).agg((F.min("i") + 1).alias("first"), (F.max("i") + 1).alias("last"), F.sum("z.c").alias("tokens"))
 
 
+@query(
+    _pack_sql(
+        rf"""SELECT doc_id AS doc, list_transform({SENTENCES}, lambda s: least(60, len(string_split(s, ' ')))) AS c FROM documents""",
+        60,
+        "e - 1",
+    )
+)
+def sentence_overlaps(spark, d):
+    """Long sentences cut to the budget, one sentence of overlap."""
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("doc"), F.transform(text.sentences(F.col("text")), lambda s: F.least(F.lit(60), F.size(F.split(s, " ")))).alias("c"))
+    chunks = docs.select("doc", F.posexplode(packing.pack(F.col("c"), 60, overlap_items=1)).alias("chunk_no", "x"))
+    return chunks.select("doc", "chunk_no", F.col("x.first").alias("item_first"), F.col("x.last").alias("item_last"), F.col("x.tokens").alias("tokens"))
+
+
+LINE_COUNTS = r"""SELECT doc_id AS doc, generate_subscripts(l, 1) AS i, unnest(l) AS c FROM (SELECT doc_id, list_transform(string_split(text, chr(10)), lambda l: CAST(len(list_filter(regexp_split_to_array(l, '\s+'), lambda t: t <> '')) AS BIGINT)) AS l FROM documents)"""
+
+
+@query(
+    f"""WITH RECURSIVE q AS ({LINE_COUNTS}),
+f AS (SELECT doc, i, c, c AS s, CAST(1 AS BIGINT) AS g FROM q WHERE i = 1
+UNION ALL SELECT q.doc, q.i, q.c, CASE WHEN q.c <= 80 AND f.c <= 80 AND f.s + q.c + 7 <= 80 THEN f.s + q.c ELSE q.c END, CASE WHEN q.c <= 80 AND f.c <= 80 AND f.s + q.c + 7 <= 80 THEN f.g ELSE f.g + 1 END FROM f JOIN q ON q.doc = f.doc AND q.i = f.i + 1)
+SELECT doc, min(i) AS row_first, max(i) AS row_last, CAST(NULL AS BIGINT) AS token_start, CAST(NULL AS BIGINT) AS token_end, true AS with_header, CAST(sum(c) + 7 AS BIGINT) AS tokens FROM f WHERE c <= 80 GROUP BY doc, g
+UNION ALL SELECT doc, i, i, a, least(c, a + 80), least(c, a + 80) - a + 7 <= 80, CAST(least(c, a + 80) - a + CASE WHEN least(c, a + 80) - a + 7 <= 80 THEN 7 ELSE 0 END AS BIGINT)
+FROM (SELECT doc, i, c, 72 * unnest(range(0, CAST(ceil((c - 80) / 72) AS BIGINT) + 1)) AS a FROM q WHERE c > 80)"""
+)
+def oversize_rows(spark, d):
+    """Rows packed under a header of 7 tokens, rows over the budget cut into windows."""
+    docs = table(spark, d, "documents").where("text IS NOT NULL").select(F.col("doc_id").alias("doc"), F.transform(F.split("text", "\n"), lambda x: text.token_count(x)).alias("c"))
+    chunks = docs.select("doc", F.explode(packing.row_chunks(F.col("c"), F.lit(7), 80)).alias("x"))
+    return chunks.select("doc", F.col("x.first").alias("row_first"), F.col("x.last").alias("row_last"), "x.token_start", "x.token_end", "x.with_header", "x.tokens")
+
+
 MD_LINES = """SELECT doc, line_no, line, CASE WHEN line_no % 7 = 1 THEN CAST(1 + (doc + line_no) % 3 AS BIGINT) ELSE 0 END AS level FROM (SELECT doc_id AS doc, unnest(l) AS line, generate_subscripts(l, 1) AS line_no FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents))"""
 
 

@@ -2,22 +2,23 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..functions.vectors import distance_score
-from ..operators import fusion, graph, retrieval
+from ..functions.vectors import distance_score, dot, l2_normalize
+from ..operators import fusion, graph, retrieval, store
 from . import query, table
 
 WORDS = "list_filter(regexp_split_to_array(lower(text), '[^a-z0-9_]+'), lambda w: w <> '')"
 DOT = "list_sum(list_transform(list_zip(v.embedding, q.embedding), lambda p: CAST(p[1] AS DOUBLE) * CAST(p[2] AS DOUBLE)))"
 COSINE = f"round({DOT} / (sqrt(list_sum(list_transform(v.embedding, lambda x: CAST(x AS DOUBLE) * x))) * sqrt(list_sum(list_transform(q.embedding, lambda x: CAST(x AS DOUBLE) * x)))), 6)"
-VEC = f"SELECT q.vec_id AS query_id, v.vec_id AS id, {COSINE} AS score FROM embeddings v JOIN embeddings q ON q.vec_id < 8"
-BM25 = f"""WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents), st AS (SELECT count(*) AS n, avg(len(w)) AS al FROM d),
-t AS (SELECT DISTINCT item_id, unnest({WORDS}) AS term FROM benchmark WHERE item_id < 8), p AS (SELECT doc_id, len(w) AS l, unnest(w) AS term FROM d),
+VEC = f"SELECT q.vec_id AS query_id, v.vec_id AS id, {COSINE} AS score FROM embeddings v JOIN embeddings q ON q.vec_id % 20 = 0"
+SIGNALS = f"""d AS (SELECT doc_id, {WORDS} AS w FROM documents), st AS (SELECT count(*) AS n, avg(coalesce(len(w), 0)) AS al FROM d),
+t AS (SELECT item_id, len(q) AS asked, unnest(q) AS term FROM (SELECT item_id, list_distinct({WORDS}) AS q FROM benchmark WHERE item_id % 20 = 0)), p AS (SELECT doc_id, len(w) AS l, unnest(w) AS term FROM d),
 tf AS (SELECT term, doc_id, l, count(*) AS tf FROM p WHERE term IN (SELECT term FROM t) GROUP BY ALL), df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
-bm AS (SELECT item_id AS query_id, doc_id AS id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * l / al))), 6) AS score FROM tf JOIN df USING (term) JOIN t USING (term), st GROUP BY ALL)"""
-LEX = f"""SELECT item_id AS query_id, doc_id AS id, round(len(list_intersect(list_distinct(q), list_distinct(w))) / len(list_distinct(q)), 6) AS score FROM (SELECT doc_id, {WORDS} AS w FROM documents), (SELECT item_id, {WORDS} AS q FROM benchmark WHERE item_id < 8)"""
+sig AS (SELECT item_id AS query_id, doc_id AS id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * l / al))), 6) AS bm25, round(count(*) / any_value(asked), 6) AS lex FROM tf JOIN df USING (term) JOIN t USING (term), st GROUP BY ALL),
+bm AS (SELECT query_id, id, bm25 AS score FROM sig), l AS (SELECT query_id, id, lex AS score FROM sig)"""
 
 
 def _top(rows: str, k: int) -> str:
@@ -25,21 +26,20 @@ def _top(rows: str, k: int) -> str:
 
 
 def asked_vectors(spark, d):
-    return table(spark, d, "embeddings").where("vec_id < 8").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vector"))
+    """Every twentieth vector asks."""
+    return table(spark, d, "embeddings").where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vector"))
 
 
 def asked_texts(spark, d):
-    return table(spark, d, "benchmark").where("item_id < 8").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
+    return table(spark, d, "benchmark").where("item_id % 20 = 0").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
 
 
-def bm25_scores(spark, d):
-    return retrieval.bm25(table(spark, d, "documents"), asked_texts(spark, d), "doc_id", text.words)
+def signals(spark, d):
+    return retrieval.text_signals(table(spark, d, "documents"), asked_texts(spark, d), "doc_id", text.words)
 
 
-def lex_scores(spark, d):
-    asked = asked_texts(spark, d).select("query_id", text.words(F.col("query")).alias("q"))
-    docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), text.words(F.col("text")).alias("w"))
-    return docs.join(retrieval.small(asked), F.lit(True)).select("query_id", "id", F.round(retrieval.lexical_overlap(F.col("q"), F.col("w")), 6).alias("score"))
+def best(rows, score: str, k: int):
+    return retrieval.top_k(rows.select("query_id", "id", F.col(score).alias("score")), "query_id", "score", "id", k)
 
 
 @query(_top(VEC, 50))
@@ -51,30 +51,30 @@ def vector_topk(spark, d):
 def ivf_topk(spark, d):
     vectors = table(spark, d, "embeddings")
     model, lists = retrieval.ivf_lists(vectors, 16)
-    asked = vectors.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vector"))
-    return retrieval.ivf_search(model, lists, asked, 10, probes=8)
+    return retrieval.ivf_search(model, lists, asked_vectors(spark, d), 10, probes=12)
 
 
-@query(f"{BM25} {_top('SELECT * FROM bm', 30)}")
+@query(f"WITH {SIGNALS} {_top('SELECT * FROM bm', 30)}")
 def bm25_topk(spark, d):
-    return retrieval.top_k(bm25_scores(spark, d), "query_id", "score", "id", 30)
+    return best(signals(spark, d), "bm25", 30)
 
 
-@query(_top(LEX, 20))
+@query(f"WITH {SIGNALS} {_top('SELECT * FROM l', 20)}")
 def lexical_overlap(spark, d):
-    return retrieval.top_k(lex_scores(spark, d), "query_id", "score", "id", 20)
+    return best(signals(spark, d), "lex", 20)
 
 
-@query("SELECT item_id, doc_id FROM documents JOIN benchmark ON contains(lower(documents.text), lower(benchmark.text)) WHERE item_id < 20")
+@query("SELECT item_id, doc_id FROM documents JOIN benchmark ON contains(lower(documents.text), lower(benchmark.text)) WHERE item_id % 20 = 0")
 def substring_search(spark, d):
-    asked = table(spark, d, "benchmark").where("item_id < 20").select("item_id", F.lower("text").alias("q"))
-    docs = table(spark, d, "documents").select("doc_id", F.lower("text").alias("t"))
-    return docs.join(retrieval.small(asked), F.col("t").contains(F.col("q"))).select("item_id", "doc_id")
+    asked = asked_texts(spark, d).withColumn("query", F.lower("query"))
+    docs = table(spark, d, "documents").select("doc_id", F.lower("text").alias("text"))
+    return retrieval.substring_hits(docs, asked, "doc_id").select(F.col("query_id").alias("item_id"), "doc_id")
 
 
-@query(f"SELECT query_id AS src, id AS dst, score FROM ({_top(f'SELECT * FROM ({VEC}) WHERE query_id <> id', 5)})")
+@query(f"SELECT query_id AS src, id AS dst, score FROM ({_top(f'SELECT * FROM ({VEC.replace("q.vec_id % 20 = 0", "true")}) WHERE query_id <> id', 5)})")
 def knn_edges(spark, d):
-    own = asked_vectors(spark, d)
+    """The five nearest others of every vector."""
+    own = table(spark, d, "embeddings").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vector"))
     found = retrieval.vector_topk(table(spark, d, "embeddings"), own, 6).where("query_id <> id")
     return retrieval.top_k(found.drop("rank"), "query_id", "score", "id", 5).select(F.col("query_id").alias("src"), F.col("id").alias("dst"), "score")
 
@@ -113,9 +113,9 @@ def graph_neighbors(spark, d):
     return graph.expand(seeds, _edges(spark, d), 1).select("seed", "key", "hop", graph.hop_score(F.col("hop")).alias("score"))
 
 
-@query(_hops(EDGES, 2, "SELECT n_nationkey AS s FROM nation WHERE n_nationkey < 6"))
+@query(_hops(EDGES, 2, "SELECT n_nationkey AS s FROM nation"))
 def gear_expand(spark, d):
-    seeds = table(spark, d, "nation").where("n_nationkey < 6").select(F.col("n_nationkey").cast("long").alias("seed"))
+    seeds = table(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("seed"))
     return graph.expand(seeds, _edges(spark, d), 2).select("seed", "key", "hop", graph.hop_score(F.col("hop")).alias("score"))
 
 
@@ -125,57 +125,116 @@ def graph_caps(spark, d):
     return graph.expand(seeds, _edges(spark, d), 2, per_node=2).select("seed", "key", "hop", graph.hop_score(F.col("hop")).alias("score"))
 
 
-@query(f"{BM25}, l AS ({LEX}), u AS (SELECT query_id, id, score AS vec, NULL AS lex FROM bm UNION ALL SELECT query_id, id, NULL, score FROM l), c AS (SELECT query_id, id, coalesce(max(vec), 0) AS a, coalesce(max(lex), 0) AS b FROM u GROUP BY ALL) SELECT query_id, id, round(0.6 * CASE WHEN ha <= la + 1e-12 THEN 1.0 ELSE (a - la) / (ha - la) END + 0.4 * CASE WHEN hb <= lb + 1e-12 THEN 1.0 ELSE (b - lb) / (hb - lb) END, 6) AS final_score FROM (SELECT *, min(a) OVER w AS la, max(a) OVER w AS ha, min(b) OVER w AS lb, max(b) OVER w AS hb FROM c WINDOW w AS (PARTITION BY query_id))")
+@query(f"WITH {SIGNALS} SELECT query_id, id, round(0.6 * CASE WHEN ha <= la + 1e-12 THEN 1.0 ELSE (bm25 - la) / (ha - la) END + 0.4 * CASE WHEN hb <= lb + 1e-12 THEN 1.0 ELSE (lex - lb) / (hb - lb) END, 6) AS final_score FROM (SELECT *, min(bm25) OVER w AS la, max(bm25) OVER w AS ha, min(lex) OVER w AS lb, max(lex) OVER w AS hb FROM sig WINDOW w AS (PARTITION BY query_id))")
 def minmax_fuse(spark, d):
-    both = fusion.assemble({"bm25": bm25_scores(spark, d), "lex": lex_scores(spark, d)})
-    return fusion.fuse(both, {"bm25": 0.6, "lex": 0.4}).select("query_id", "id", "final_score")
+    return fusion.fuse(signals(spark, d), {"bm25": 0.6, "lex": 0.4}).select("query_id", "id", "final_score")
 
 
-@query(f"WITH v AS (SELECT query_id, id, greatest(0.0, score) AS score FROM ({_top(VEC, 20)})), l AS (SELECT * FROM ({_top(LEX, 20)})) SELECT query_id, id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM (SELECT coalesce(v.query_id, l.query_id) AS query_id, coalesce(v.id, l.id) AS id, round(0.7 * coalesce(v.score, 0) + 0.3 * coalesce(l.score, 0), 7) AS score FROM v FULL JOIN l ON v.query_id = l.query_id AND v.id = l.id) WHERE score > 0 QUALIFY rank <= 20")
+@query(f"WITH {SIGNALS}, v AS (SELECT query_id, id, greatest(0.0, score) AS score FROM ({_top(VEC, 20)})), x AS ({_top('SELECT * FROM l', 20)}) SELECT query_id, id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM (SELECT coalesce(v.query_id, x.query_id) AS query_id, coalesce(v.id, x.id) AS id, round(0.7 * coalesce(v.score, 0) + 0.3 * coalesce(x.score, 0), 7) AS score FROM v FULL JOIN x ON v.query_id = x.query_id AND v.id = x.id) WHERE score > 0 QUALIFY rank <= 20")
 def hybrid_merge(spark, d):
-    vec = vector_topk_scores(spark, d)
-    lex = retrieval.top_k(lex_scores(spark, d), "query_id", "score", "id", 20)
+    top = retrieval.vector_topk(table(spark, d, "embeddings"), asked_vectors(spark, d), 20)
+    vec = top.withColumn("score", distance_score(1 - F.col("score")))
+    lex = best(signals(spark, d), "lex", 20)
     return retrieval.top_k(fusion.hybrid(vec, lex).select("query_id", "id", "score"), "query_id", "score", "id", 20)
 
 
-def vector_topk_scores(spark, d):
-    top = retrieval.vector_topk(table(spark, d, "embeddings"), asked_vectors(spark, d), 20)
-    return top.withColumn("score", distance_score(1 - F.col("score")))
+# The graph of documents: from each to the next one of its source; entities are documents by their first word.
+GRAPH = """e AS (SELECT * FROM (SELECT doc_id AS src, lead(doc_id) OVER (PARTITION BY source ORDER BY doc_id) AS dst FROM documents) WHERE dst IS NOT NULL),
+seeds AS (SELECT DISTINCT query_id, doc_id AS seed FROM (SELECT item_id AS query_id, unnest(list_filter(string_split(lower(text), ' '), lambda w: length(w) > 2)) AS w FROM benchmark WHERE item_id % 20 = 0) JOIN documents ON lower(string_split(text, ' ')[1]) = w),
+walk AS (SELECT query_id, dst AS key, 1 AS hop, seed || '>' || dst AS path FROM seeds JOIN e ON src = seed UNION ALL SELECT query_id, b.dst, 2, seed || '>' || a.dst || '>' || b.dst FROM seeds JOIN e a ON a.src = seed JOIN e b ON b.src = a.dst),
+met AS (SELECT query_id, key AS id, min(hop) AS hop, min_by(path, (hop, path)) AS path FROM walk GROUP BY ALL),
+graph AS (SELECT query_id, id, 1.0 / (1 + hop) AS score FROM met WHERE hop = 1 QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY id) <= 50),
+gear AS (SELECT query_id, id, 1.0 / (1 + hop) AS score, path FROM met QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY hop, id) <= 20)"""
+
+
+def walked(spark, d, hops: int):
+    """(query_id, id, hop, path): documents within ``hops`` of the entities that a query names."""
+    docs = table(spark, d, "documents")
+    edges = graph.adjacency(docs.select("source", "doc_id"), "source", "doc_id", "doc_id")
+    said = asked_texts(spark, d).select("query_id", F.explode(F.array_distinct(F.filter(F.split(F.lower("query"), " "), lambda w: F.length(w) > 2))).alias("name"))
+    entities = docs.select(F.lower(F.get(F.split("text", " "), F.lit(0))).alias("name"), F.col("doc_id").alias("seed"))
+    seeds = entities.join(retrieval.small(said), "name").select("query_id", "seed").distinct()
+    reached = graph.expand(seeds.select("seed").distinct(), edges, hops)
+    path = F.array_join("path", ">")
+    return seeds.join(reached, "seed").groupBy("query_id", F.col("key").alias("id")).agg(F.min(F.struct("hop", path.alias("path"))).alias("m")).select("query_id", "id", "m.hop", "m.path")
+
+
+def first_reached(met, k: int):
+    """The first k by hop and id, scored by hop."""
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("hop", "id"))
+    return met.withColumn("_r", rank).where(F.col("_r") <= k).select("query_id", "id", graph.hop_score(F.col("hop")).alias("score"), "path")
+
+
+@query(f"WITH {GRAPH} SELECT query_id, id, round(score, 6) AS score, path FROM gear")
+def gear_beam(spark, d):
+    """Entities that a query names, expanded over two hops with a beam of 20, with paths."""
+    return first_reached(walked(spark, d, 2), 20).withColumn("score", F.round("score", 6))
 
 
-RRF = f"WITH v AS (SELECT * FROM ({_top(VEC, 20)})), l AS (SELECT * FROM ({_top(LEX, 20)})), one AS (SELECT query_id, id, round(sum(s), 6) AS score FROM (SELECT query_id, id, 1.5 / (35 + rank) AS s FROM v UNION ALL SELECT query_id, id, 1.0 / (35 + rank) FROM l) GROUP BY ALL), g AS (SELECT query_id, id, 1.0 / (2 + id % 3) AS score FROM l)"
 RANKED = "row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id)"
 
 
-@query(f"{RRF} SELECT query_id, id, round(sum(s), 6) AS score FROM (SELECT query_id, id, 1.2 / (60 + {RANKED}) AS s FROM one UNION ALL SELECT query_id, id, 0.8 / (60 + {RANKED}) FROM g) GROUP BY ALL")
+@query(f"WITH {SIGNALS}, {GRAPH}, v AS ({_top(VEC, 20)}), x AS ({_top('SELECT * FROM l', 20)}), one AS (SELECT query_id, id, round(sum(s), 6) AS score FROM (SELECT query_id, id, 1.5 / (35 + rank) AS s FROM v UNION ALL SELECT query_id, id, 1.0 / (35 + rank) FROM x) GROUP BY ALL) SELECT query_id, id, round(sum(s), 6) AS score FROM (SELECT query_id, id, 1.2 / (60 + {RANKED}) AS s FROM one UNION ALL SELECT query_id, id, 0.8 / (60 + {RANKED}) FROM gear) GROUP BY ALL")
 def rrf_two_stage(spark, d):
-    lex = retrieval.top_k(lex_scores(spark, d), "query_id", "score", "id", 20)
     vec = retrieval.vector_topk(table(spark, d, "embeddings"), asked_vectors(spark, d), 20)
-    one = fusion.rrf({"vec": (vec, 1.5), "lex": (lex, 1.0)}, 35)
-    linked = lex.select("query_id", "id", (F.lit(1.0) / (2 + F.col("id") % 3)).alias("score"))
-    return fusion.rrf({"one": (one, 1.2), "graph": (linked, 0.8)}, 60)
+    one = fusion.rrf({"vec": (vec, 1.5), "lex": (best(signals(spark, d), "lex", 20), 1.0)}, 35)
+    return fusion.rrf({"one": (one, 1.2), "graph": (first_reached(walked(spark, d, 2), 20), 0.8)}, 60)
 
 
-@query(f"SELECT query_id, id, round(score * 0.5 + 0.5 * (1.0 / (1 + id % 10)), 7) AS score FROM ({_top(LEX, 20)})")
+@query(f"WITH {SIGNALS}, x AS ({_top('SELECT * FROM l', 20)}) SELECT x.query_id, x.id, round(x.score * 0.5 + 0.5 * coalesce({COSINE}, 0), 7) AS score FROM x LEFT JOIN embeddings q ON q.vec_id = x.query_id LEFT JOIN embeddings v ON v.vec_id = x.id")
 def rerank_blend(spark, d):
-    lex = retrieval.top_k(lex_scores(spark, d), "query_id", "score", "id", 20)
-    return fusion.rerank_blend(lex, F.lit(1.0) / (1 + F.col("id") % 10)).select("query_id", "id", "score")
+    """Lexical hits, half their score from the cosine of query and document."""
+    lex = best(signals(spark, d), "lex", 20)
+    vectors = table(spark, d, "embeddings")
+    pairs = lex.join(vectors.select(F.col("vec_id").alias("query_id"), l2_normalize(F.col("embedding")).alias("q")), "query_id", "left").join(vectors.select(F.col("vec_id").alias("id"), l2_normalize(F.col("embedding")).alias("v")), "id", "left")
+    return fusion.rerank_blend(pairs, F.coalesce(F.round(dot(F.col("q"), F.col("v")), 6), F.lit(0.0))).select("query_id", "id", "score")
 
 
-@query(f"{BM25}, best AS ({_top('SELECT * FROM bm', 5)}) SELECT query_id, string_agg('(' || source || ', doc ' || id || ')', '; ' ORDER BY rank) AS citations, count(*) AS n FROM best JOIN documents ON doc_id = id GROUP BY query_id")
+@query(f"WITH {SIGNALS}, best AS ({_top('SELECT * FROM bm', 5)}) SELECT query_id, string_agg('(' || source || ', doc ' || id || ')', '; ' ORDER BY rank) AS citations, count(*) AS n FROM best JOIN documents ON doc_id = id GROUP BY query_id")
 def answer_citations(spark, d):
-    top = retrieval.top_k(bm25_scores(spark, d), "query_id", "score", "id", 5)
-    cited = top.join(table(spark, d, "documents").select(F.col("doc_id").alias("id"), "source"), "id")
+    cited = best(signals(spark, d), "bm25", 5).join(table(spark, d, "documents").select(F.col("doc_id").alias("id"), "source"), "id")
     said = F.array_sort(F.collect_list(F.struct("rank", F.format_string("(%s, doc %d)", "source", "id").alias("c"))))
     return cited.groupBy("query_id").agg(F.array_join(F.transform(said, lambda e: e["c"]), "; ").alias("citations"), F.count(F.lit(1)).alias("n"))
 
 
-@query(f"{BM25}, b AS ({_top('SELECT * FROM bm', 30)}), l AS ({_top(LEX, 50)}), g AS (SELECT query_id, id + 1 AS id, 0.5 AS score FROM b WHERE rank <= 5), u AS (SELECT query_id, id, score AS b, NULL AS l, NULL AS g FROM b UNION ALL SELECT query_id, id, NULL, score, NULL FROM l UNION ALL SELECT query_id, id, NULL, NULL, score FROM g), c AS (SELECT query_id, id, coalesce(max(b), 0) AS b, coalesce(max(l), 0) AS l, coalesce(max(g), 0) AS g FROM u GROUP BY ALL), m AS (SELECT *, min(b) OVER w AS lb, max(b) OVER w AS hb, min(l) OVER w AS ll, max(l) OVER w AS hl, min(g) OVER w AS lg, max(g) OVER w AS hg FROM c WINDOW w AS (PARTITION BY query_id)), f AS (SELECT query_id, id, round(0.4 * CASE WHEN hl <= ll + 1e-12 THEN 1.0 ELSE (l - ll) / (hl - ll) END + 0.35 * CASE WHEN hb <= lb + 1e-12 THEN 1.0 ELSE (b - lb) / (hb - lb) END + 0.25 * CASE WHEN hg <= lg + 1e-12 THEN 1.0 ELSE (g - lg) / (hg - lg) END, 6) AS score FROM m) SELECT query_id, id, score, rank, source FROM ({_top('SELECT * FROM f', 10)}) JOIN documents ON doc_id = id")
+def _minmax_sql(names: str) -> str:
+    bounds = ", ".join(f"min({c}) OVER w AS lo_{c}, max({c}) OVER w AS hi_{c}" for c in names.split())
+    filled = ", ".join(f"coalesce(max({c}), 0) AS {c}" for c in names.split())
+    total = " + ".join(f"{w} * CASE WHEN hi_{c} <= lo_{c} + 1e-12 THEN 1.0 ELSE ({c} - lo_{c}) / (hi_{c} - lo_{c}) END" for c, w in fusion.WEIGHTS.items())
+    parts = " UNION ALL ".join(f"SELECT query_id, id, {', '.join('score' if c == n else 'NULL' for c in names.split())}, {'path' if n == 'gear' else 'NULL'} FROM {n}_hits" for n in names.split())
+    return f"u(query_id, id, {', '.join(names.split())}, path) AS ({parts}), c AS (SELECT query_id, id, {filled}, max(path) AS path FROM u GROUP BY ALL), m AS (SELECT *, {bounds} FROM c WINDOW w AS (PARTITION BY query_id)), f AS (SELECT *, round({total}, 6) AS score FROM m)"
+
+
+@query(
+    f"WITH {SIGNALS}, {GRAPH}, vec_hits AS ({_top(f'SELECT * FROM ({VEC}) WHERE query_id IN (SELECT item_id FROM benchmark WHERE item_id % 20 = 0)', 50)}), bm25_hits AS ({_top('SELECT * FROM bm', 30)}), graph_hits AS (SELECT * FROM graph), gear_hits AS (SELECT * FROM gear), {_minmax_sql('vec bm25 graph gear')} "
+    "SELECT query_id, id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank, round(vec, 6) AS vec, round(bm25, 6) AS bm25, round(graph, 6) AS graph, round(gear, 6) AS gear, coalesce(path, '') AS gear_path, coalesce(source, '') AS source FROM f LEFT JOIN documents ON doc_id = id QUALIFY rank <= 10"
+)
 def retrieve(spark, d):
-    """BM25, lexical overlap and neighbours of the best hits, fused, with the chunk's source."""
-    bm = retrieval.top_k(bm25_scores(spark, d), "query_id", "score", "id", 30)
-    lex = retrieval.top_k(lex_scores(spark, d), "query_id", "score", "id", 50)
-    near = bm.where("rank <= 5").select("query_id", (F.col("id") + 1).alias("id"), F.lit(0.5).alias("score"))
-    fused = fusion.fuse(fusion.assemble({"lex": lex, "bm25": bm, "graph": near}), {"lex": 0.40, "bm25": 0.35, "graph": 0.25})
-    top = retrieval.top_k(fused.select("query_id", "id", F.col("final_score").alias("score")), "query_id", "score", "id", 10)
-    return top.join(table(spark, d, "documents").select(F.col("doc_id").alias("id"), "source"), "id")
+    """Vector, BM25, neighbour and multi-hop hits of each query, min-max normalised and fused, with provenance.
+
+    A query's vector is that of its id. The ten best come with their signals, the path that led to them and
+    their document's source.
+    """
+    queries = asked_texts(spark, d).select("query_id")
+    vec = retrieval.vector_topk(table(spark, d, "embeddings"), asked_vectors(spark, d).join(queries, "query_id", "left_semi"), 50)
+    met = walked(spark, d, 2)
+    near = first_reached(met.where("hop = 1"), 50)
+    gear = first_reached(met, 20)
+    hits = fusion.assemble({"vec": vec, "bm25": best(signals(spark, d), "bm25", 30), "graph": near, "gear": gear})
+    fused = fusion.fuse(hits, fusion.WEIGHTS).select("query_id", "id", F.col("final_score").alias("score"), fusion.provenance(list(fusion.WEIGHTS)).alias("why"))
+    top = retrieval.top_k(fused, "query_id", "score", "id", 10).join(gear.select("query_id", "id", F.col("path").alias("gear_path")), ["query_id", "id"], "left")
+    sources = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "source")
+    told = (F.coalesce(F.round(F.col(f"why.{s}"), 6), F.lit(0.0)).alias(s) for s in fusion.WEIGHTS)
+    return top.join(sources, "id", "left").select("query_id", "id", "score", "rank", *told, F.coalesce("gear_path", F.lit("")).alias("gear_path"), F.coalesce("source", F.lit("")).alias("source"))
+
+
+@query(
+    f"WITH {SIGNALS}, v AS ({_top(VEC, 100)}), x AS ({_top('SELECT * FROM bm', 40)}), every AS (SELECT query_id, id, -min(rank) AS score FROM (SELECT query_id, id, rank FROM v UNION ALL SELECT query_id, id, rank FROM x) GROUP BY ALL), pool AS (SELECT * FROM every QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) <= 50), "
+    "u AS (SELECT query_id, id, score FROM pool JOIN documents ON doc_id = id QUALIFY row_number() OVER (PARTITION BY query_id, text ORDER BY score DESC, id) = 1) "
+    "SELECT query_id, id, CAST(score AS DOUBLE) AS score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM u QUALIFY rank <= 5"
+)
+def candidate_funnel(spark, d):
+    """BM25 40 and vectors 100, the 50 best by rank, equal texts once, 15 to a reranker, five to answer from."""
+    vec = retrieval.vector_topk(table(spark, d, "embeddings"), asked_vectors(spark, d), 100)
+    texts = table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    return store.funnel({"vec": (vec, 100), "bm25": (signals(spark, d).select("query_id", "id", F.col("bm25").alias("score")), 40)}, texts, 50, 15, 5)

@@ -33,9 +33,10 @@ def token_count(spark, d):
     return table(spark, d, "documents").select("doc_id", text.token_count(F.col("text")).alias("token_count"))
 
 
-@query("SELECT doc_id, sha256(coalesce(text, '')) AS sha256, md5(text) AS md5 FROM documents")
+@query("SELECT doc_id, sha256(coalesce(text, '')) AS sha256, md5(text) AS md5, sha1(text) AS sha1 FROM documents")
 def text_checksum(spark, d):
-    return table(spark, d, "documents").select("doc_id", ids.checksum(F.col("text")).alias("sha256"), F.md5("text").alias("md5"))
+    digests = ids.content_digests(F.col("text").cast("binary"))
+    return table(spark, d, "documents").select("doc_id", ids.checksum(F.col("text")).alias("sha256"), digests["md5"].alias("md5"), digests["sha1"].alias("sha1"))
 
 
 @query("SELECT doc_id, CAST(CAST('0x' || substr(sha256(doc_id || ':' || source), 1, 16) AS UBIGINT) AS VARCHAR) AS vector_id FROM documents")
@@ -52,11 +53,12 @@ def chunk_uuid(spark, d):
 
 
 @query(
-    """SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN source WHEN doc_id % 4 = 1 THEN sha256(source || lang) WHEN doc_id % 4 = 2 THEN sha256(source || CAST(n_chars AS VARCHAR)) ELSE sha256(source) END AS document_id FROM documents"""
+    """SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN source WHEN doc_id % 5 = 1 THEN sha256(source || lang) WHEN doc_id % 5 = 2 THEN sha256(source || CAST(n_chars AS VARCHAR)) WHEN doc_id % 5 = 3 THEN source ELSE sha256(source || '/') END AS document_id FROM documents"""
 )
 def document_ids(spark, d):
-    case = F.col("doc_id") % 4
-    got = ids.document_id(F.when(case == 0, F.col("source")), F.col("source"), F.when(case == 1, F.col("lang")), F.when(case == 2, F.col("n_chars").cast("string")))
+    case = F.col("doc_id") % 5
+    key = F.when(case == 3, F.concat(F.lit("raw/"), "source")).when(case == 4, F.concat("source", F.lit("/"))).otherwise(F.col("source"))
+    got = ids.document_id(F.when(case == 0, F.col("source")), key, F.when(case == 1, F.col("lang")), F.when(case == 2, F.col("n_chars").cast("string")))
     return table(spark, d, "documents").select("doc_id", got.alias("document_id"))
 
 

@@ -16,18 +16,23 @@ AUDIO = "wav mp3 m4a aac flac ogg opus wma aiff aif amr webm".split()
 MANIFEST = ".manifest.json"
 
 
-def raw_objects(spark: SparkSession, path: str, content: bool = False) -> DataFrame:
-    """(path, modified, length[, content], ext, parser, mime) of all files but manifests and folders.
+def raw_objects(spark: SparkSession, path: str, content: bool = False, digest: bool = False) -> DataFrame:
+    """(path, modified, length[, content][, digest], ext, parser, mime) of all files but manifests and folders.
 
-    Without ``content`` the files aren't opened, only listed.
+    Without ``content`` and ``digest`` (sha256) the files aren't opened, only listed.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     ext = text.extension(text.file_name(F.col("path")))
     parser, mime = dispatch(ext)
-    kept = files.where(~F.col("path").endswith(MANIFEST)).select("path", F.col("modificationTime").alias("modified"), "length", *(["content"] if content else []), ext.alias("ext"))
+    kept = files.where(~F.col("path").endswith(MANIFEST)).select("path", F.col("modificationTime").alias("modified"), "length", *(["content"] if content else []), ext.alias("ext"), *([F.sha2("content", 256).alias("digest")] if digest else []))
     return kept.withColumn("parser", parser).withColumn("mime", mime)
 
 
+def chunk_paths(spark: SparkSession, path: str, extensions: tuple[str, ...] = ("json", "jsonl")) -> DataFrame:
+    """(path, length) of chunk files by extension, listed only."""
+    return raw_objects(spark, path).where(F.col("ext").isin(*extensions)).select("path", "length")
+
+
 def of_kind(objects: DataFrame, extensions: list[str]) -> DataFrame:
     return objects.where(F.col("ext").isin(extensions))
 

@@ -58,7 +58,7 @@ def test_constant_signal_becomes_one(spark):
 
 
 def test_stream_equals_batch(spark, tmp_path):
-    rows = spark.range(60).select(F.col("id").alias("event_id"), (F.col("id") % 3).alias("user_id"), F.timestamp_seconds(F.col("id") * 9000).alias("ts"))
+    rows = spark.range(60).select(F.col("id").alias("event_id"), (F.col("id") % 3).alias("user_id"), F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 9000).alias("ts"))
     rows.write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
     q = ev.rate_limit_stream(stream, 3, 86_400).writeStream.format("memory").queryName("limited").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "c")).start()
