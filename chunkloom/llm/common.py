@@ -16,7 +16,16 @@ from pyspark.sql.pandas.types import to_arrow_type
 _LOADED: dict = {}
 
 
+#: Keys that are treated apart at most, the commonest ones, and rows of one key that a task may get.
+HOT_KEYS, HOT_ROWS = 1 << 16, 1_000
+SAMPLED, SEEN = 64, 32
+#: Rows of a batch that a Python worker gets; Spark's default of 10,000 whole texts is too much for small executors.
+BATCH_ROWS = 1_000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -30,6 +39,13 @@ class Shipped:
         return once(self.key, lambda: build(self.sent.value))
 
 
+def fresh(name: str, columns: list[str]) -> str:
+    """A column name that ``columns`` don't have, whatever their case."""
+    while name.lower() in map(str.lower, columns):
+        name += "_"
+    return name
+
+
 def once(key, build: Callable):
     """One object per Python worker and key; workers are reused, so models load once."""
     if key not in _LOADED:
@@ -69,10 +85,12 @@ def filter_texts(df: DataFrame, text_col: str, keep: Callable) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The session's shared checkpoint folder; one is made only where none is set, as in tests."""
+    """The session's shared checkpoint folder; one is made only in local mode where none is set, as in tests."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="chunkloom-checkpoint-"))
     return sc._jsc.sc().getCheckpointDir().get()
 
@@ -88,6 +106,45 @@ def cut(df: DataFrame) -> DataFrame:
     return out
 
 
+def _hot(counts: DataFrame, least: int) -> DataFrame | None:
+    """The commonest of the keys that ``counts`` holds ``least`` times or more, HOT_KEYS at most; None if there are none."""
+    rows = counts.where(F.col("count") >= least).orderBy(F.desc("count")).limit(HOT_KEYS).collect()
+    return F.broadcast(counts.sparkSession.createDataFrame(rows, counts.schema)) if rows else None
+
+
+def spread_join(many: DataFrame, few: DataFrame, key: str, how: str = "inner", most: int = HOT_ROWS) -> DataFrame:
+    """``many.join(few, key, how)`` for inner and left joins where ``few`` has one row a key.
+
+    Keys with more than ``most`` rows in ``many`` are dealt over as many tasks as that takes, and their row
+    of ``few`` is repeated for each. ``many`` is read twice, so it should be checkpointed.
+    """
+    hot = _hot(many.groupBy(key).count(), most + 1)
+    if hot is None:
+        return many.join(few, key, how)
+    copies = hot.select(key, F.ceil(F.col("count") / most).cast("int").alias("_copies"))
+    rest = [c for c in many.columns if c != key]
+    dealt = many.join(F.broadcast(copies), key, "left").withColumn("_copy", F.coalesce(F.pmod(F.xxhash64(*rest), F.col("_copies")), F.lit(0)).cast("int")).drop("_copies")
+    repeated = few.join(F.broadcast(copies), key, "left").withColumn("_copy", F.explode(F.sequence(F.lit(0), F.coalesce("_copies", F.lit(1)) - 1))).drop("_copies")
+    return dealt.join(repeated, [key, "_copy"], how).drop("_copy")
+
+
+def counted(rows: DataFrame, key: str, like: DataFrame) -> DataFrame:
+    """``rows`` with df, the number of rows that have the same key.
+
+    The window that counts sends a key's rows to one task. Keys too common for that are looked for in a hash
+    sample of ``like`` (key and id) and counted by an aggregate first, so that the window may deal their rows
+    over tasks; the result is the same either way.
+    """
+    sample = like.where(F.pmod(F.xxhash64(key, "id"), F.lit(SAMPLED)) == 0)
+    hot = _hot(sample.groupBy(key).count(), SEEN)
+    if hot is None:
+        return rows.withColumn("df", F.expr(f"count(1) OVER (PARTITION BY {key})"))
+    marked = rows.join(hot.select(key, F.lit(True).alias("_hot")), key, "left")
+    totals = cut(marked.where("_hot").groupBy(key).agg(F.count(F.lit(1)).alias("_total")))  # HOT_KEYS rows at most
+    dealt = rows.join(F.broadcast(totals), key, "left").withColumn("_part", F.coalesce(F.pmod(F.xxhash64("id"), F.ceil(F.col("_total") / HOT_ROWS)), F.lit(0)))
+    return dealt.withColumn("df", F.coalesce("_total", F.expr(f"count(1) OVER (PARTITION BY {key}, _part)"))).drop("_total", "_part")
+
+
 def held_out(doc_id) -> F.Column:
     """Fold 0 of 5 by crc32 of the id as text."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
