@@ -4,7 +4,8 @@ Lines are compared without outer white space. Equal lines of any length but 0 ar
 the threshold are if both have ``LEAST_PER_EDIT`` characters for each edit. A line is cut into
 threshold-plus-one segments of its length; a line within the threshold that is no shorter holds one of
 them at a place that the length difference bounds. Each line is indexed under its segments and probes the
-substrings at those places for each length it can match. Candidates are verified by banded bit-parallel
+substrings at those places for each length it can match. The lines of one key are compared with the least
+one, and those that this doesn't join with one another. Candidates are verified by banded bit-parallel
 edit distance. Lines joined by links form a component, of which the first occurrence stays: that in the
 document with the least id, and there the earliest.
 """
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut
+from .common import cut, spread_join
 from .components import components
 
 EDITS, MIN_CHARS = 2, 1
@@ -28,6 +29,8 @@ LEAST_PER_EDIT = 5
 BATCH_CHARS, REMEMBERED = 1 << 20, 200_000
 #: Ids of lines to verify that are broadcast at most; more are joined by a shuffle.
 MOST_BROADCAST = 1_000_000
+#: Lines of a key that a task compares with one another; keys of more are cut into blocks.
+BLOCK_LINES = 5_000
 _STEP = 0x9E3779B97F4A7C15 | 1
 _BACK = pow(_STEP, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}
@@ -87,23 +90,36 @@ def _substring_keys(codes: np.ndarray, owner, target, segment, start, size) -> n
     return _mixed(_mixed(value) + target.astype(np.uint64) * np.uint64(0xFF51AFD7ED558CCD) + segment.astype(np.uint64) * np.uint64(0xC4CEB9FE1A85EC53))
 
 
+_templates: dict[tuple[int, int, int], np.ndarray] = {}
+
+
+def template(length: int, edits: int, min_chars: int) -> np.ndarray:
+    """(target, segment, start, size, own) of all keys of a line of ``length`` characters."""
+    known = _templates.get((length, edits, min_chars))
+    if known is None:
+        if len(_templates) > 20_000:
+            _templates.clear()
+        own = set(own_places(length, edits))
+        rows = [(target, k, at, n, target == length and (k, at, n) in own) for target in range(max(min_chars, length - edits), length + 1) for k, at, n in places(length, target, edits)]
+        known = _templates[length, edits, min_chars] = np.array(rows, np.int64)
+    return known
+
+
 def segment_rows(lines: list[str], hashes: list[int], edits: int, min_chars: int) -> pa.RecordBatch:
     """(key, line, own) of all lines: own segments, and probed substrings other than these."""
     codes = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32)
     lengths = np.array(list(map(len, lines)), np.int64)
     offsets = np.cumsum(lengths) - lengths
-    parts = []
-    for length in np.unique(lengths):
-        rows = np.flatnonzero(lengths == length)
-        for target in range(max(min_chars, length - edits), length + 1):
-            spots = np.array(places(int(length), int(target), edits), np.int64).reshape(-1, 3)
-            own = set(own_places(int(length), edits)) if target == length else set()
-            flags = np.array([tuple(s) in own for s in spots.tolist()], bool)
-            n = len(spots)
-            parts.append((np.repeat(rows, n), np.full(len(rows) * n, target), np.tile(spots[:, 0], len(rows)), (offsets[rows][:, None] + spots[None, :, 1]).ravel(), np.tile(spots[:, 2], len(rows)), np.tile(flags, len(rows))))
-    owner, target, segment, start, size, own = (np.concatenate(x) for x in zip(*parts, strict=True))
-    keys = _substring_keys(codes, owner, target, segment, start, size)
-    return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(np.array(hashes, np.int64)[owner]), pa.array(own)], names=["key", "line", "own"])
+    kinds, kind = np.unique(lengths, return_inverse=True)
+    known = [template(int(n), edits, min_chars) for n in kinds]
+    sizes = np.array(list(map(len, known)))
+    first = np.cumsum(sizes) - sizes
+    per_line = sizes[kind]
+    owner = np.repeat(np.arange(len(lines)), per_line)
+    at = np.arange(int(per_line.sum())) + np.repeat(first[kind] - (np.cumsum(per_line) - per_line), per_line)
+    target, segment, start, size, own = np.concatenate(known)[at].T
+    keys = _substring_keys(codes, owner, target, segment, offsets[owner] + start, size)
+    return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(np.array(hashes, np.int64)[owner]), pa.array(own.astype(bool))], names=["key", "line", "own"])
 
 
 def own_places(length: int, edits: int) -> list[tuple[int, int, int]]:
@@ -244,7 +260,7 @@ def _meetings(batches):
 
 
 def _texts_of(docs: DataFrame, wanted: DataFrame, min_chars: int) -> DataFrame:
-    """(line, text) of the wanted lines."""
+    """(line, text, h2, chars, pairs) of the wanted lines."""
 
     def run(batches):
         for hashes, lines in _distinct(batches, min_chars):
@@ -252,12 +268,12 @@ def _texts_of(docs: DataFrame, wanted: DataFrame, min_chars: int) -> DataFrame:
 
     def signed(batches):
         for batch in batches:
-            marks = [parities(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array([m[k] for m in marks], pa.int64()) for k in (0, 1))], names=["line", "text", "chars", "pairs"])
+            marks = [(line_hash(t)[1], *parities(t)) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array([m[k] for m in marks], pa.int64()) for k in (0, 1, 2))], names=["line", "text", "h2", "chars", "pairs"])
 
     side = F.broadcast(wanted) if wanted.count() <= MOST_BROADCAST else wanted
     found = docs.mapInArrow(run, "line long, text string").join(side, "line", "left_semi").dropDuplicates(["line"])
-    return found.mapInArrow(signed, "line long, text string, chars long, pairs long")
+    return found.mapInArrow(signed, "line long, text string, h2 long, chars long, pairs long")
 
 
 def parities(line: str) -> tuple[int, int]:
@@ -283,39 +299,58 @@ def _signs(texts: DataFrame, name: str, *more: str) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
-    near = pairs.join(_signs(texts, "a", "text"), "a")
-    b = _signs(texts, "b", "text").withColumnRenamed("b", "_b")
-    both = near.join(b, (F.col("b") == F.col("_b")) & _alike("a", "b", edits))
+    """The pairs (a, b) within the threshold. Lines that lead many pairs are dealt over tasks."""
+    near = spread_join(pairs.select("a", "b"), _signs(texts, "a", "text"), "a")
+    near = spread_join(near, _signs(texts, "b", "text"), "b").where(_alike("a", "b", edits))
 
     def run(batches):
         for batch in batches:
             keep = [within(x, y, edits) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.select("a", "b", F.col("text_a"), F.col("text_b")).mapInArrow(run, "a long, b long")
+    return near.select("a", "b", F.col("text_a"), F.col("text_b")).mapInArrow(run, "a long, b long")
+
+
+def _apart(members: DataFrame, joined: DataFrame) -> DataFrame:
+    """Members (key, line, own, component, m) of the keys whose m lines are in several components."""
+    placed = cut(members.join(joined.withColumnRenamed("node", "line"), "line", "left").withColumn("component", F.coalesce("component", "line")))
+    keys = placed.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.count("line").alias("m")).where("c1 <> c2 AND m > 2").select("key", "m")
+    return cut(spread_join(placed, keys, "key"))
+
+
+def _pairs_of(members: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
+    """Pairs (a, b) of an indexed line and another one of the same key, of different components, that may be near.
+
+    The lines of a key are compared by their parities inside the join. A key of many lines is cut into blocks of
+    about ``BLOCK_LINES``, and each pair of blocks is a task's work, so no task compares more than a block's square.
+    """
+    open_ = members.join(_signs(texts, "x").withColumnRenamed("x", "line"), "line").withColumn("parts", F.ceil(F.col("m") / BLOCK_LINES).cast("int"))
+    part, every = F.pmod(F.xxhash64("line"), F.col("parts")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    signs = ("length", "chars", "pairs")
+    left = open_.where("own").select("key", F.col("line").alias("x"), F.col("component").alias("cx"), *(f"{c}_x" for c in signs), part.alias("i"), every.alias("j"))
+    right = open_.select("key", F.col("line").alias("y"), F.col("component").alias("cy"), F.col("own").alias("yo"), *(F.col(f"{c}_x").alias(f"{c}_y") for c in signs), part.alias("j"), every.alias("i"))
+    meet = F.expr("cx <> cy AND (NOT yo OR x < y)") & _alike("x", "y", edits)
+    l, r = left.alias("l"), right.alias("r")
+    same = (F.col("l.key") == F.col("r.key")) & (F.col("l.i") == F.col("r.i")) & (F.col("l.j") == F.col("r.j"))
+    return l.join(r, same & meet).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def near_lines(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
-    """(node, component) of the distinct lines that lie within ``edits`` of another one."""
+    """(h1, h2, component) of the distinct lines that lie within ``edits`` of another one."""
     min_chars = near_floor(edits, min_chars)
     rows = _segments(docs, edits, min_chars)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     met = cut(rows.repartition(parts, "key").sortWithinPartitions("key", F.col("own").desc(), "line").mapInArrow(_meetings, "key long, lead long, line long, own boolean"))
     wanted = cut(met.select(F.col("line")).unionByName(met.select(F.col("lead").alias("line"))).distinct())
     texts = cut(_texts_of(docs, wanted, min_chars))
-    first = met.select(F.least("lead", "line").alias("a"), F.greatest("lead", "line").alias("b")).distinct()
-    links = cut(_verified(first, texts, edits))
+    tried = cut(met.select(F.least("lead", "line").alias("a"), F.greatest("lead", "line").alias("b")).distinct())
+    links = cut(_verified(tried, texts, edits))
     joined = components(links)
     members = met.select("key", "line", "own").unionByName(met.select("key", F.col("lead").alias("line"), F.lit(True).alias("own"))).groupBy("key", "line").agg(F.max("own").alias("own"))
-    members = members.join(joined.withColumnRenamed("node", "line"), "line", "left").withColumn("component", F.coalesce("component", "line"))
-    apart = members.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.count("line").alias("m")).where("c1 <> c2 AND m > 2").select("key")
-    open_ = cut(members.join(apart, "key", "left_semi").join(_signs(texts, "x").withColumnRenamed("x", "line"), "line"))
-    left = open_.where("own").select("key", F.col("line").alias("x"), F.col("component").alias("cx"), "length_x", "chars_x", "pairs_x")
-    right = open_.select(F.col("key").alias("k"), F.col("line").alias("y"), F.col("component").alias("cy"), F.col("own").alias("yo"), *(F.col(f"{c}_x").alias(f"{c}_y") for c in ("length", "chars", "pairs")))
-    meet = (F.col("key") == F.col("k")) & F.expr("cx <> cy AND (NOT yo OR x < y)") & _alike("x", "y", edits)
-    cross = left.join(right, meet).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-    more = cut(_verified(cross, texts, edits))
-    return joined if more.isEmpty() else components(links.unionByName(more))
+    more = _verified(cut(_pairs_of(_apart(members, joined), texts, edits).join(tried, ["a", "b"], "left_anti")), texts, edits)
+    more = cut(more)
+    joined = joined if more.isEmpty() else components(links.unionByName(more))
+    return joined.join(texts.select(F.col("line").alias("node"), "h2"), "node").select(F.col("node").alias("h1"), "h2", F.col("component").alias("c"))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -343,11 +378,13 @@ def _rewritten(docs: DataFrame, id_col: str, text_col: str, edits: int, min_char
     lines = cut(_lines(dense, min_chars))
     near = near_lines(dense, edits, min_chars)
     firsts = lines.groupBy("h1", "h2").agg(F.countDistinct("id").alias("docs"), F.min("id").alias("doc"), F.min_by("line_no", F.struct("id", "line_no")).alias("line_no"))
-    near = near.select(F.col("node").alias("h1"), F.col("component").alias("c"))
-    placed = firsts.join(near, "h1", "left").where("docs > 1 OR c IS NOT NULL").withColumn("group", F.when(F.col("c").isNotNull(), F.struct(F.col("c").alias("x"), F.lit(None).cast("long").alias("y"))).otherwise(F.struct(F.col("h1").alias("x"), F.col("h2").alias("y"))))
+    placed = firsts.join(near, ["h1", "h2"], "left").where("docs > 1 OR c IS NOT NULL").withColumn("group", F.when(F.col("c").isNotNull(), F.struct(F.col("c").alias("x"), F.lit(None).cast("long").alias("y"))).otherwise(F.struct(F.col("h1").alias("x"), F.col("h2").alias("y"))))
     best = placed.groupBy("group").agg(F.min(F.struct("doc", "line_no", "h1", "h2")).alias("best"))
     rules = cut(placed.select("h1", "h2", "group").join(best, "group").select("h1", "h2", F.col("best.doc").alias("keep_doc"), ((F.col("best.h1") == F.col("h1")) & (F.col("best.h2") == F.col("h2"))).alias("is_best")))
-    gone = lines.join(rules, ["h1", "h2"]).where(~(F.col("is_best") & (F.col("id") == F.col("keep_doc")))).groupBy("id").agg(F.collect_set("line_no").alias("gone"))
+    dropped = lines.join(rules, ["h1", "h2"]).where(~(F.col("is_best") & (F.col("id") == F.col("keep_doc"))))
+    gone = cut(dropped.groupBy("id").agg(F.collect_set("line_no").alias("gone")))
+    if (gone.agg(F.sum(F.size("gone"))).first()[0] or 0) <= MOST_BROADCAST:
+        gone = F.broadcast(gone)
 
     renamed = docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))
     key, at, width = docs.columns.index(id_col), docs.columns.index(text_col), len(docs.columns)
