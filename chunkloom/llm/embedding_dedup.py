@@ -4,7 +4,8 @@ Each table projects a vector to two blocks of eight random directions, scales an
 each block to the nearest point of the E8 lattice. A vector is indexed in its cell and probes the cells
 that differ in one block by the nearest point of the lattice's other coset. Cells with several vectors
 are cut into blocks of bounded size; each pair of blocks compares its vectors by cosine and returns
-degrees and local components, not pairs. A pair that meets more than once is counted at its first table.
+degrees and local components, not pairs. A pair is found where one of the two is in its own cell; it is
+counted in one such cell, that of its first table.
 """
 
 from __future__ import annotations
@@ -14,10 +15,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, once
+from .common import cut, once, spread_join
 from .components import components
 
-THRESHOLD, TABLES, BLOCKS, SCALE, BLOCK_ROWS, SEED = 0.98, 5, 2, 2.5, 256, 20240607
+THRESHOLD, TABLES, BLOCKS, SCALE, BLOCK_ROWS, SEED = 0.98, 5, 2, 2.5, 1024, 20240607
 
 
 def _decode(y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -76,8 +77,8 @@ def _unit(vectors: list) -> np.ndarray:
 
 def _postings(batches):
     for batch in batches:
-        ids, labels = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        vectors = batch.column(2).to_pylist()
+        ids, keys, labels = (batch.column(k).to_numpy() for k in range(3))
+        vectors = batch.column(3).to_pylist()
         widths = np.array([len(v) for v in vectors])
         for width in np.unique(widths):
             rows = np.flatnonzero(widths == width)
@@ -88,79 +89,83 @@ def _postings(batches):
             role = np.zeros(bucket.shape, bool)
             role[:, :, 0] = True
             table = np.broadcast_to(np.arange(TABLES, dtype=np.int32)[None, :, None], bucket.shape)
-            yield pa.RecordBatch.from_arrays([pa.array(bucket.ravel()), pa.array(table.ravel()), pa.array(np.repeat(ids[rows], n)), pa.array(role.ravel())], names=["bucket", "tab", "id", "own"])
+            columns = bucket.ravel(), table.ravel(), np.repeat(ids[rows], n), np.repeat(keys[rows], n), role.ravel()
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["bucket", "tab", "id", "key", "own"])
 
 
 def _compare(threshold: float):
     def run(key, table):
         t, left, right = key[1].as_py(), key[2].as_py(), key[3].as_py()
-        ids = table.column("id").to_numpy()
-        order = np.unique(ids, return_index=True)[1]
-        ids, part, weight = ids[order], table.column("part").to_numpy()[order], table.column("weight").to_numpy()[order]
-        x = _unit(table.column("vector").take(order).to_pylist())
+        empty = pa.table({"id": pa.array([], pa.int64()), "key": pa.array([], pa.int64()), "degree": pa.array([], pa.int64()), "least": pa.array([], pa.int64())})
+        ids, keys, home_here, part, weight = (table.column(c).to_numpy(zero_copy_only=False) for c in ("id", "key", "own", "part", "weight"))
+        if not home_here.any():
+            return empty
+        x = _unit(table.column("vector").to_pylist())
         close = x @ x.T >= threshold
         np.fill_diagonal(close, False)
+        close &= home_here[:, None] | home_here[None, :]
         if left != right:
             close &= part[:, None] != part[None, :]
         if not close.any():
-            return pa.table({"id": pa.array([], pa.int64()), "degree": pa.array([], pa.int64()), "least": pa.array([], pa.int64())})
+            return empty
         own, probed = cells(x)
         i, j = np.nonzero(np.triu(close))
         met = (own[i] == own[j]) | (own[i][:, :, None] == probed[j]).any(2) | (own[j][:, :, None] == probed[i]).any(2)
         counted = met.argmax(1) == t  # at its first table
-        same, forward = own[i, t] == own[j, t], (own[i, t][:, None] == probed[j, t]).any(1)
-        home = np.where(same | forward, own[i, t], own[j, t])  # and there in one cell
-        here = _cell_of(own, probed, t, table.column("own").to_numpy(zero_copy_only=False)[order])
-        counted &= home == here
+        first_home = (own[i, t] == own[j, t]) | (own[i, t][:, None] == probed[j, t]).any(1)
+        home = np.where(first_home, own[i, t], own[j, t])  # and there in one cell
+        counted &= home == own[np.flatnonzero(home_here)[0], t]
         degree = np.zeros(len(ids), np.int64)
         np.add.at(degree, i[counted], weight[j[counted]])
         np.add.at(degree, j[counted], weight[i[counted]])
-        least = np.arange(len(ids))
-        while True:  # ids are sorted, so the least place is the least id
+        least = ids.copy()
+        while True:
             now = least.copy()
             np.minimum.at(now, i, least[j])
             np.minimum.at(now, j, least[i])
-            now = now[now]
             if (now == least).all():
                 break
             least = now
-        return pa.table({"id": pa.array(ids), "degree": pa.array(degree), "least": pa.array(ids[least])})
+        return pa.table({"id": pa.array(ids), "key": pa.array(keys), "degree": pa.array(degree), "least": pa.array(least)})
 
     return run
 
 
-def _cell_of(own, probed, t, is_own) -> int:
-    """The cell that this group of rows is about: its indexed rows' own cell, or the one all probe."""
-    if is_own.any():
-        return own[np.flatnonzero(is_own)[0], t]
-    shared = set(probed[0, t].tolist())
-    for row in probed[1:, t]:
-        shared &= set(row.tolist())
-    return next(iter(shared), 0)
-
-
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", threshold: float = THRESHOLD) -> DataFrame:
     """One row per vector: n_links, component_id, kept.
 
     Only rows with equal labels that aren't null are compared. Vectors that are null, empty, zero or hold
     null or non-finite components link with nothing; vectors of different length don't link. Equal vectors
-    are one class with a weight, so their links are counted without pairs. Repeated rows count each.
+    are one class with a weight, so their links are counted without pairs. Repeated rows count each; rows
+    that repeat an id are one node of the components, whatever their vectors, and have their own n_links.
+    Rows with a null id take no part: no links, a null component, kept. An empty table gives no rows; further
+    columns and their names don't matter. Ties don't arise, as a component's least id is unique.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("long").alias("label"), F.col(vector_col).alias("vector"))
-    sound = F.expr("label IS NOT NULL AND size(vector) > 0 AND forall(vector, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('Infinity')) AND exists(vector, x -> x <> 0)")
-    good = rows.where("id IS NOT NULL").where(sound).select("*", F.xxhash64("vector").alias("h1"), F.xxhash64(F.lit(1), "vector").alias("h2"))
-    classes = cut(good.groupBy("label", "h1", "h2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("weight")))
-    reps = cut(good.select("id", "label", "vector", "h1", "h2").join(classes.select(F.col("rep").alias("id"), "label", "h1", "h2", "weight"), ["id", "label", "h1", "h2"], "left_semi").dropDuplicates(["id"]).join(classes.select(F.col("rep").alias("id"), "weight"), "id").select("id", "label", "vector", "weight"))
-    postings = cut(reps.select("id", "label", "vector").mapInArrow(_postings, "bucket long, tab int, id long, own boolean"))
-    crowded = postings.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.max("own").alias("any_own")).where("m > 1 AND any_own").select("bucket", F.ceil(F.col("m") / BLOCK_ROWS).cast("int").alias("parts"))
-    placed = postings.join(crowded, "bucket").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    sound = F.expr("id IS NOT NULL AND label IS NOT NULL AND size(vector) > 0 AND forall(vector, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('Infinity')) AND exists(vector, x -> x <> 0)")
+    print_ = F.struct("label", F.xxhash64("vector").alias("h1"), F.xxhash64(F.lit(1), "vector").alias("h2"))
+    good = rows.where(sound).withColumn("print", print_)
+    # a class is named by its least id and a hash, as an id may have several vectors
+    classes = cut(good.groupBy("print").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("weight")).withColumn("key", F.xxhash64("print")))
+    reps = cut(good.join(classes, ["id", "print"]).dropDuplicates(["id", "key"]).select("id", "key", "label", "vector", "weight"))
+    postings = reps.select("id", "key", "label", "vector").mapInArrow(_postings, "bucket long, tab int, id long, key long, own boolean")
+    postings = cut(postings.groupBy("bucket", "tab", "id", "key").agg(F.max("own").alias("own")))
+    crowded = postings.groupBy("bucket", "tab").agg(F.count(F.lit(1)).alias("m"), F.max("own").alias("any_own")).where("m > 1 AND any_own").select("bucket", "tab", F.ceil(F.col("m") / BLOCK_ROWS).cast("int").alias("parts"))
+    placed = postings.join(crowded, ["bucket", "tab"]).withColumn("part", F.pmod(F.xxhash64("id", "key"), F.col("parts")).cast("int"))
     pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    blocks = pairs.select("bucket", "tab", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "id", "own", "part").join(reps.select("id", "vector", "weight"), "id")
-    found = cut(blocks.groupBy("bucket", "tab", "p", "q").applyInArrow(_compare(threshold), "id long, degree long, least long"))
-    degree = found.groupBy("id").agg(F.sum("degree").alias("degree"))
-    joined = components(found.where("id <> least").select(F.col("id").alias("a"), F.col("least").alias("b")))
-    per_class = classes.join(degree.withColumnRenamed("id", "rep"), "rep", "left").join(joined.withColumnRenamed("node", "rep"), "rep", "left").select("label", "h1", "h2", (F.coalesce("degree", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component"))
-    keyed = rows.select("id", F.when(sound, F.col("label")).alias("label"), F.xxhash64("vector").alias("h1"), F.xxhash64(F.lit(1), "vector").alias("h2"))
-    out = keyed.join(per_class, ["label", "h1", "h2"], "left")
-    component = F.coalesce("component", "id")
-    return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).alias("n_links"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
+    blocks = pairs.select("bucket", "tab", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "id", "key", "own", "part").join(reps.select("id", "key", "vector", "weight"), ["id", "key"])
+    found = cut(blocks.groupBy("bucket", "tab", "p", "q").applyInArrow(_compare(threshold), "id long, key long, degree long, least long"))
+    degree = found.groupBy("id", "key").agg(F.sum("degree").alias("degree"))
+    links = found.where("id <> least").select(F.col("id").alias("a"), F.col("least").alias("b")).unionByName(_ties(good, classes))
+    joined = components(links)
+    per_class = classes.join(degree, ["id", "key"], "left").join(joined.withColumnRenamed("node", "id"), "id", "left").select("print", (F.coalesce("degree", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "id").alias("component"))
+    alone = rows.where(~F.coalesce(sound, F.lit(False))).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component"))
+    out = spread_join(good.select("id", "print"), per_class, "print").select("id", "n_links", "component").unionByName(alone)
+    return out.select(F.col("id").alias(id_col), "n_links", F.col("component").alias("component_id"), F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept"))
+
+
+def _ties(good: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) of ids that have several vectors with the least ids of these."""
+    several = good.groupBy("id").agg(F.min("print").alias("p1"), F.max("print").alias("p2")).where("p1 <> p2").select("id")
+    own = good.select("id", "print").join(several, "id", "left_semi").join(classes.select("print", F.col("id").alias("rep")), "print")
+    return own.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct()
