@@ -2,20 +2,25 @@
 
 A window of a document is compared with a benchmark item of as many words. A window can reach the
 similarity only if enough of its shingles are shingles of items of its size, so windows are cut at every
-start where that many lie close together. Each window and item gets a 64-bit SimHash of its shingles. The fingerprints are
-indexed by size and by blocks, one more than the radius, so any two within the radius agree in one block;
-what the index returns is checked by Hamming distance and then by exact similarity of the shingles
-weighted by how often they occur: the sum of the lesser counts over the sum of the greater.
+start where that many lie close together. Each window and item gets a 64-bit SimHash of its shingles. The
+fingerprints are cut into blocks. Two within the radius differ in one block by no more than the radius shared
+out over the blocks, so items are indexed by size under all values that near to each of theirs, and windows
+look up their own; what the index returns is checked by Hamming distance and then by exact similarity of the
+shingles weighted by how often they occur: the sum of the lesser counts over the sum of the greater.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, fresh
 
-WIDTH, SIMILARITY, RADIUS = 5, 0.8, 21
+#: Of windows that are only just similar enough, 0.4 % are further than the radius; of unrelated ones the index
+#: of six blocks returns a fifth.
+WIDTH, SIMILARITY, RADIUS, BLOCKS = 5, 0.8, 17, 6
 #: Shingles of the benchmark that are broadcast at most; more are joined by a shuffle.
 MOST_BROADCAST = 500_000
 
@@ -41,11 +46,25 @@ def simhash(hashes: Column) -> Column:
     return F.aggregate(F.transform(F.sequence(F.lit(0), F.lit(63)), bit), F.lit(0).cast("long"), lambda acc, x: acc.bitwiseOR(x))
 
 
-def blocks(print_: Column, radius: int) -> Column:
-    """(block, bits) of a fingerprint cut into radius + 1 blocks."""
-    n = radius + 1
+def _edges(n: int) -> list[tuple[int, int]]:
     edges = [64 * k // n for k in range(n + 1)]
-    return F.array(*(F.struct(F.lit(k).alias("block"), F.shiftrightunsigned(print_, a).bitwiseAND(F.lit((1 << (b - a)) - 1)).alias("bits")) for k, (a, b) in enumerate(zip(edges, edges[1:], strict=False))))
+    return list(zip(edges, edges[1:], strict=False))
+
+
+def blocks(print_: Column, n: int) -> Column:
+    """(block, bits) of a fingerprint cut into ``n`` blocks."""
+    return F.array(*(F.struct(F.lit(k).alias("block"), F.shiftrightunsigned(print_, a).bitwiseAND(F.lit((1 << (b - a)) - 1)).alias("bits")) for k, (a, b) in enumerate(_edges(n))))
+
+
+def near_blocks(print_: Column, radius: int, n: int) -> Column:
+    """(block, bits) of all values within a block's share of the radius."""
+
+    def around(k, a, b):
+        masks = [sum(1 << at for at in chosen) for size in range(radius // n + 1) for chosen in combinations(range(b - a), size)]
+        own = F.shiftrightunsigned(print_, a).bitwiseAND(F.lit((1 << (b - a)) - 1))
+        return F.transform(F.array(*(F.lit(m).cast("long") for m in masks)), lambda m: F.struct(F.lit(k).alias("block"), own.bitwiseXOR(m).alias("bits")))
+
+    return F.concat(*(around(k, a, b) for k, (a, b) in enumerate(_edges(n))))
 
 
 def similarity(a: Column, b: Column) -> Column:
@@ -65,12 +84,13 @@ def starts_of(hits: Column, count: Column, need: Column, low: Column, high: Colu
     return F.when(F.size(hits) >= need, F.flatten(F.transform(F.sequence(F.lit(0), F.size(hits) - need), run))).otherwise(F.array().cast("array<int>"))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = WIDTH, least: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = WIDTH, least: float = SIMILARITY, radius: int = RADIUS, n_blocks: int = BLOCKS) -> DataFrame:
     """One row per document and item that it holds: start_word of the best window, similarity.
 
     Items of fewer words than ``width`` are one shingle of all their words. Null, empty and wordless texts
     match nothing. Rows that repeat an id are windows of one document; equal items each match. Of windows
-    that are equally similar the first counts. Texts of any length are read whole.
+    that are equally similar the first counts. Texts of any length are read whole. Null ids of documents or
+    items come back as null, empty tables give no rows, and further columns and their names don't matter.
     """
     items = benchmark.select(F.col(item_col).alias("item"), words_of(F.col(item_text_col)).alias("w")).where(F.size("w") > 0)
     items = items.withColumn("width", F.least(F.size("w"), F.lit(width)))
@@ -100,8 +120,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     cut_out = starts.join(there, "doc").select("doc", "width", "words", "start", F.slice("w", F.col("start") + 1, F.col("words")).alias("v"))
     by_width = F.coalesce(*(F.when(F.col("width") == k, shingles(F.col("v"), k)) for k in widths)) if widths else F.array().cast("array<bigint>")
     windows = cut(cut_out.select("doc", "words", "width", "start", by_width.alias("shingles")).where(F.size("shingles") > 0).withColumn("print", simhash(F.col("shingles"))))
-    index = items.select("item", "words", "width", F.col("print").alias("item_print"), F.explode(blocks(F.col("print"), radius)).alias("b")).select("item", "words", "width", "item_print", "b.block", "b.bits")
-    probes = windows.select("doc", "words", "width", "start", "print", F.explode(blocks(F.col("print"), radius)).alias("b")).select("doc", "words", "width", "start", "print", "b.block", "b.bits")
+    index = items.select("item", "words", "width", F.col("print").alias("item_print"), F.explode(near_blocks(F.col("print"), radius, n_blocks)).alias("b")).select("item", "words", "width", "item_print", "b.block", "b.bits")
+    probes = windows.select("doc", "words", "width", "start", "print", F.explode(blocks(F.col("print"), n_blocks)).alias("b")).select("doc", "words", "width", "start", "print", "b.block", "b.bits")
     near = probes.join(index, ["words", "width", "block", "bits"]).where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= radius).select("doc", "item", "words", "width", "start").distinct()
     judged = near.join(windows.drop("print").distinct(), ["doc", "words", "width", "start"]).join(items.select("item", F.col("shingles").alias("theirs")), "item").withColumn("similarity", similarity(F.col("shingles"), F.col("theirs"))).where(F.col("similarity") >= least)
     best = judged.groupBy("doc", "item").agg(F.min(F.struct((-F.col("similarity")).alias("s"), "start")).alias("best"))
@@ -110,5 +130,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item; rows with a null id stay."""
-    hit = contaminated(docs, benchmark, id_col, **options).select(F.col(id_col).alias("_hit")).distinct()
-    return docs.join(hit, F.col(id_col) == F.col("_hit"), "left_anti")
+    held = fresh("hit", docs.columns)
+    hit = contaminated(docs, benchmark, id_col, **options).select(F.col(id_col).alias(held)).distinct()
+    return docs.join(hit, F.col(id_col) == F.col(held), "left_anti")
