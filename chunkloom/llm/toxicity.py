@@ -1,44 +1,48 @@
 """Toxicity from a weighted lexicon, matched by Aho-Corasick on folded text.
 
-Folding lower-cases, maps look-alike letters of other scripts to Latin and digits inside words to the
-letters they stand for. Entries are words or word beginnings, weighted by the log-odds of their document
-frequencies in labelled texts. The weights of all matches but those inside exception phrases are summed,
-divided by the logarithm of the length, and turned into a score by a logistic curve.
+Folding lower-cases, undoes compatibility forms, accents and invisible characters, maps look-alike letters
+of other scripts to Latin and digits inside words to the letters they stand for, and joins letters that are
+written apart. Entries are words or word beginnings, weighted by the log-odds of their document
+frequencies in labelled texts; common insults start from a prior weight. The weights of all matches but
+those inside exception phrases are summed, divided by the logarithm of the length, and turned into a score
+by a logistic curve.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Shipped, filter_texts, held_out, map_texts
 
-# Common insults with a prior weight, and phrases in which an entry is harmless.
+# Common insults, phrases in which an entry is harmless, letters of other scripts by the Latin
+# letter they look like, and digits and signs by the letter they stand for.
 BASE_WORDS = "idiot moron stupid scum loser pathetic worthless disgusting trash clown imbecile dumbass bastard retard".split()
-BASE_WEIGHT = 3.0
 EXCEPTIONS = ("trash can", "trash bag", "trash bin", "clown fish", "class clown", "circus clown", "pond scum", "loser bracket", "worthless check", "disgusting smell")
-LOOKALIKES = dict(
-    zip(
-        "абвгеіјкмнорѕтухԁһӏոαβεικμνορτυχѵᴏɑɡⅼⅰօ",
-        "abbreijkmhopstyxdhlnabeikuvoptuxvoagliо".replace("о", "o"),
-        strict=True,
-    )
-)
+LOOKALIKES = {
+    "a": "аαɑ", "b": "вβ", "d": "ԁ", "e": "еε", "g": "гɡ", "h": "һ", "i": "іιⅰ", "j": "ј", "k": "кκ", "l": "ӏⅼ", "m": "мμ",
+    "n": "пν", "o": "оοᴏօ", "p": "рρ", "r": "г", "s": "ѕ", "t": "тτ", "u": "υ", "v": "ѵ", "x": "хχ", "y": "у",
+}
 DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}
+#: Weight of the insults before any label is seen, and how many labelled texts it counts as.
+BASE_WEIGHT, BASE_TEXTS = 3.0, 10
 _LETTER = r"[^\W\d_]"
 _FOLDED = re.compile(rf"[013457@$](?={_LETTER})|(?<={_LETTER})[013457]+(?![\w@$])|(?<={_LETTER})[013457@$]+(?={_LETTER})")
-_LOOK = str.maketrans(LOOKALIKES)
+_LOOK = str.maketrans({other: latin for latin, others in LOOKALIKES.items() for other in others})
 _SPACED = bytes(c if chr(c).isalnum() or c > 127 else 32 for c in range(256))
-_FOREIGN = re.compile("[" + "".join(LOOKALIKES) + "]")
+_INVISIBLE = re.compile("[\u0300-\u036f\u00ad\u200b-\u200f\u202a-\u202e\u2060-\u2064\ufe00-\ufe0f\ufeff]")
+_APART = re.compile(rf"(?<!\w){_LETTER}(?:([ .*_-]){_LETTER})(?:\1{_LETTER})+(?!\w)")
 
-#: Labelled texts a class is learned from, as expected number of a hash sample; entries kept.
-SAMPLE_TEXTS, MOST_ENTRIES = 5_000, 4_000
+#: Labelled texts a class is learned from, as expected number of a hash sample.
+SAMPLE_TEXTS = 5_000
+#: Bound on minus the logarithm of the chance that an entry's texts are toxic by accident.
 LEAST_EVIDENCE = 16.0
 PREFIXES = range(4, 8)
 
@@ -46,9 +50,10 @@ PREFIXES = range(4, 8)
 def fold(text: str) -> str:
     """Folded words, each between two spaces."""
     text = text.lower()
-    if not text.isascii() and _FOREIGN.search(text):
-        text = text.translate(_LOOK)
+    if not text.isascii():
+        text = _INVISIBLE.sub("", unicodedata.normalize("NFKD", text)).lower().translate(_LOOK)
     text = _FOLDED.sub(lambda m: "".join(DIGITS[c] for c in m[0]), text)
+    text = _APART.sub(lambda m: m[0][::2], text)
     return " " + text.encode().translate(_SPACED).decode() + " "
 
 
@@ -85,8 +90,8 @@ class Lexicon:
                 best[start] = n, weight
         if not best:
             return 0.0
-        harmless = [(end - n, end) for end, n in self.phrases.iter(folded)]
-        total = sum(w for at, (_, w) in best.items() if not any(a <= at < b for a, b in harmless))
+        harmless = {at for end, n in self.phrases.iter(folded) for at in range(end - n, end)}
+        total = sum(w for at, (_, w) in best.items() if at not in harmless)
         return total / math.log(math.e + folded.count(" "))
 
     def score(self, text: str | None) -> float:
@@ -100,12 +105,18 @@ def _sample(docs: DataFrame, labels: DataFrame, n: int) -> DataFrame:
     counts = {r[0]: r[1] for r in known.groupBy((F.col("toxic") > 0).alias("t")).count().collect()}
     share = F.when(F.col("toxic") > 0, min(1.0, n / counts.get(True, 1))).otherwise(min(1.0, n / counts.get(False, 1)))
     drawn = known.where((F.xxhash64(F.lit(7), "doc_id") % 1_000_003 + 1_000_003) % 1_000_003 < share * 1_000_003)
-    ids = F.broadcast(drawn.select(F.col("doc_id").alias("_id"), (F.col("toxic") > 0).alias("toxic")))  # about 2n rows
-    return docs.where(F.col("text").isNotNull()).join(ids, F.col("doc_id") == F.col("_id")).select("text", "toxic")
+    ids = F.broadcast(drawn.select("doc_id", (F.col("toxic") > 0).alias("toxic")))  # about 2n rows
+    return docs.select("doc_id", "text").where("text IS NOT NULL").join(ids, "doc_id").select("text", "toxic")
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample_texts: int = SAMPLE_TEXTS) -> tuple[dict[str, float], float, float]:
-    """Entries with weights, slope and offset, from labelled documents outside the held-out fold."""
+    """Entries with weights, slope and offset, from labelled documents outside the held-out fold.
+
+    About ``sample_texts`` documents a class are used. Labels that are null or have no document don't count; a
+    document with several labels is toxic if one says so, rows that repeat an id count each. Without
+    documents of both classes the common insults and a fixed curve remain. Further columns of both tables and
+    their names don't matter.
+    """
     sample = _sample(docs, labels, sample_texts)
 
     def count(batches):
@@ -118,15 +129,19 @@ def learn(docs: DataFrame, labels: DataFrame, sample_texts: int = SAMPLE_TEXTS)
 
     totals = {r[0]: r[1] for r in sample.groupBy("toxic").count().collect()}
     n0, n1 = totals.get(False, 0), totals.get(True, 0)
-    entries = {f"{w} ": BASE_WEIGHT for w in BASE_WORDS}
+    base = {f"{w} ": BASE_WEIGHT for w in BASE_WORDS}
+    entries = dict(base)
     if n0 and n1:
         counts = sample.mapInArrow(count, "entry string, n0 long, n1 long").groupBy("entry").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-        expected = F.col("n0") * (n1 / n0)
-        surplus = (F.col("n1") - expected) / F.sqrt(F.col("n1") + expected)
         weight = F.log((F.col("n1") + 0.5) / (n1 + 1)) - F.log((F.col("n0") + 0.5) / (n0 + 1))
-        kept = counts.where((F.col("n1") >= 4) & (weight >= math.log(5)) & (surplus >= min(2.5, 1 + n1 / 100)))
-        rows = kept.orderBy(surplus.desc(), "entry").limit(MOST_ENTRIES).select("entry", "n0", "n1", weight.alias("w"), surplus.alias("z")).collect()
-        entries |= select_entries([tuple(r) for r in rows], n1 / (n0 + n1))
+        kept = ((F.col("n1") >= 4) & (weight >= math.log(5)) & (_evidence(F.col("n0"), F.col("n1"), n1 / (n0 + n1)) >= LEAST_EVIDENCE)) | F.col("entry").isin(*base)
+        # few of the bounded sample's words pass; all that do are kept
+        rows = [tuple(r) for r in counts.where(kept).select("entry", "n0", "n1", weight.alias("w")).collect()]
+        entries = select_entries([r for r in rows if r[0] not in base])
+        for entry, k0, k1, w in rows:
+            if entry in base:
+                entries[entry] = (BASE_TEXTS * BASE_WEIGHT + (k0 + k1) * w) / (BASE_TEXTS + k0 + k1)
+        entries = base | entries
     shipped = Shipped(docs.sparkSession, entries)
 
     def strength(batches):
@@ -138,26 +153,29 @@ def learn(docs: DataFrame, labels: DataFrame, sample_texts: int = SAMPLE_TEXTS)
     return (entries, *fit(points))
 
 
-def evidence(n0: int, n1: int, share: float) -> float:
+def _evidence(n0: Column, n1: Column, share: float) -> Column:
     """Bound on minus the logarithm of the chance that n1 of n0 + n1 texts are toxic when ``share`` are."""
     q = n1 / (n0 + n1)
-    if q <= share:
-        return 0.0
-    return (n0 + n1) * (q * math.log(q / share) + (0 if q == 1 else (1 - q) * math.log((1 - q) / (1 - share))))
+    other = F.when(q < 1, (1 - q) * F.log((1 - q) / (1 - share))).otherwise(0)
+    return F.when(q > share, (n0 + n1) * (q * F.log(q / share) + other)).otherwise(0.0)
 
 
-def select_entries(rows: list[tuple[str, int, int, float, float]], share: float) -> dict[str, float]:
-    """Entries that chance doesn't explain, among as many candidates as texts have words.
+def select_entries(rows: list[tuple[str, int, int, float]]) -> dict[str, float]:
+    """Entries without those that others stand for.
 
     Word beginnings stand for many words, so one that a single word makes up gives way to the word; what a
     kept beginning covers is left out.
     """
-    words = {e: n1 for e, _, n1, _, _ in rows if e.endswith(" ")}
+    words = {e: n1 for e, _, n1, _ in rows if e.endswith(" ")}
+    most: dict[str, int] = {}
+    for word, n1 in words.items():
+        for n in PREFIXES:
+            most[word[:n]] = max(most.get(word[:n], 0), n1)
     out: dict[str, float] = {}
-    for entry, n0, n1, weight, _z in sorted(rows, key=lambda r: (len(r[0]), r[0])):
-        if any(entry[:n] in out for n in range(1, len(entry))) or evidence(n0, n1, share) < LEAST_EVIDENCE:
+    for entry, _, n1, weight in sorted(rows, key=lambda r: (len(r[0]), r[0])):
+        if any(entry[:n] in out for n in range(1, len(entry))):
             continue
-        if entry.endswith(" ") or max((m for w, m in words.items() if w.startswith(entry)), default=0) < 0.5 * n1:
+        if entry.endswith(" ") or most.get(entry, 0) < 0.5 * n1:
             out[entry] = weight
     return out
 
@@ -185,7 +203,7 @@ def score_texts(docs: DataFrame, model: tuple[dict[str, float], float, float], i
 
     Texts of any length are read whole; repeated rows each give their row; an empty table gives no rows.
     """
-    shipped = Shipped(docs.sparkSession, model)  # MOST_ENTRIES entries at most, and the base words
+    shipped = Shipped(docs.sparkSession, model)  # entries of a bounded sample
 
     def row(text):
         return (shipped.built(lambda m: Lexicon(*m)).score(text),)
