@@ -1,7 +1,8 @@
 """Secret scans with a worklist of decoded layers.
 
 A text is layer 0. Every layer is scanned for the three kinds and unwrapped: URL escapes, Unicode and
-character escapes, base64 runs, and compressed data inside base64. What an unwrapping gives is a new
+character escapes, base64 runs on one line or several, runs of hex digits, and compressed data inside
+either. Of URL escapes what is valid UTF-8 is decoded, the rest stays. What an unwrapping gives is a new
 layer, whose characters know their span in the text; layers seen before are not queued again, so the
 list empties. Packed data is read to its end: all members, and packed data in packed data to any depth. Findings of deeper layers are reported at the span of the text they were unwrapped from.
 """
@@ -10,6 +11,7 @@ from __future__ import annotations
 
 import base64
 import binascii
+import codecs
 import hashlib
 import re
 import zlib
@@ -28,6 +30,8 @@ LEAST_ASSIGN, LEAST_ACCESS = 6, 20
 URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}(?:\r?\n[\x20\t]*[A-Za-z0-9+/_-]{16,}){0,}\r?\n[\x20\t]*[A-Za-z0-9+/_-]+={0,2}")
+HEX_BYTES = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-f]{2}){16,}(?![0-9A-Za-z])|(?<![0-9A-Za-z])(?:[0-9A-F]{2}){16,}(?![0-9A-Za-z])")
 #: Packed bytes fed to a decompressor at once.
 CHUNK = 4096
 
@@ -53,11 +57,15 @@ def scan(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def _percent(match: str) -> str | None:
-    try:
-        return bytes.fromhex(match.replace("%", "")).decode()
-    except UnicodeDecodeError:
-        return None
+def _escaped_again(error: UnicodeDecodeError) -> tuple[str, int]:
+    return "".join(f"%{b:02X}" for b in error.object[error.start : error.end]), error.end
+
+
+codecs.register_error("chunkloom-percent", _escaped_again)
+
+
+def _percent(match: str) -> str:
+    return bytes.fromhex(match.replace("%", "")).decode(errors="chunkloom-percent")
 
 
 def _escape(match: str) -> str | None:
@@ -135,6 +143,15 @@ def _blob(run: str) -> str | None:
         data = base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4))
     except (binascii.Error, ValueError):
         return None
+    return _contents(data)
+
+
+def _hex_blob(run: str) -> str | None:
+    return _contents(bytes.fromhex(run))
+
+
+def _contents(data: bytes) -> str | None:
+    """The text that the bytes are, packed any number of times."""
     seen = set()
     while (inner := _unpacked(data)) is not None:  # compressed data inside compressed data
         seen.add(hashlib.sha256(data).digest())
@@ -144,6 +161,22 @@ def _blob(run: str) -> str | None:
     return _readable(data)
 
 
+def _blobs(layer: str):
+    """(start, end, contents) of the blobs of a layer."""
+    for pattern, decode in ((BASE64, _blob), (HEX_BYTES, _hex_blob)):
+        for m in pattern.finditer(layer):
+            inner = decode(m[0])
+            if inner is not None:
+                yield *m.span(), inner
+    for m in WRAPPED.finditer(layer) if "\n" in layer else ():
+        lines = m[0].split("\n")
+        for n in (len(lines), len(lines) - 1):  # the last line may be a word that follows
+            inner = _blob("".join(map(str.strip, lines[:n]))) if n > 1 else None
+            if inner is not None:
+                yield m.start(), m.start() + len("\n".join(lines[:n]).rstrip("\r")), inner
+                break
+
+
 def _replaced(text: str, spans, pattern, decode):
     """The layer that ``decode`` gives for all matches in place, or None if nothing changes."""
     parts, where, at, changed = [], [], 0, False
@@ -179,11 +212,8 @@ def layers(text: str) -> list[tuple[str, list[tuple[int, int]] | Whole | None]]:
             found.append(_replaced(layer, spans, URL, _percent))
         if escaped:
             found.append(_replaced(layer, spans, ESCAPE, _escape))
-        for m in BASE64.finditer(layer):
-            inner = _blob(m[0])
-            if inner is not None:
-                span = (spans[m.start()][0], spans[m.end() - 1][1]) if spans else m.span()
-                found.append((inner, Whole(span)))
+        for start, end, inner in _blobs(layer):
+            found.append((inner, Whole((spans[start][0], spans[end - 1][1]) if spans else (start, end))))
         for new in found:
             if new is None or not new[0]:
                 continue
@@ -208,7 +238,9 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per document: counts of the base findings, their digest, and all spans.
 
     Spans are ``kind:start:end`` in code points, end exclusive, joined by commas. A null text counts as
-    empty and has none; texts of any length are read whole; repeated rows each give their row.
+    empty and has none; texts of any length are read whole; repeated rows each give their row, ids may be
+    null, and an empty table gives none; further columns and their names don't matter. Findings with one
+    start come in the order of the kinds. Packed data is unpacked in memory.
     """
 
     def row(text):
