@@ -26,6 +26,8 @@ DICTIONARY_BYTES, PIECE_BYTES = 32_768, 128
 #: Labelled texts a language is learned from, as expected number of a hash sample.
 SAMPLE_TEXTS = 60
 NARROW = 0.01
+#: Languages at most; each has a dictionary in every worker.
+MOST_LANGUAGES = 2_000
 UNKNOWN = "und"
 _PLAIN = bytes(c if chr(c).isalpha() or c > 127 else 32 for c in range(256))
 
@@ -59,12 +61,16 @@ def filled(texts: list[list[bytes]]) -> bytes:
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_texts: int = SAMPLE_TEXTS) -> dict[str, bytes]:
     """A dictionary for each language from a hash sample of about ``sample_texts`` of its labelled rows.
 
-    Each sampled text is read whole, and all of a language's have equal shares of its dictionary.
+    Each sampled text is read whole, and all of a language's have equal shares of its dictionary. Rows whose
+    language or text is null don't count, and equal texts count once. Raises for more than ``MOST_LANGUAGES``
+    languages. Further columns and their names don't matter.
     """
-    rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = {r[0]: r[1] for r in rows.groupBy(lang_col).count().collect()}
+    rows = docs.select(id_col, text_col, lang_col).where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    counts = {r[0]: r[1] for r in rows.groupBy(lang_col).count().limit(MOST_LANGUAGES + 1).collect()}
     if not counts:
         return {}
+    if len(counts) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages; is {lang_col} a language?")
     share = F.coalesce(*(F.when(F.col(lang_col) == k, min(1.0, sample_texts / n)) for k, n in counts.items()))
     drawn = (F.xxhash64(F.col(id_col).cast("string")) % 1_000_003 + 1_000_003) % 1_000_003 < share * 1_000_003
     size = max(8, min(PIECE_BYTES, DICTIONARY_BYTES // (4 * sample_texts)))  # no text of the sample goes without a piece
@@ -114,7 +120,8 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc
     """One row per document: lang_pred, score (0 to 1, from the margin), accepted.
 
     ``und`` with score 0 where the text is null, empty or has no letter, or nothing was learned. Equal
-    sizes go to the first language by name and are not accepted. Texts of any length are read whole.
+    sizes go to the first language by name and are not accepted. Texts of any length are read whole;
+    repeated rows each give their row, ids may be null, and an empty table gives no rows.
     """
     shipped = Shipped(docs.sparkSession, dictionaries)  # languages times DICTIONARY_BYTES
 
