@@ -97,6 +97,7 @@ def _compare(threshold: float):
     def run(key, table):
         t, left, right = key[1].as_py(), key[2].as_py(), key[3].as_py()
         empty = pa.table({"id": pa.array([], pa.int64()), "key": pa.array([], pa.int64()), "degree": pa.array([], pa.int64()), "least": pa.array([], pa.int64())})
+        table = table.sort_by([("id", "ascending"), ("key", "ascending")])  # so that all groups count a pair in the same cell
         ids, keys, home_here, part, weight = (table.column(c).to_numpy(zero_copy_only=False) for c in ("id", "key", "own", "part", "weight"))
         if not home_here.any():
             return empty
