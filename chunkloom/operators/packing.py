@@ -7,15 +7,22 @@ afterwards. Each document is one row, so documents are independent and nothing i
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.folds import fold, rows_of
 
 
-def pack(counts: Column, budget: int, overlap_tokens: int = 0, overlap_items: int = 0, least: int = 0) -> Column:
+def _pieces(counts: np.ndarray, most: int) -> np.ndarray:
+    """Counts over ``most`` cut into pieces of ``most``, the last one shorter."""
+    return np.array([min(most, c - k) for c in counts.tolist() for k in range(0, c, most)], np.int64)
+
+
+def pack(counts: Column, budget: int, overlap_tokens: int = 0, overlap_items: int = 0, least: int = 0, piece: int = 0) -> Column:
     """Array of (first, last, tokens), 1-based and inclusive.
 
+    With ``piece``, larger items are first cut into pieces of so many tokens, which are items of their own.
+
     An item more joins while the sum stays within the budget; the first always joins. The next chunk goes
     back over the items that cover ``overlap_tokens``, or over ``overlap_items`` items, but starts after
     the previous start. Packing ends with the chunk that holds the last item. A chunk of fewer than ``least``
@@ -23,6 +30,7 @@ def pack(counts: Column, budget: int, overlap_tokens: int = 0, overlap_items: in
     """
 
     def run(c: np.ndarray) -> list:
+        c = _pieces(c, piece) if piece else c
         sums, n = np.concatenate([[0], np.cumsum(c)]), len(c)
         at, out = 0, []
         while at < n:
@@ -109,9 +117,54 @@ def merged_sections(counts: Column, threshold: int, most: int) -> Column:
     return fold(counts, "array<int>", _groups(lambda total, c: total < threshold and total + c <= most))
 
 
-def pieces(words: Column, most: int) -> Column:
-    """A sentence's words in pieces of ``most`` at most."""
-    return F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(F.size(words) / most).cast("int") - 1, F.lit(0))), lambda k: F.slice(words, k * most + 1, F.lit(most)))
+def word_lengths(text: Column) -> Column:
+    """Characters of each word of a canonical text, negative for the last word of a sentence."""
+    return F.transform(F.split(text, " "), lambda w: F.when(w.rlike(r"[.!?]$"), -F.length(w)).otherwise(F.length(w)).cast("long"))
+
+
+def sentence_chunks(df: DataFrame, text_col: str, keep: list[str], budget: int, overlap: int, least: int) -> DataFrame:
+    """``keep``, chunk_no, sentence_first, sentence_end, start_char, end_char, token_count, truncated, text.
+
+    Words count as tokens. Sentences of a canonical text are packed as ``pack`` does; one over the budget is cut into
+    pieces of the budget, which are packed and overlap like sentences, and a chunk that ends inside a sentence is
+    truncated. A chunk of fewer than ``least`` tokens is appended to the one before, with the sentences that both
+    hold, so that token_count is the sum and may exceed the budget. Sentences count from 0 and ends are exclusive,
+    as are the characters' places in the canonical text. Null and empty texts have no chunks.
+    """
+
+    def run(lengths: np.ndarray) -> list:
+        size = np.abs(lengths)
+        starts = np.concatenate([[0], np.cumsum(size + 1)])
+        items, first, sentence = [], 0, 0  # (first word, end word, sentence, whether the sentence goes on)
+        for end in [*(np.flatnonzero(lengths[:-1] < 0) + 1).tolist(), len(lengths)]:
+            items += [(k, min(k + budget, end), sentence, k + budget < end) for k in range(first, end, budget)]
+            first, sentence = end, sentence + 1
+        counts, out, at = [b - a for a, b, _, _ in items], [], 0
+        while at < len(items):
+            end, tokens = at + 1, counts[at]
+            while end < len(items) and tokens + counts[end] <= budget:
+                tokens += counts[end]
+                end += 1
+            a, b = int(starts[items[at][0]]), int(starts[items[end - 1][1]]) - 1
+            cut = any(i[3] for i in items[at:end])
+            if out and tokens < least:
+                last = out[-1]
+                last[1], last[2], last[3] = items[end - 1][2] + 1, last[2] + tokens, int(last[3] or cut)
+                last += [a, b]
+            else:
+                out.append([items[at][2], items[end - 1][2] + 1, tokens, int(cut), a, b])
+            if end == len(items):
+                break
+            at = max(at + 1, end - overlap)
+        return out
+
+    known = df.where(F.coalesce(F.col(text_col), F.lit("")) != "")
+    chunks = known.withColumn("_chunks", fold(word_lengths(F.col(text_col)), "array<array<bigint>>", run))
+    c = F.col("_c")
+    part = lambda k: F.substr(F.col(text_col), (F.get(c, k) + 1).cast("int"), (F.get(c, k + 1) - F.get(c, k)).cast("int"))
+    joined = F.array_join(F.transform(F.sequence(F.lit(4), F.size(c) - 2, F.lit(2)), part), " ")
+    fields = {"sentence_first": F.get(c, F.lit(0)), "sentence_end": F.get(c, F.lit(1)), "start_char": F.get(c, F.lit(4)), "end_char": F.element_at(c, -1), "token_count": F.get(c, F.lit(2)), "truncated": F.get(c, F.lit(3)) > 0, "text": joined}
+    return chunks.select(*keep, text_col, F.posexplode("_chunks").alias("chunk_no", "_c")).select(*keep, "chunk_no", *(v.alias(n) for n, v in fields.items()))
 
 
 def rows_per_chunk(header: Column, sample: Column, target: int, least: int = 1, most: int = 100) -> Column:

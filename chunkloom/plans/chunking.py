@@ -153,12 +153,28 @@ SENTENCES = r"list_filter(string_split(regexp_replace(trim(regexp_replace(text,
 )
 def sentence_chunks(spark, d):
     docs = table(spark, d, "documents").select(F.col("doc_id").alias("doc"), text.sentences(F.col("text")).alias("s"))
-    parts = F.flatten(F.transform("s", lambda s: F.transform(packing.pieces(F.split(s, " "), 60), F.size)))
-    packed = docs.select("doc", parts.alias("c")).withColumn("x", packing.pack(F.col("c"), 120, overlap_items=2))
-    chunks = packed.select("doc", F.posexplode("x").alias("chunk_no", "x"))
+    words = F.transform("s", lambda s: F.size(F.split(s, " ")))
+    chunks = docs.select("doc", F.posexplode(packing.pack(words, 120, overlap_items=2, piece=60)).alias("chunk_no", "x"))
     return chunks.select("doc", "chunk_no", F.col("x.first").alias("item_first"), F.col("x.last").alias("item_last"), F.col("x.tokens").alias("tokens"))
 
 
+@query(
+    rf"""WITH RECURSIVE st AS (SELECT doc_id AS doc, trim(regexp_replace(text, '\s+', ' ', 'g')) AS x, {SENTENCES} AS s FROM documents),
+se AS (SELECT doc, unnest(s) AS t, generate_subscripts(s, 1) - 1 AS i FROM st),
+sa AS (SELECT doc, i, string_split(t, ' ') AS w, coalesce(sum(length(t) + 1) OVER (PARTITION BY doc ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS a FROM se),
+pk AS (SELECT doc, i, w, a, unnest(range(0, len(w), 45)) AS k FROM sa),
+pc AS (SELECT doc, i, least(45, len(w) - k) AS c, k + 45 < len(w) AS more, a + CASE WHEN k = 0 THEN 0 ELSE length(array_to_string(w[1:k], ' ')) + 1 END AS a, a + length(array_to_string(w[1:k + 45], ' ')) AS b, row_number() OVER (PARTITION BY doc ORDER BY i, k) AS item FROM pk),
+ch AS ({_pack_sql("SELECT doc, list(c ORDER BY item) AS c FROM pc GROUP BY doc", 45, "e - 2")}),
+cu AS (SELECT ch.doc, ch.chunk_no, ch.tokens, count(*) FILTER (pc.more) > 0 AS cut, min(i) AS first, max(i) + 1 AS ending, min(a) AS a, max(b) AS b FROM ch JOIN pc ON pc.doc = ch.doc AND item BETWEEN item_first AND item_last GROUP BY ALL),
+g AS (SELECT *, sum(CASE WHEN chunk_no = 0 OR tokens >= 12 THEN 1 ELSE 0 END) OVER (PARTITION BY doc ORDER BY chunk_no) - 1 AS n FROM cu)
+SELECT g.doc, CAST(n AS BIGINT) AS chunk_no, min(first) AS sentence_first, max(ending) AS sentence_end, CAST(min(a) AS BIGINT) AS start_char, CAST(max(b) AS BIGINT) AS end_char, CAST(sum(tokens) AS BIGINT) AS token_count, bool_or(cut) AS truncated,
+sha256(string_agg(x[CAST(a + 1 AS BIGINT) : CAST(b AS BIGINT)], ' ' ORDER BY g.chunk_no)) AS digest FROM g JOIN st ON g.doc = st.doc GROUP BY g.doc, n"""
+)
+def sentence_spans(spark, d):
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("doc"), text.squeezed(F.col("text")).alias("text"))
+    return packing.sentence_chunks(docs, "text", ["doc"], 45, 2, 12).withColumn("digest", F.sha2("text", 256)).drop("text")
+
+
 @query(
     r"""WITH RECURSIVE l AS (SELECT doc_id AS doc, list_transform(string_split(text, chr(10)), lambda l: CAST(len(list_filter(regexp_split_to_array(l, '\s+'), lambda t: t <> '')) AS BIGINT)) AS c FROM documents),
 f AS (SELECT doc, c, CAST(1 AS BIGINT) AS i, c[1] AS s, CAST(1 AS BIGINT) AS g FROM l

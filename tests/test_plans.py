@@ -55,3 +55,13 @@ def test_ivf_queries(spark, duck):
     best = {(ids[k], ids[j]) for k in asked for j in np.lexsort((ids, -np.round(x @ x[k], 6)))[:10]}
     recall = len(best & {(r.query_id, r.id) for r in rows}) / len(best)
     assert recall >= 0.9, recall
+
+
+def test_a_fold_again_and_again(spark):
+    """Arrow folds over lambdas, whatever ran in the session before and however the rows are taken."""
+    want = None
+    for take in (lambda df: df.count(), lambda df: len(df.collect()), lambda df: len(df.toPandas())):
+        got = take(ENTRIES["sentence_chunks"][0](spark, SF)), take(ENTRIES["sentence_spans"][0](spark, SF))
+        assert want in (None, got)
+        want = got
+    ENTRIES["sentence_chunks"][0](spark, SF).write.format("noop").mode("overwrite").save()
