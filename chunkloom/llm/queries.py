@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, embedding_dedup, jaccard_join, language_id, line_dedup, secrets, sentencepiece_codec, surrogates, toxicity, wordpiece_counts
+from . import ball_tree, decontamination, embedding_dedup, jaccard_join, language_id, line_dedup, secrets, sentencepiece_codec, surrogates, toxicity, wordpiece_counts
 from .common import table
 
 
@@ -56,9 +56,29 @@ def op10_surrogates(spark, sf_dir):
     return surrogates.pseudonymize(table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
 
 
+def op13_ball_tree(spark, sf_dir):
+    return ball_tree.cluster(table(spark, sf_dir, "embeddings"))
+
+
+#: Squared distances to 40 centroids in five rounds and a last one.
+BALL_TREE_SQL = """WITH v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), q) - 1 AS c, q AS m FROM v QUALIFY c < 40)""" + "".join(
+    f""", d{k} AS MATERIALIZED (SELECT vec_id, q, min({{'d': list_sum(list_transform(list_zip(q, m), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 'c': c}}) AS a FROM v, c{k} GROUP BY vec_id, q)"""
+    + (
+        ""
+        if k == 5
+        else f""", s{k} AS (SELECT c, i, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM (SELECT a.c AS c, unnest(q) AS x, generate_subscripts(q, 1) AS i FROM d{k}) GROUP BY c, i),
+c{k + 1} AS MATERIALIZED (SELECT c, coalesce(f, m) AS m FROM c{k} LEFT JOIN (SELECT c, list((s - (s % n + n) % n) // n ORDER BY i) AS f FROM s{k} GROUP BY c) USING (c))"""
+    )
+    for k in range(6)
+) + """ SELECT vec_id, CAST(a.c AS INTEGER) AS cluster, CAST(a.d AS BIGINT) AS distance, CAST(sum(a.d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia, CAST(sum(a.d) OVER () AS BIGINT) AS inertia,
+sha256(array_to_string(m, ',')) AS centroid_sha256 FROM d5 JOIN c5 ON a.c = c5.c"""
+
+
 def queries():
-    return {f.__name__: f for f in (op1_language_id, op2_jaccard_join, op3_line_dedup, op4_secret_scan, op5_sentencepiece, op6_toxicity, op7_token_counts, op8_decontamination, op9_embedding_dedup, op10_surrogates)}
+    return {f.__name__: f for f in (op1_language_id, op2_jaccard_join, op3_line_dedup, op4_secret_scan, op5_sentencepiece, op6_toxicity, op7_token_counts, op8_decontamination, op9_embedding_dedup, op10_surrogates, op13_ball_tree)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op13_ball_tree": BALL_TREE_SQL}
