@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ball_tree, decontamination, embedding_dedup, jaccard_join, language_id, line_dedup, secrets, sentencepiece_codec, surrogates, toxicity, turn_repair, wordpiece_counts
+from . import ball_tree, decontamination, embedding_dedup, huffman_ids, jaccard_join, language_id, line_dedup, secrets, sentencepiece_codec, surrogates, toxicity, turn_repair, wordpiece_counts
 from .common import table
 
 
@@ -16,6 +16,12 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def byte_tokenizer_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op1_language_id(spark, sf_dir):
     return language_id.identify(table(spark, sf_dir, "documents"))
 
@@ -76,6 +82,10 @@ c{k + 1} AS MATERIALIZED (SELECT c, coalesce(f, m) AS m FROM c{k} LEFT JOIN (SEL
 sha256(array_to_string(m, ',')) AS centroid_sha256 FROM d5 JOIN c5 ON a.c = c5.c"""
 
 
+def op11_huffman_ids(spark, sf_dir):
+    return huffman_ids.write_and_read(table(spark, sf_dir, "documents"), byte_tokenizer_file())
+
+
 def op12_turn_repair(spark, sf_dir):
     return turn_repair.repair(table(spark, sf_dir, "conversations"))
 
@@ -103,7 +113,7 @@ sha256(coalesce(e.body[:-2], '')) AS repaired_sha256 FROM (SELECT DISTINCT conv_
 
 
 def queries():
-    return {f.__name__: f for f in (op1_language_id, op2_jaccard_join, op3_line_dedup, op4_secret_scan, op5_sentencepiece, op6_toxicity, op7_token_counts, op8_decontamination, op9_embedding_dedup, op10_surrogates, op12_turn_repair, op13_ball_tree)}
+    return {f.__name__: f for f in (op1_language_id, op2_jaccard_join, op3_line_dedup, op4_secret_scan, op5_sentencepiece, op6_toxicity, op7_token_counts, op8_decontamination, op9_embedding_dedup, op10_surrogates, op11_huffman_ids, op12_turn_repair, op13_ball_tree)}
 
 
 def oracle_sql() -> dict[str, str]:
