@@ -2,9 +2,12 @@
 
 A text is layer 0. Every layer is scanned for the three kinds and unwrapped: URL escapes, Unicode and
 character escapes, base64 runs on one line or several, runs of hex digits, and compressed data inside
-either. Of URL escapes what is valid UTF-8 is decoded, the rest stays. What an unwrapping gives is a new
-layer, whose characters know their span in the text; layers seen before are not queued again, so the
-list empties. Packed data is read to its end: all members, and packed data in packed data to any depth. Findings of deeper layers are reported at the span of the text they were unwrapped from.
+either. Of URL escapes what is valid UTF-8 is decoded, the rest stays. Escapes give three layers: URL escapes
+decoded once, the others decoded once, and all decoded until none is left, in one pass over the layer, as each
+character that a decoding gives is looked at together with those around it. A layer knows only the spans of
+stretches that were changed; layers seen before are not queued again, so the list empties. Packed data is read
+to its end: all members, and packed data in packed data to any depth. Findings of deeper layers are reported at
+the span of the text they were unwrapped from.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ import codecs
 import hashlib
 import re
 import zlib
+from bisect import bisect_right
 
 from pyspark.sql import DataFrame
 
@@ -32,6 +36,14 @@ ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
 WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}(?:\r?\n[\x20\t]*[A-Za-z0-9+/_-]{16,}){0,}\r?\n[\x20\t]*[A-Za-z0-9+/_-]+={0,2}")
 HEX_BYTES = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-f]{2}){16,}(?![0-9A-Za-z])|(?<![0-9A-Za-z])(?:[0-9A-F]{2}){16,}(?![0-9A-Za-z])")
+HEXES = "[0-9A-Fa-f]"
+#: Where an escape may begin, an escape that ends here, and the beginning of one, which may need what follows.
+TRIGGER = re.compile(r"[%&\\]")
+ENDING = re.compile(rf"(?:%{HEXES}{{2}}|\\x{HEXES}{{2}}|\\u{HEXES}{{4}}|\\U{HEXES}{{8}}|\\u\{{{HEXES}{{1,6}}\}}|&#[0-9]{{1,7}};|&#[xX]{HEXES}{{1,6}};)\Z")
+BEGUN = re.compile(rf"(?:%{HEXES}?|\\(?:x{HEXES}?|u{HEXES}{{0,3}}|u\{{{HEXES}{{0,6}}|U{HEXES}{{0,7}})?|&(?:#(?:[0-9]{{0,7}}|[xX]{HEXES}{{0,6}}))?)\Z")
+LONGEST = 11
+#: Parts of a run of base64 digits that a path or a name may have put before a blob, and the digits that show whether a blob begins.
+JOINTS, LEAST_BLOB, SHOWN = re.compile("[/_-]"), 16, 64
 #: Packed bytes fed to a decompressor at once.
 CHUNK = 4096
 
@@ -42,10 +54,32 @@ class Whole:
     def __init__(self, span: tuple[int, int]):
         self.span = span
 
-    def __getitem__(self, at: int) -> tuple[int, int]:
+    def locate(self, start: int, end: int) -> tuple[int, int]:
         return self.span
 
 
+class Itself:
+    """Spans of the text."""
+
+    def locate(self, start: int, end: int) -> tuple[int, int]:
+        return start, end
+
+
+class Changed:
+    """Spans of a layer that was decoded in place: stretches (place here, first place there, end there or -1 if copied)."""
+
+    def __init__(self, under, stretches: list[tuple[int, int, int]]):
+        self.under, self.stretches = under, stretches
+        self.at = [s[0] for s in stretches]
+
+    def _one(self, k: int) -> tuple[int, int]:
+        at, first, end = self.stretches[bisect_right(self.at, k) - 1]
+        return (first, end) if end >= 0 else (first + k - at, first + k - at + 1)
+
+    def locate(self, start: int, end: int) -> tuple[int, int]:
+        return self.under.locate(self._one(start)[0], self._one(end - 1)[1])
+
+
 def scan(text: str) -> list[tuple[str, int, int]]:
     """Base findings of one layer as (kind, start, end)."""
     out = []
@@ -161,6 +195,40 @@ def _contents(data: bytes) -> str | None:
     return _readable(data)
 
 
+def _inner_blob(run: str) -> tuple[int, int, str] | None:
+    """A blob in a run of base64 digits that has something else before or after it, as in a path."""
+    end = len(run.rstrip("="))
+    joints = [m.start() for m in JOINTS.finditer(run, 0, end)]
+    failed = set()  # what is unreadable from one place is so from later ones that share its groups of four
+    for at in (j + 1 for j in joints):
+        if end - at < LEAST_BLOB or at % 4 in failed or not _begins(run[at : min(end, at + SHOWN)]):
+            continue
+        inner = _blob(run[at:])
+        if inner is not None:
+            return at, len(run), inner
+        failed.add(at % 4)
+    for a, b in zip([-1, *joints], [*joints, end], strict=True):
+        if b - a > LEAST_BLOB and (a >= 0 or b < end) and _begins(run[a + 1 : min(b, a + 1 + SHOWN)]):
+            inner = _blob(run[a + 1 : b])
+            if inner is not None:
+                return a + 1, b, inner
+    return None
+
+
+def _begins(digits: str) -> bool:
+    """Whether the digits may be the beginning of readable or packed data."""
+    digits = digits[: len(digits) // 4 * 4]
+    data = base64.b64decode(digits.replace("-", "+").replace("_", "/"))
+    if _opened(data, 0) is not None:
+        return True
+    text = codecs.getincrementaldecoder("utf-8")("strict")
+    try:
+        shown = text.decode(data)
+    except UnicodeDecodeError:
+        return False
+    return all(c.isprintable() or c in "\t\r\n" for c in shown)
+
+
 def _blobs(layer: str):
     """(start, end, contents) of the blobs of a layer."""
     for pattern, decode in ((BASE64, _blob), (HEX_BYTES, _hex_blob)):
@@ -168,6 +236,8 @@ def _blobs(layer: str):
             inner = decode(m[0])
             if inner is not None:
                 yield *m.span(), inner
+            elif pattern is BASE64 and (part := _inner_blob(m[0])):
+                yield m.start() + part[0], m.start() + part[1], part[2]
     for m in WRAPPED.finditer(layer) if "\n" in layer else ():
         lines = m[0].split("\n")
         for n in (len(lines), len(lines) - 1):  # the last line may be a word that follows
@@ -177,51 +247,131 @@ def _blobs(layer: str):
                 break
 
 
-def _replaced(text: str, spans, pattern, decode):
-    """The layer that ``decode`` gives for all matches in place, or None if nothing changes."""
-    parts, where, at, changed = [], [], 0, False
-    each = not isinstance(spans, Whole)
-    for m in pattern.finditer(text):
+def _once(layer: str, pattern, decode):
+    """(start, end, parts) of the matches that ``decode`` changes; parts are (text, start, end)."""
+    for m in pattern.finditer(layer):
         new = decode(m[0])
-        if new is None or new == m[0]:
-            continue
-        changed = True
-        parts += [text[at : m.start()], new]
-        if each:
-            where += spans[at : m.start()]
-            where += [(spans[m.start()][0], spans[m.end() - 1][1])] * len(new)
-        at = m.end()
-    if not changed:
+        if new is not None and new != m[0]:
+            yield *m.span(), [(new, *m.span())]
+
+
+def _decoded(escape: str) -> str | int | None:
+    """A character, a byte over 127 of a URL escape, or nothing."""
+    if escape[0] == "%":
+        value = int(escape[1:], 16)
+        return chr(value) if value < 128 else value
+    digits = escape.strip("\\&#;{}xuUX")
+    value = int(digits, 16 if escape[0] == "\\" or escape[2] in "xX" else 10)
+    if value > 0x10FFFF or (0xD800 <= value < 0xE000 and (escape[:2] != "\\u" or escape[2] == "{")):
         return None
-    return "".join([*parts, text[at:]]), where + spans[at:] if each else spans
+    return chr(value)
+
+
+def _to_the_end(layer: str):
+    """(start, end, parts) of stretches in which escapes are decoded until none is left.
+
+    Characters are taken one by one while the last ones may become an escape. One that is complete is replaced by
+    what it stands for, which may complete another: a chain of nested escapes takes as many steps as it has characters.
+    """
+    at = 0
+    while (m := TRIGGER.search(layer, at)) is not None:
+        start = at = m.start()
+        out: list[tuple[str | int, int, int]] = []
+        changed = False
+        while at < len(layer):
+            out.append((layer[at], at, at + 1))
+            at += 1
+            while out[-1][0] in _ENDS:
+                tail = "".join(c if isinstance(c, str) else "\uffff" for c, _, _ in out[-LONGEST:])
+                done = ENDING.search(tail)
+                new = _decoded(done[0]) if done else None
+                if new is None:
+                    break
+                first = out[-len(done[0])][1]
+                del out[-len(done[0]) :]
+                out.append((new, first, at))
+                changed = True
+                if isinstance(new, int):
+                    break
+            tail = "".join(c if isinstance(c, str) else "\uffff" for c, _, _ in out[-LONGEST:])
+            half = isinstance(out[-1][0], int) or "\ud800" <= out[-1][0] <= "\udbff"  # of a character, whose other half may follow
+            if not BEGUN.search(tail) and not (half and layer[at : at + 1] in ("%", "\\", "&")):
+                break
+        if changed:
+            yield start, at, list(_characters(layer, out))
+
 
+_ENDS = frozenset("0123456789abcdefABCDEF};")
 
-def layers(text: str) -> list[tuple[str, list[tuple[int, int]] | Whole | None]]:
-    """All layers, the text first; a layer's spans say which part of the text each character is from."""
-    work: list[tuple[str, list | Whole | None]] = [(text, None)]
-    seen = {(text, 0, len(text))}
+
+def _characters(layer: str, out: list[tuple[str | int, int, int]]):
+    """Bytes joined to characters, as far as they are UTF-8, and halves of characters to whole ones, else as they were written."""
     k = 0
-    while k < len(work):
-        layer, spans = work[k]
-        k += 1
+    while k < len(out):
+        c, first, end = out[k]
+        n = k + 1
+        if isinstance(c, int):
+            while n < len(out) and isinstance(out[n][0], int):
+                n += 1
+            text = bytes(o[0] for o in out[k:n]).decode(errors="chunkloom-percent")
+            yield text, first, out[n - 1][2]
+        elif "\ud800" <= c <= "\udfff":
+            pair = n < len(out) and isinstance(out[n][0], str) and c <= "\udbff" and "\udc00" <= out[n][0] <= "\udfff"
+            n += bool(pair)
+            end = out[n - 1][2]
+            yield (c + out[n - 1][0]).encode("utf-16", "surrogatepass").decode("utf-16") if pair else layer[first:end], first, end
+        else:
+            yield c, first, end
+        k = n
+
+
+def _changed(layer: str, spans, changes) -> tuple[str, Changed] | None:
+    """The layer with the changes, or None if there are none."""
+    parts, stretches, at, size = [], [], 0, 0
+    for start, end, new in changes:
+        if start > at:
+            stretches.append((size, at, -1))
+            parts.append(layer[at:start])
+            size += start - at
+        for text, first, last in new:
+            stretches.append((size, first, last))
+            parts.append(text)
+            size += len(text)
+        at = end
+    if not stretches:
+        return None
+    if at < len(layer):
+        stretches.append((size, at, -1))
+        parts.append(layer[at:])
+    return "".join(parts), Changed(spans, stretches)
+
+
+def _layers(text: str):
+    """All layers with what locates their characters, the text first; a layer is held only while it is unwrapped."""
+    work: list[tuple[str, Whole | Itself | Changed]] = [(text, Itself())]
+    seen = set()
+    while work:
+        layer, spans = work.pop()
+        yield layer, spans
         found = []
-        url, escaped = "%" in layer and URL.search(layer), ("\\" in layer or "&#" in layer) and ESCAPE.search(layer)
-        if (url or escaped) and spans is None:
-            spans = [(i, i + 1) for i in range(len(layer))]
-        if url:
-            found.append(_replaced(layer, spans, URL, _percent))
-        if escaped:
-            found.append(_replaced(layer, spans, ESCAPE, _escape))
+        if not isinstance(spans, Changed):
+            url, escaped = "%" in layer and URL.search(layer), ("\\" in layer or "&#" in layer) and ESCAPE.search(layer)
+            found += [_changed(layer, spans, _once(layer, URL, _percent))] if url else []
+            found += [_changed(layer, spans, _once(layer, ESCAPE, _escape))] if escaped else []
+            found += [_changed(layer, spans, _to_the_end(layer))] if url or escaped else []
         for start, end, inner in _blobs(layer):
-            found.append((inner, Whole((spans[start][0], spans[end - 1][1]) if spans else (start, end))))
+            found.append((inner, Whole(spans.locate(start, end))))
         for new in found:
             if new is None or not new[0]:
                 continue
-            key = (new[0], new[1][0][0], new[1][-1][1])
+            key = hashlib.blake2b(new[0].encode(errors="surrogatepass"), digest_size=16).digest(), new[1].locate(0, len(new[0]))
             if key not in seen:
                 seen.add(key)
                 work.append(new)
-    return work
+
+
+def layers(text: str) -> list[tuple[str, Whole | Itself | Changed]]:
+    return list(_layers(text))
 
 
 def find(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
@@ -229,8 +379,9 @@ def find(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, in
     order = lambda f: (f[1], KINDS.index(f[0]), f[2])
     base = scan(text)
     every = set(base)
-    for layer, spans in layers(text)[1:]:
-        every.update((kind, spans[a][0], spans[b - 1][1]) for kind, a, b in scan(layer))
+    for layer, spans in _layers(text):
+        if not isinstance(spans, Itself):
+            every.update((kind, *spans.locate(a, b)) for kind, a, b in scan(layer))
     return sorted(base, key=order), sorted(every, key=order)
 
 

@@ -115,6 +115,53 @@ def test_nested_layers():
     assert len(secrets.layers("%2525252541" * 50)) < 10
 
 
+def unwrapped(text):
+    """Escapes decoded one by one, leftmost first, until none is left; bytes over 127 stay."""
+    h = "[0-9A-Fa-f]"
+    pattern = re.compile(rf"%([0-7]{h})|\\x({h}{{2}})|\\u({h}{{4}})|\\u\{{({h}{{1,6}})\}}|&#[xX]({h}{{1,6}});|&#([0-9]{{1,7}});")
+    while (m := pattern.search(text)) is not None:
+        value = int(m[6]) if m[6] else int(next(filter(None, m.groups()[:5])), 16)
+        text = text[: m.start()] + chr(value) + text[m.end() :]
+    return text
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.sampled_from(["%", "25", "%25", "41", "%41", "&", "#", "37", ";", "&#37;", "&#38;", "\\", "x", "u", "5c", "\\x5c", "\\u005c", "\\u{5c}", "005c", "{", "}", "token=abcdef", " ", "é", "%3D"]), max_size=14))
+def test_escapes_are_decoded_to_the_end(parts):
+    text = "".join(parts)
+    made = secrets._changed(text, secrets.Itself(), secrets._to_the_end(text))
+    assert (made[0] if made else text) == unwrapped(text)
+    if made:  # each character lies where it comes from
+        spans = [made[1].locate(k, k + 1) for k in range(len(made[0]))]
+        assert all(text[a:b] == c or b - a > 1 for c, (a, b) in zip(made[0], spans))
+        assert all(x == y or x[1] <= y[0] for x, y in zip(spans, spans[1:])) and spans[0][0] == 0 and spans[-1][1] == len(text)
+
+
+@pytest.mark.parametrize("link, head", [("25", "%"), ("#38;", "&"), ("x5c", "\\"), ("u005c", "\\"), ("#37;26", "%26")])
+def test_long_chains_take_linear_time(link, head):
+    import time
+
+    n = 1_000_000 // len(link)
+    begun = time.process_time()
+    _, every = secrets.find(head + link * n + "70assword=Hunter2Hunter2 %70assword%3DHunter2Hunter2")
+    assert time.process_time() - begun < 10  # a second for 100 kB
+    assert any(f[0] == "assign" and f[2] - f[1] < 40 for f in every)
+
+
+def test_bytes_and_halves_of_characters():
+    made = secrets._changed("a%C3%A9%FF\\ud83d\\ude00\\ud83d!%25C3%25A9", secrets.Itself(), secrets._to_the_end("a%C3%A9%FF\\ud83d\\ude00\\ud83d!%25C3%25A9"))
+    assert made[0] == "aé%FF😀\\ud83d!é"
+
+
+def test_blobs_in_paths_and_names():
+    blob = base64.b64encode(b"see password=Hunter2Hunter2 there, and more").decode()
+    for text in (f"/api/v1/{blob}", f"/x/{blob}", f"key-id_{blob} end", f"/data/long-directory-name/{blob}", f"/a/{blob.rstrip('=')}/file.txt"):
+        (found,) = [f for f in secrets.find(text)[1] if f[0] == "assign"]
+        assert text[found[1] : found[2]].rstrip("=") == blob.rstrip("=")
+    assert secrets.find("/" * 300_000) == ([], [])
+    assert secrets.find("ab/cdefgh" * 100_000) == ([], [])
+
+
 def test_packed_data_is_read_whole():
     import bz2
     import zlib
