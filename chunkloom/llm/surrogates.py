@@ -21,24 +21,35 @@ FEMALE_TITLES = "Mrs Ms Miss Frau Mme Madame Sra Señora Г-жа Госпожа"
 MALE_TITLES = "Mr Herr Monsieur Sr Señor Г-н Господин".split()
 OTHER_TITLES = "Dr Prof".split()
 TITLE = "(?:" + "|".join(sorted([*FEMALE_TITLES, *MALE_TITLES, *OTHER_TITLES], key=lambda t: (-len(t), t))) + r")\.?\x20"
-PART = r"\p{Lu}\p{L}*+(?:['’-]\p{Lu}\p{L}*+)*+"
+#: A capital and letters, or two letters or more of a script without capitals.
+PART = r"(?:\p{Lu}\p{L}*+(?:['’-]\p{Lu}\p{L}*+)*+|\p{Lo}[\p{Lo}\p{M}]++)"
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9]|\.[0-9])",
-    "ip6": r"(?<![0-9A-Za-z:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![0-9A-Za-z:])",
+    "ip6": r"(?<![0-9A-Za-z:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6}|:(?::[0-9A-Fa-f]{1,4}){1,7}|(?=[0-9A-Fa-f:]*[0-9])(?:[0-9A-Fa-f]{1,4}:){1,7}:)(?![0-9A-Za-z:])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "card": r"(?<![A-Za-z0-9])(?:[0-9]{4}[\x20-]?){3}[0-9]{4}(?![A-Za-z0-9])",
+    "card": r"(?<![A-Za-z0-9])(?:(?:[0-9]{4}[\x20-]?){3}[0-9]{4}|3[47][0-9]{2}[\x20-]?[0-9]{6}[\x20-]?[0-9]{5}|3[068][0-9]{2}[\x20-]?[0-9]{6}[\x20-]?[0-9]{4}|4[0-9]{12}|6(?:[0-9]{3}[\x20-]?)(?:[0-9]{4}[\x20-]?){3}[0-9]{3})(?![A-Za-z0-9])",
     "ssn": r"(?<![A-Za-z0-9-])[0-9]{3}(?:-[0-9]{2}-|\x20[0-9]{2}\x20)[0-9]{4}(?![A-Za-z0-9-])",
-    "phone": r"(?<![A-Za-z0-9])(?:\+[0-9]{1,3}[\x20.-]?)?(?:\([0-9]{3}\)\x20?|[0-9]{3}[.\x20-])[0-9]{3}[.\x20-][0-9]{4}(?![A-Za-z0-9])",
+    "phone": r"(?<![A-Za-z0-9])(?:\+[0-9]{1,3}[\x20.-]?)?(?:\([0-9]{3}\)\x20?|[0-9]{3}[.\x20-])[0-9]{3}[.\x20-][0-9]{4}(?![A-Za-z0-9])|(?<![A-Za-z0-9+])\+(?=(?:[\x20.()/-]{0,2}[0-9]){7,15}(?![A-Za-z0-9]))[1-9](?:[\x20.()/-]{0,2}[0-9]){6,14}(?![A-Za-z0-9])",
     "name": rf"(?<!\p{{L}}){TITLE}{PART}(?:\x20(?!{TITLE}){PART})?",
 }
-SYLLABLES = {"latin": "ba da fa ga ka la ma na ra sa ta va be de fe ge ke le me ne re se te ve".split(), "cyrillic": "ба да га ка ла ма на ра са та ва бе де ге ке ле ме не ре се те ве".split()}
+SYLLABLES = {
+    "latin": "ba da fa ga ka la ma na ra sa ta va be de fe ge ke le me ne re se te ve".split(),
+    "cyrillic": "ба да га ка ла ма на ра са та ва бе де ге ке ле ме не ре се те ве".split(),
+    "greek": "βα δα γα κα λα μα να ρα σα τα βε δε γε κε λε με νε ρε σε τε".split(),
+}
+#: Scripts without capitals: a class of their letters, the first of a run of these, and how many of the run are drawn from.
+CASELESS = {
+    "han": (r"\p{IsHan}", 0x4E00, 4096), "hangul": (r"\p{IsHangul}", 0xAC00, 4096), "kana": (r"[\p{IsHiragana}\p{IsKatakana}]", 0x30AB, 20), "arabic": (r"\p{IsArabic}", 0x0641, 8),
+    "hebrew": (r"\p{IsHebrew}", 0x05D0, 26), "devanagari": (r"\p{IsDevanagari}", 0x0915, 36), "bengali": (r"\p{IsBengali}", 0x0995, 20), "tamil": (r"\p{IsTamil}", 0x0BAE, 10), "thai": (r"\p{IsThai}", 0x0E01, 46), "georgian": (r"\p{IsGeorgian}", 0x10D0, 33),
+}
+CASED = {"cyrillic": r"\p{IsCyrillic}", "greek": r"\p{IsGreek}"}
 #: How given names end, by script and gender.
-ENDINGS = {("latin", "f"): "na", ("latin", "m"): "ro", ("latin", "n"): "li", ("cyrillic", "f"): "на", ("cyrillic", "m"): "рон", ("cyrillic", "n"): "ли"}
+ENDINGS = {("latin", "f"): "na", ("latin", "m"): "ro", ("latin", "n"): "li", ("cyrillic", "f"): "на", ("cyrillic", "m"): "рон", ("cyrillic", "n"): "ли", ("greek", "f"): "να", ("greek", "m"): "ρος", ("greek", "n"): "λι"}
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-HINT = r"[0-9@]|(?<!\p{L})(?:Mr|Ms|Miss|Herr|Frau|Mme|Mons|Mad|Sr|Se|Dr|Prof)|Г-|Госп"
+HINT = r"[0-9@]|::|(?<!\p{L})(?:Mr|Ms|Miss|Herr|Frau|Mme|Mons|Mad|Sr|Se|Dr|Prof)|Г-|Госп"
 #: Draws that avoid every entity of the corpus, and draws that only avoid other surrogates and the entity itself.
-DRAWS, MORE_DRAWS = 20, 200
+DRAWS, MORE_DRAWS = 20, 20
 
 
 def kind_of(raw: Column) -> Column:
@@ -50,7 +61,7 @@ def canonical_of(kind: Column, raw: Column) -> Column:
     """What mentions of one entity have in common."""
     digits = F.regexp_replace(raw, "[^0-9]", "")
     return (
-        F.when(kind == "phone", F.substring(digits, -10, 10))
+        F.when(kind == "phone", F.substring(F.regexp_replace(F.regexp_replace(raw, r"\A\+[0-9]{1,3}[^0-9]", ""), "[^0-9]", ""), -10, 10))
         .when(kind.isin("card", "ssn"), digits)
         .when(kind == "iban", F.regexp_replace(raw, " ", ""))
         .when(kind.isin("email", "ip6"), F.lower(raw))
@@ -68,7 +79,8 @@ def name_parts(raw: Column) -> dict[str, Column]:
         "given": F.when(F.size(parts) > 1, F.get(parts, F.lit(0))),
         "surname": F.element_at(parts, -1),
         "gender": F.when(bare.isin(*FEMALE_TITLES), "f").when(bare.isin(*MALE_TITLES), "m"),
-        "script": F.when(raw.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin"),
+        # of the surname, which a mention always has
+        "script": F.coalesce(*(F.when(F.element_at(parts, -1).rlike(p), F.lit(k)) for k, p in CASED.items()), *(F.when(F.element_at(parts, -1).rlike(p), F.lit(k)) for k, (p, _, _) in CASELESS.items()), F.lit("latin")),
     }
 
 
@@ -103,7 +115,7 @@ def _luhn(digits: Column) -> Column:
 
 def _card(canonical: Column, seed: Column) -> Column:
     """A number whose check sum is the original's, so that a valid one stays valid."""
-    body = F.substring(_shaped(canonical, seed), 1, 15)
+    body = F.substr(_shaped(canonical, seed), F.lit(1), F.length(canonical) - 1)
     return F.concat(body, F.pmod(_luhn(canonical) - _luhn(F.concat(body, F.lit("0"))), F.lit(10)).cast("string"))
 
 
@@ -129,9 +141,19 @@ def _name(kind: Column, detail: Column, seed: Column, attempt: Column) -> Column
         count = F.when(kind == "given", 2).otherwise(5) + F.floor(attempt / 4).cast("int")
         stem = F.array_join(F.transform(F.sequence(F.lit(1), count), lambda k: F.get(some, _pick(seed, k, F.size(some)))), "")  # noqa: B023
         cases.append(F.when(detail == f"{script}-{gender}", F.initcap(F.concat(stem, F.when(kind == "given", ending).otherwise("")))))
+    for script, (_, first, n) in CASELESS.items():
+        count = F.when(kind == "given", 2).otherwise(3) + F.floor(attempt / 4).cast("int")
+        drawn = F.transform(F.sequence(F.lit(1), count), lambda k: _letter(seed, k, first, n))  # noqa: B023
+        cases.append(F.when(detail.startswith(f"{script}-"), F.array_join(drawn, "")))
     return F.coalesce(*cases)
 
 
+def _letter(seed: Column, at, first: int, n: int) -> Column:
+    """A drawn letter of the ``n`` from ``first`` on, from its UTF-16 code."""
+    code = F.lit(first) + _pick(seed, at, n)
+    return F.decode(F.unhex(F.lpad(F.hex(code.cast("long")), 4, "0")), "UTF-16BE")
+
+
 def with_surrogate(entities: DataFrame, attempt: int, key: str) -> DataFrame:
     """``entities`` (kind, detail, canonical) with the surrogate of a draw.
 
@@ -142,10 +164,12 @@ def with_surrogate(entities: DataFrame, attempt: int, key: str) -> DataFrame:
     local, domain = F.substring_index(canonical, "@", 1), F.substring_index(canonical, "@", -1)
     ending = F.substring_index(domain, ".", -1)
     host = F.substr(domain, F.lit(1), F.length(domain) - F.length(ending) - 1)
+    added = _shaped(F.lit("x" * (8 + attempt // 4)), seed)  # where there is nothing to redraw, and where draws have run out
+    drawn_local = F.concat(_shaped(local, seed), F.when(~local.rlike("[A-Za-z0-9]") | F.lit(attempt >= DRAWS), added).otherwise(""))
     surrogate = (
-        F.when(kind == "email", F.concat(_shaped(local, seed), F.lit("@"), _shaped(host, second), F.lit("."), ending))
+        F.when(kind == "email", F.concat(drawn_local, F.lit("@"), _shaped(host, second), F.lit("."), ending))
         .when(kind == "ip", F.concat_ws(".", *((_pick(seed, F.lit(k), 223 if k == 0 else 256) + (1 if k == 0 else 0)).cast("string") for k in range(4))))
-        .when(kind == "ip6", _shaped(canonical, seed, "0123456789", "abcdef"))
+        .when(kind == "ip6", F.concat(_shaped(canonical, seed, "0123456789", "abcdef"), F.when(canonical.rlike("(?:^|:)[0-9a-f]{1,3}$"), F.substring(second, 1, min(3, attempt // 4))).otherwise("")))
         .when(kind == "iban", _iban(canonical, seed, second))
         .when(kind == "card", _card(canonical, seed))
         .when(kind.isin("given", "surname"), _name(kind, F.col("detail"), seed, F.lit(attempt)))
@@ -179,7 +203,8 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
     """(kind, detail, canonical, surrogate), distinct within each kind and no entity of the corpus.
 
     Where entities fill most of what a notation allows, so that ``DRAWS`` draws don't do, a surrogate may be
-    another entity's value. Raises if a notation has no room for that either.
+    another entity's value. Where a notation has no room for that either, the rest get letters of a hash, in
+    whatever notation.
     """
     same = ["kind", "detail", "canonical"]
     pending = cut(entities.select(*same).distinct())
@@ -198,12 +223,13 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
         pending = cut(pending.join(accepted.select(*same), same, "left_anti"))
         if pending.isEmpty():
             return done
-    raise ValueError("a notation has too few values for its entities")
+    hashed = F.translate(F.sha2(F.concat_ws("\x1f", F.lit(key), *same), 256), "0123456789", "ghijklmnop")
+    return done.unionByName(pending.select(*same, hashed.alias("surrogate")))
 
 
 def _pattern(names: Column) -> Column:
     """All patterns, and known names without a title unless ``names`` is null."""
-    return F.coalesce(F.concat(F.lit(rf"{ANY}|(?<!\p{{L}})(?=\p{{Lu}})(?:"), names, F.lit(r")(?!\p{L})")), F.lit(ANY))
+    return F.coalesce(F.concat(F.lit(f"{ANY}|"), names), F.lit(ANY))
 
 
 def _found(rows: DataFrame, names: Column) -> DataFrame:
@@ -234,7 +260,9 @@ def pseudonymize(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: st
     plain, named = _found(hinted.where(~titled), none), _found(hinted.where(titled), none)
     own = F.filter("found", lambda x: x.rlike(rf"\A(?:{PATTERNS['name']})\z"))
     bare = F.array_sort(F.array_distinct(F.flatten(F.transform(own, lambda x: F.array(F.regexp_replace(x, rf"\A{TITLE}", ""), F.substring_index(x, " ", -1))))), lambda a, b: F.when(F.length(a) != F.length(b), F.length(b) - F.length(a)).otherwise(F.when(a < b, -1).when(a > b, 1).otherwise(0)))
-    named = _found(named.select("id", "text", "found"), F.array_join(bare, "|"))
+    written = F.flatten(F.transform(bare, lambda x: F.array_distinct(F.array(x, F.upper(x)))))
+    # scripts that put no spaces between words have no ends of words to look for
+    named = _found(named.select("id", "text", "found"), F.array_join(F.transform(written, lambda x: F.when(x.rlike(r"[\p{IsHan}\p{IsThai}]"), x).otherwise(F.concat(F.lit(r"(?<!\p{L})"), x, F.lit(r"(?!\p{L})")))), "|"))
 
     found = cut(plain.unionByName(named).drop("text", "id"))
     mentions = cut(mentions_of(found).withColumn("canonical", canonical_of(kind, raw)))

@@ -267,3 +267,41 @@ def test_stages_on_edges(spark, tmp_path):
         assert out.columns == docs.columns and none.columns == docs.columns and none.count() == 0, name
         kept = sorted((r.doc_id or 0) for r in out.collect())
         assert kept == ([0, 1, 2, 3] if name == "n-gram Jaccard join" else [0, 1, 2, 3, 3, 4]), name
+
+
+def test_surrogates_of_texts_without_letters_scripts_and_numbers(spark):
+    rows = [
+        (1, "mail _@-.com now, and -@x.org"),
+        (2, "Dr. Παπαδόπουλος und Herr Παπαδόπουλος"),
+        (3, "Dr. 王小明 ist da, 王小明说"),
+        (4, "Mr Smith is here. SMITH said that Smith left"),
+        (5, "call +44 20 7946 0958 or +49 30 901820 or +442079460958."),
+        (6, "hosts ::1 and fe80:: and 2001:db8::7, not std::vector or 12::"),
+        (7, "cards 3782 822463 10005, 30569309025904 and 4222222222222"),
+        (8, "Mrs. שרה כהן and Г-жа Иванова"),
+        (9, "plus +12 or + 5 or 1+1=2, 2020-2021"),
+    ]
+    got = {r.doc_id: r.text for r in surrogates.pseudonymize(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()}
+    old = dict(rows)
+    for k in (1, 2, 3, 4, 5, 6, 7, 8):
+        assert got[k] != old[k]
+    assert re.fullmatch(r"mail \S+@\S+\.com now, and \S+@\S+\.org", got[1]) and "_@-" not in got[1] and " -@x" not in got[1]
+    a, b = re.fullmatch(r"Dr\. ([Α-ΩΆ-Ώ][α-ωά-ώ]+) und Herr ([Α-ΩΆ-Ώ][α-ωά-ώ]+)", got[2]).groups()
+    assert a == b != "Παπαδόπουλος"
+    a, b = re.fullmatch(r"Dr\. ([一-鿿]+) ist da, ([一-鿿]+)说", got[3]).groups()
+    assert a == b != "王小明"
+    a, b, c = re.fullmatch(r"Mr ([A-Z][a-z]+) is here\. ([A-Z]+) said that ([A-Z][a-z]+) left", got[4]).groups()
+    assert a == c and a.upper() == b != "SMITH"
+    a, b, c = re.fullmatch(r"call \+44 (\d\d \d{4} \d{4}) or \+49 (\d\d \d{6}) or \+44(\d{10})\.", got[5]).groups()
+    assert a.replace(" ", "") == c and a != "20 7946 0958" and b != "30 901820"
+    assert "::1 " not in got[6] and "fe80::" not in got[6] and "2001:db8::7" not in got[6] and "std::vector" in got[6]
+    cards = re.fullmatch(r"cards (\d{4} \d{6} \d{5}), (\d{14}) and (\d{13})", got[7]).groups()
+    assert all(luhn(re.sub(r"\D", "", c)) == 0 for c in cards)
+    assert re.fullmatch(r"Mrs\. [א-ת]+ [א-ת]+ and Г-жа [А-Я][а-я]+", got[8]) and "כהן" not in got[8]
+    assert got[9] == old[9]
+
+
+def test_surrogates_where_a_notation_is_full(spark):
+    rows = [(k, f"host ::{k} here") for k in range(10)] + [(100 + k, f"_{'.' * k}@-.x") for k in range(9)]
+    got = [r.text for r in surrogates.pseudonymize(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()]
+    assert len(set(got)) == len(rows) and not set(got) & {t for i, t in rows if i >= 100}
