@@ -29,7 +29,9 @@ END = 0
 #: Bits of the longest code, unless the ids need more; ids of a block; ids of a segment, but for one document that has more.
 LIMIT, BLOCK, SEGMENT = 18, 256, 1 << 18
 #: Pieces of text whose ids are remembered, in each of two generations, and the longest of them.
-CACHED, CACHED_CHARS = 400_000, 40
+CACHED, CACHED_CHARS = 500_000, 40
+#: Pieces that are encoded as one text.
+JOINED = 4000
 #: Longer texts are encoded in parts that end before a space.
 PART_CHARS = 1 << 20
 
@@ -49,6 +51,11 @@ class Encoder:
         self.kind = "<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
         self.apart = '"ByteLevel"' in str(self.tokenizer.pre_tokenizer) or "ByteLevel(" in str(self.tokenizer.pre_tokenizer)
         self.apart = self.apart and self.tokenizer.normalizer is None and "add_prefix_space=True" not in str(self.tokenizer.pre_tokenizer)
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # the bytes of each id, as a byte-level vocabulary writes each byte as a character
+        self.bytes = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), np.int64)
+        for piece, k in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            self.bytes[k] = len(piece)
         self.young: dict[str, bytes | None] = {}
         self.old: dict[str, bytes | None] = {}
         self.end = self.packed([END])
@@ -69,10 +76,25 @@ class Encoder:
                 young[p] = None
             else:
                 new.append(p)
-        encoded = self.tokenizer.encode_batch_fast([p if p[0] == "\n" else " " + p for p in new], add_special_tokens=False)
-        young.update(zip(new, (self.packed(e.ids) for e in encoded), strict=True))
+        for k in range(0, len(new), JOINED):
+            own = new[k : k + JOINED]
+            young.update(zip(own, self.apart_of([p if p[0] == "\n" else " " + p for p in own]), strict=True))
         return young
 
+    def apart_of(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece: of their concatenation, which is cut where a piece's bytes end."""
+        text = "".join(pieces)
+        if not any(a in text for a in self.added):
+            (encoded,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+            ids = np.array(encoded.ids, self.kind)
+            ends, wanted = np.cumsum(self.bytes[ids]), np.cumsum([len(p.encode()) for p in pieces])
+            at = np.minimum(np.searchsorted(ends, wanted), len(ids) - 1)
+            if (ends[at] == wanted).all():
+                raw, width = ids.tobytes(), ids.itemsize
+                cuts = [0, *((at + 1) * width).tolist()]
+                return [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        return [self.packed(e.ids) for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+
     def forget(self) -> None:
         if len(self.young) > CACHED:
             self.old = {p: v for p, v in self.young.items() if len(p) <= CACHED_CHARS}
