@@ -5,6 +5,8 @@ import re
 
 import numpy as np
 
+from pyspark.sql import functions as F
+
 from chunkloom.llm import decontamination, embedding_dedup, jaccard_join, surrogates
 
 
@@ -176,3 +178,25 @@ def test_title_after_an_underscore(spark):
     rows = [(1, "said _Mr. Smith_ to __Frau Weber__"), (2, "xMr. Jones stays")]
     got = {r.doc_id: (r.text, r.n_entities) for r in surrogates.pseudonymize(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()}
     assert got[1][1] == 2 and "Smith" not in got[1][0] and "Weber" not in got[1][0] and got[2] == (rows[1][1], 0)
+
+
+def test_decontamination_of_repetitive_texts(spark):
+    """A text that repeats a word, or an item, has few different windows, however long it is."""
+    import time
+
+    item = [f"i{k}" for k in range(400)]
+    rows = [(1, "same " * 20_000), (2, " ".join(item * 40)), (3, "some words " + " ".join(item[7:]) + " same same"), (3, "another text of this id"), (4, "same " * 330)]
+    bench = spark.createDataFrame([(0, "same " * 400), (1, " ".join(item))], "item_id long, text string")
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, shingle string, k1 int")
+    begun = time.monotonic()
+    got = sorted((r.doc_id, r.item_id, r.start_word) for r in decontamination.contaminated(docs, bench).collect())
+    assert got == [(1, 0, 0), (2, 1, 0), (3, 1, 2), (4, 0, 0)]
+    assert time.monotonic() - begun < 120
+
+
+def test_simhash_of_few_and_many(spark):
+    rnd = random.Random(8)
+    rows = [[rnd.getrandbits(64) - 2**63 for _ in range(n)] for n in (1, 2, 7, 300)] + [[5, 5, -1], [], [3] * 40_000 + [-4] * 39_999]
+    got = [r.s for r in spark.createDataFrame([(k, h) for k, h in enumerate(rows)], "k int, h array<long>").orderBy("k").select(decontamination.simhash(F.col("h")).alias("s")).collect()]
+    want = [sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes)) for hashes in rows]
+    assert [g % 2**64 for g in got] == want
