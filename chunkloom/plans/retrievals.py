@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..functions.vectors import distance_score, dot, l2_normalize
-from ..operators import fusion, graph, retrieval, store
+from ..operators import ann, fusion, graph, retrieval, store
+from ..operators.stages import new_folder
 from . import query, table
 
 WORDS = "list_filter(regexp_split_to_array(lower(text), '[^a-z0-9_]+'), lambda w: w <> '')"
@@ -54,6 +55,20 @@ def ivf_topk(spark, d):
     return retrieval.ivf_search(model, lists, asked_vectors(spark, d), 10, probes=12)
 
 
+@query(None)
+def ivf_pq_topk(spark, d):
+    """An index with product quantisation, written and searched: 16 codes a vector, 40 candidates ranked exactly."""
+    folder = new_folder(spark, "ivf-pq")
+    ann.write_index(table(spark, d, "embeddings"), folder, lists=16, parts=16)
+    return ann.search_index(spark, folder, asked_vectors(spark, d), 10, probes=12, shortlist=100)
+
+
+@query(None)
+def nn_edges(spark, d):
+    """The five nearest others of every vector, by NN-descent."""
+    return ann.nn_descent(table(spark, d, "embeddings"), 5)
+
+
 @query(f"WITH {SIGNALS} {_top('SELECT * FROM bm', 30)}")
 def bm25_topk(spark, d):
     return best(signals(spark, d), "bm25", 30)
