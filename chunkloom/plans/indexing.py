@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import ids, text
-from ..operators import index
+from ..operators import index, similar
 from . import query, table
 
 
@@ -107,6 +107,19 @@ def canonical_clusters(spark, d):
     return table(spark, d, "documents").groupBy(F.sha2(key, 256).alias("h"), (F.trim(key) == "").alias("blank")).agg(F.min("doc_id").alias("keeper"), F.count(F.lit(1)).alias("copies")).select("keeper", "copies", "blank")
 
 
+@query(
+    r"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^a-z0-9_]+'), lambda t: t <> '') AS w FROM documents),
+s AS MATERIALIZED (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct(list_transform(range(0, greatest(len(w) - 5, 0) + 1), lambda k: array_to_string(w[k + 1 : k + 5], ' '))) END AS s FROM w),
+x AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+l AS MATERIALIZED (SELECT a, b FROM (SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS c FROM x a JOIN x b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL) WHERE c >= 0.8 * (na + nb - c) - 1e-9),
+r(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS cluster FROM s LEFT JOIN (SELECT a, min(b) AS m FROM r GROUP BY a) ON a = doc_id"""
+)
+def near_duplicates(spark, d):
+    """Clusters of documents of which each is linked by a similarity of 0.8 of five-word shingles."""
+    return similar.near_duplicates(table(spark, d, "documents"), "doc_id", text.words(F.col("text")))
+
+
 @query("SELECT lang, count(*) AS n, count(quality) AS labelled, CAST(coalesce(sum(quality), 0) AS BIGINT) AS good, CAST(count(*) FILTER (quality IS NULL) AS BIGINT) AS unlabelled FROM documents LEFT JOIN labels USING (doc_id) GROUP BY lang")
 def label_join_stats(spark, d):
     joined = table(spark, d, "documents").select("doc_id", "lang").join(table(spark, d, "labels"), "doc_id", "left")

@@ -22,6 +22,25 @@ sig AS (SELECT item_id AS query_id, doc_id AS id, round(sum(ln(1 + (n - df + 0.5
 bm AS (SELECT query_id, id, bm25 AS score FROM sig), l AS (SELECT query_id, id, lex AS score FROM sig)"""
 
 
+def _walk_sql(hops: int, per_node: int, beam: int, per_seed: int, total: int) -> str:
+    """The capped walk hop by hop: customers and suppliers that orders link."""
+    sql = f"""WITH l AS (SELECT o_custkey, l_suppkey, l_quantity, l_discount FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+e AS (SELECT src, dst, max(w) AS w FROM (SELECT 2 * o_custkey AS src, 2 * l_suppkey + 1 AS dst, least(1.0, 0.5 + CAST(l_quantity AS DOUBLE) / 100) AS w FROM l UNION ALL SELECT 2 * l_suppkey + 1, 2 * o_custkey, 0.5 + 5 * CAST(l_discount AS DOUBLE) FROM l) WHERE w >= 0.7 GROUP BY ALL),
+ok AS (SELECT 2 * c_custkey AS key FROM customer WHERE c_acctbal > 0 UNION SELECT 2 * s_suppkey + 1 FROM supplier WHERE s_acctbal > 0),
+n AS (SELECT * FROM e WHERE dst IN (SELECT key FROM ok) QUALIFY row_number() OVER (PARTITION BY src ORDER BY w DESC, dst) <= {per_node}),
+f0 AS (SELECT CAST(c_nationkey AS BIGINT) AS q, CAST(2 * c_custkey AS BIGINT) AS seed, CAST(2 * c_custkey AS BIGINT) AS key, [CAST(2 * c_custkey AS VARCHAR)] AS path FROM customer WHERE c_custkey % 20 = 0)"""
+    for h in range(1, hops + 1):
+        seen = " UNION ALL ".join(f"SELECT q, key FROM f{k}" for k in range(h))
+        used = " UNION ALL ".join(f"SELECT q, seed FROM f{k}" for k in range(1, h)) or "SELECT q, seed FROM f0 WHERE false"
+        sql += f""",
+r{h} AS (SELECT f.q, f.seed, CAST(n.dst AS BIGINT) AS key, n.w, list_append(f.path, CAST(n.dst AS VARCHAR)) AS path FROM f{h - 1} f JOIN n ON n.src = f.key WHERE NOT EXISTS (SELECT 1 FROM ({seen}) s WHERE s.q = f.q AND s.key = n.dst)
+QUALIFY row_number() OVER (PARTITION BY f.q, n.dst ORDER BY n.w DESC, f.seed, list_append(f.path, CAST(n.dst AS VARCHAR))) = 1),
+b{h} AS (SELECT * FROM r{h} QUALIFY row_number() OVER (PARTITION BY q, seed ORDER BY w DESC, key) <= {beam}),
+s{h} AS (SELECT b.* FROM b{h} b LEFT JOIN (SELECT q, seed, count(*) AS n FROM ({used}) GROUP BY ALL) u ON u.q = b.q AND u.seed = b.seed QUALIFY row_number() OVER (PARTITION BY b.q, b.seed ORDER BY w DESC, key) <= {per_seed} - coalesce(u.n, 0)),
+f{h} AS (SELECT s.* FROM s{h} s LEFT JOIN (SELECT q, count(*) AS n FROM ({used}) GROUP BY ALL) u ON u.q = s.q QUALIFY row_number() OVER (PARTITION BY s.q ORDER BY w DESC, key) <= {total} - coalesce(u.n, 0))"""
+    return sql + " " + " UNION ALL ".join(f"SELECT q AS query_id, seed, key, CAST({h} AS BIGINT) AS hop, round(w, 6) AS weight, array_to_string(path, '>') AS path FROM f{h}" for h in range(1, hops + 1))
+
+
 def _top(rows: str, k: int) -> str:
     return f"SELECT query_id, id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM ({rows}) QUALIFY rank <= {k}"
 
@@ -149,6 +168,22 @@ def graph_caps(spark, d):
     return graph.expand(seeds, _edges(spark, d), 2, per_node=2).select("seed", "key", "hop", graph.hop_score(F.col("hop")).alias("score"))
 
 
+@query(_walk_sql(3, 4, 6, 8, 25))
+def capped_walk(spark, d):
+    """Customers and suppliers within three steps of a nation's customers, along orders, with every cap binding."""
+    orders, items = table(spark, d, "orders"), table(spark, d, "lineitem")
+    sold = items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select("o_custkey", "l_suppkey", F.col("l_quantity").cast("double").alias("quantity"), F.col("l_discount").cast("double").alias("discount"))
+    buyer, seller = (2 * F.col("o_custkey")).cast("long"), (2 * F.col("l_suppkey") + 1).cast("long")
+    edges = sold.select(buyer.alias("src"), seller.alias("dst"), F.least(F.lit(1.0), 0.5 + F.col("quantity") / 100).alias("weight")).unionByName(sold.select(seller.alias("src"), buyer.alias("dst"), (0.5 + 5 * F.col("discount")).alias("weight")))
+    customers, suppliers = table(spark, d, "customer"), table(spark, d, "supplier")
+    chunk = lambda balance, key: F.when(F.col(balance) > 0, key).alias("chunk_id")
+    c_key, s_key = (2 * F.col("c_custkey")).cast("long"), (2 * F.col("s_suppkey") + 1).cast("long")
+    vertices = customers.select(c_key.alias("key"), chunk("c_acctbal", c_key)).unionByName(suppliers.select(s_key.alias("key"), chunk("s_acctbal", s_key)))
+    seeds = customers.where("c_custkey % 20 = 0").select(F.col("c_nationkey").cast("long").alias("query_id"), c_key.alias("seed"))
+    walk = graph.capped_walk(seeds, edges, vertices, 3, per_node=4, beam=6, per_seed=8, total=25)
+    return walk.withColumn("path", F.array_join("path", ">")).withColumn("weight", F.round("weight", 6))
+
+
 @query(f"WITH {SIGNALS} SELECT query_id, id, round(0.6 * CASE WHEN ha <= la + 1e-12 THEN 1.0 ELSE (bm25 - la) / (ha - la) END + 0.4 * CASE WHEN hb <= lb + 1e-12 THEN 1.0 ELSE (lex - lb) / (hb - lb) END, 6) AS final_score FROM (SELECT *, min(bm25) OVER w AS la, max(bm25) OVER w AS ha, min(lex) OVER w AS lb, max(lex) OVER w AS hb FROM sig WINDOW w AS (PARTITION BY query_id))")
 def minmax_fuse(spark, d):
     return fusion.fuse(signals(spark, d), {"bm25": 0.6, "lex": 0.4}).select("query_id", "id", "final_score")
