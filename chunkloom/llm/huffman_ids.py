@@ -27,9 +27,11 @@ from .common import Shipped, checkpoint_dir, cut, once
 
 END = 0
 #: Bits of the longest code, unless the ids need more; ids of a block; ids of a segment, but for one document that has more.
-LIMIT, BLOCK, SEGMENT = 18, 256, 1 << 18
+LIMIT, BLOCK, SEGMENT = 18, 256, 1 << 20
 #: Pieces of text whose ids are remembered, in each of two generations, and the longest of them.
 CACHED, CACHED_CHARS = 500_000, 40
+#: What may end a word: after a letter it is encoded by itself, unless more of its kind follows.
+STOPS = frozenset(".,;:!?")
 #: Pieces that are encoded as one text.
 JOINED = 4000
 #: Longer texts are encoded in parts that end before a space.
@@ -56,9 +58,9 @@ class Encoder:
         self.bytes = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), np.int64)
         for piece, k in self.tokenizer.get_vocab(with_added_tokens=False).items():
             self.bytes[k] = len(piece)
-        self.young: dict[str, bytes | None] = {}
+        self.numbers, self.ids = _Numbers(), []
         self.old: dict[str, bytes | None] = {}
-        self.end = self.packed([END])
+        self.end, self.stops = self.packed([END]), {c: self.whole(c) for c in STOPS}
 
     def packed(self, ids: list[int]) -> bytes:
         return np.array(ids, self.kind).tobytes()
@@ -66,20 +68,26 @@ class Encoder:
     def whole(self, text: str) -> bytes:
         return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def known(self, pieces: set[str]) -> dict[str, bytes | None]:
-        """The ids of pieces that follow a space or begin with a line's end; None for those that have other white space around them."""
-        young, old, new = self.young, self.old, []
-        for p in pieces.difference(young):
-            if p in old:
-                young[p] = old[p]
-            elif not p or (core := p[p[0] == "\n" :]) != core.strip():
-                young[p] = None
-            else:
-                new.append(p)
+    def learn(self) -> None:
+        """Fills in the ids of the pieces that were numbered last; None for those that have other white space around them."""
+        names, numbers, ids, old, new, stopped = self.numbers.new, self.numbers, self.ids, self.old, [], []
+        for p in names:  # which grows by words without the stops after them
+            at = len(ids)
+            ids.append(known := old.get(p))
+            if known is not None or not p:
+                continue
+            if p[-1] in STOPS and len(p) > 1 and p[-2].isalpha():
+                stopped.append((at, numbers[p[:-1]], p[-1]))
+            elif (core := p[1:] if p[0] == "\n" else p) and core == core.strip():
+                new.append((at, p if p[0] == "\n" else " " + p))
         for k in range(0, len(new), JOINED):
             own = new[k : k + JOINED]
-            young.update(zip(own, self.apart_of([p if p[0] == "\n" else " " + p for p in own]), strict=True))
-        return young
+            for (at, _), encoded in zip(own, self.apart_of([p for _, p in own]), strict=True):
+                ids[at] = encoded
+        for at, word, stop in stopped:
+            if ids[word] is not None:
+                ids[at] = ids[word] + self.stops[stop]
+        names.clear()
 
     def apart_of(self, pieces: list[str]) -> list[bytes]:
         """The ids of each piece: of their concatenation, which is cut where a piece's bytes end."""
@@ -96,25 +104,25 @@ class Encoder:
         return [self.packed(e.ids) for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
     def forget(self) -> None:
-        if len(self.young) > CACHED:
-            self.old = {p: v for p, v in self.young.items() if len(p) <= CACHED_CHARS}
-            self.young = {}
+        if len(self.ids) > CACHED:
+            self.old = {p: self.ids[n] for p, n in self.numbers.items() if len(p) <= CACHED_CHARS}
+            self.numbers, self.ids = _Numbers(), []
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian integers, END last; null counts as empty."""
-        out, work, seen = [], [], set()
+        out, work, number = [], [], self.numbers.__getitem__
         for text in texts:
             if not text or not self.apart or len(text) > PART_CHARS or ("\n\n" in text and ("\n\n\n" in text or "\n\n " in text or text.endswith("\n\n"))):
                 out.append((self.parts(text) if text else b"") + self.end)
                 continue
             first, *rest = text.replace("\n", " \n").split(" ")
-            work.append((len(out), text, first, rest))
-            seen.update(rest)
+            work.append((len(out), text, first, list(map(number, rest))))
             out.append(b"")
-        known = self.known(seen)
+        self.learn()
+        known = self.ids.__getitem__
         for at, text, first, rest in work:
             try:
-                out[at] = (self.whole(first) if first else b"") + b"".join([known[p] for p in rest]) + self.end
+                out[at] = (self.whole(first) if first else b"") + b"".join(map(known, rest)) + self.end
             except TypeError:  # a piece without ids of its own
                 out[at] = self.whole(text) + self.end
         self.forget()
@@ -134,6 +142,19 @@ class Encoder:
         return b"".join(out)
 
 
+class _Numbers(dict):
+    """Numbers of pieces in the order they are met; those that ``new`` holds have no ids yet."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        self.new.append(piece)
+        self[piece] = number = len(self)
+        return number
+
+
 def encoder(tokenizer_file: str) -> Encoder:
     return once(("tokenizers", tokenizer_file), lambda: Encoder(tokenizer_file))
 
@@ -211,9 +232,8 @@ class Code:
         self.codes = np.zeros(len(self.lengths), np.uint64)
         self.codes[order] = (first >> (self.bits - self.lengths[order])).astype(np.uint64)
         size = 1 << self.bits
-        self.symbol, self.step = np.zeros(size, np.uint32), np.ones(size, np.int64)
-        filled = int(spans.sum())
-        self.symbol[:filled], self.step[:filled] = np.repeat(order, spans), np.repeat(self.lengths[order], spans)
+        self.table = np.ones(size, np.int64)  # the id and the length of its code, in 5 bits
+        self.table[: int(spans.sum())] = np.repeat(order << 5 | self.lengths[order], spans)
 
     def encode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
         """The ids' bits, and the bits at which the blocks begin."""
@@ -231,16 +251,16 @@ class Code:
 
     def decode(self, payload: bytes, starts: np.ndarray, n: int) -> np.ndarray:
         """``n`` ids whose blocks begin at the bits ``starts``: one id of each block at a time."""
-        raw = np.frombuffer(payload + bytes(8), np.uint8).astype(np.uint32)
-        ahead = (raw[:-3] << 24) | (raw[1:-2] << 16) | (raw[2:-1] << 8) | raw[3:]  # the 32 bits from each byte on
-        at, last = np.array(starts, np.int64), 8 * len(payload)
-        out = np.empty((len(at), BLOCK), np.uint32)
-        mask, shift = np.uint32((1 << self.bits) - 1), 32 - self.bits
-        for k in range(min(BLOCK, n)):
-            code = (ahead[at >> 3] >> (shift - (at & 7)).astype(np.uint32)) & mask
-            out[:, k] = self.symbol[code]
-            at = np.minimum(at + self.step[code], last)  # the last block is shorter than the others
-        return out.ravel()[:n]
+        raw = np.frombuffer(payload + bytes(4 * BLOCK), np.uint8).astype(np.uint32)  # the last block, which is shorter, may be read beyond its end
+        ahead = ((raw[:-3] << 24) | (raw[1:-2] << 16) | (raw[2:-1] << 8) | raw[3:]).astype(np.int64)  # the 32 bits from each byte on
+        at = np.array(starts, np.int64)
+        out = np.empty((min(BLOCK, n), len(at)), np.uint32)
+        mask, shift = (1 << self.bits) - 1, 32 - self.bits
+        for k in range(len(out)):
+            entry = self.table[(ahead[at >> 3] >> (shift - (at & 7))) & mask]
+            out[k] = entry >> 5
+            at += entry & 31
+        return np.ascontiguousarray(out.T).ravel()[:n]
 
 
 def code_of(found: dict[int, int], limit: int = LIMIT) -> np.ndarray:
