@@ -12,21 +12,21 @@ from . import query, table
 
 def _join(kind: str):
     def run(spark, d):
-        c = table(spark, d, "customer").where("c_custkey % 3 > 0").select("c_custkey", "c_mktsegment")
-        o = table(spark, d, "orders").where("o_orderkey % 2 = 0").select("o_orderkey", "o_custkey")
-        return c.join(o, c.c_custkey == o.o_custkey, kind)
+        c = table(spark, d, "customer").select("c_custkey", "c_mktsegment")
+        o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+        return c.join(o, c.c_custkey == 2 * o.o_custkey, kind)  # so that either side has rows without a match
 
     return run
 
 
-_LEFT, _RIGHT = "(SELECT c_custkey, c_mktsegment FROM customer WHERE c_custkey % 3 > 0)", "(SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 2 = 0)"
+_LEFT, _RIGHT = "(SELECT c_custkey, c_mktsegment FROM customer)", "(SELECT o_orderkey, o_custkey FROM orders)"
 for _name, _kind, _sql in (
-    ("join_inner", "inner", f"SELECT * FROM {_LEFT} JOIN {_RIGHT} ON c_custkey = o_custkey"),
-    ("join_left", "left", f"SELECT * FROM {_LEFT} LEFT JOIN {_RIGHT} ON c_custkey = o_custkey"),
-    ("join_right", "right", f"SELECT * FROM {_LEFT} RIGHT JOIN {_RIGHT} ON c_custkey = o_custkey"),
-    ("join_full", "full", f"SELECT * FROM {_LEFT} FULL JOIN {_RIGHT} ON c_custkey = o_custkey"),
-    ("join_semi", "left_semi", f"SELECT * FROM {_LEFT} SEMI JOIN {_RIGHT} ON c_custkey = o_custkey"),
-    ("join_anti", "left_anti", f"SELECT * FROM {_LEFT} ANTI JOIN {_RIGHT} ON c_custkey = o_custkey"),
+    ("join_inner", "inner", f"SELECT * FROM {_LEFT} JOIN {_RIGHT} ON c_custkey = 2 * o_custkey"),
+    ("join_left", "left", f"SELECT * FROM {_LEFT} LEFT JOIN {_RIGHT} ON c_custkey = 2 * o_custkey"),
+    ("join_right", "right", f"SELECT * FROM {_LEFT} RIGHT JOIN {_RIGHT} ON c_custkey = 2 * o_custkey"),
+    ("join_full", "full", f"SELECT * FROM {_LEFT} FULL JOIN {_RIGHT} ON c_custkey = 2 * o_custkey"),
+    ("join_semi", "left_semi", f"SELECT * FROM {_LEFT} SEMI JOIN {_RIGHT} ON c_custkey = 2 * o_custkey"),
+    ("join_anti", "left_anti", f"SELECT * FROM {_LEFT} ANTI JOIN {_RIGHT} ON c_custkey = 2 * o_custkey"),
 ):
     _f = _join(_kind)
     _f.__name__ = _name

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import index, models, store
+from ..operators import index, main_content, models, store
 from . import query, table
 
 
@@ -191,6 +191,24 @@ def html_markdown(spark, d):
     return table(spark, d, "pages").select("page_id", text.html_markdown(F.col("html")).alias("markdown"), text.html_title(F.col("html")).alias("title"))
 
 
+SQUEEZED = r"trim(regexp_replace(x, '[\s\x01\x02]+', ' ', 'g'))"
+
+
+@query(
+    rf"""WITH p AS (SELECT page_id, regexp_replace(lower(regexp_extract(url, '^[A-Za-z]+://([^/?#]*)', 1)), '^(?:www|m)\.', '') AS site,
+regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '<(?:script|style|head)\b[^>]*>.*?</(?:script|style|head)>|<!--.*?-->', ' ', 'gis'), '</?(?:{main_content.BLOCK_TAGS})\b[^>]*>', chr(10), 'gi'), '<a\b[^>]*>', chr(1), 'gi'), '</a\s*>', chr(2), 'gi'), '<[^>]+>', ' ', 'g') AS t FROM pages),
+b AS (SELECT page_id, site, generate_subscripts(l, 1) AS i, unnest(l) AS x FROM (SELECT page_id, site, string_split(t, chr(10)) AS l FROM p)),
+c AS (SELECT page_id, site, i, {SQUEEZED} AS text, length({SQUEEZED.replace("(x,", r"(regexp_replace(x, '\x01[^\x01\x02]*\x02', ' ', 'g'),")}) AS outside FROM b),
+d AS (SELECT *, len(string_split(text, ' ')) >= 5 AND length(text) - outside <= length(text) / 3 AS dense FROM c WHERE text <> ''),
+often AS (SELECT site, text FROM (SELECT site, text, count(DISTINCT page_id) AS n FROM d WHERE dense GROUP BY ALL) JOIN (SELECT site, count(*) AS pages FROM p GROUP BY site) USING (site) WHERE n >= 3 AND n >= 0.1 * pages),
+k AS (SELECT *, dense AND NOT EXISTS (SELECT 1 FROM often o WHERE o.site = d.site AND o.text = d.text) AS kept FROM d)
+SELECT p.page_id, count(k.page_id) AS n_blocks, count(*) FILTER (kept) AS n_kept, sha256(coalesce(string_agg(text, chr(10) ORDER BY i) FILTER (kept), '')) AS digest FROM p LEFT JOIN k ON k.page_id = p.page_id GROUP BY p.page_id"""
+)
+def main_blocks(spark, d):
+    """Pages' blocks of text, without menus and what their site repeats."""
+    return main_content.main_content(table(spark, d, "pages")).select("page_id", "n_blocks", "n_kept", F.sha2("main", 256).alias("digest"))
+
+
 @query(
     """SELECT label, CAST(dim AS BIGINT) AS dim, round(avg(x), 6) AS mean FROM (SELECT label, vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS dim FROM embeddings WHERE vec_id % 3 <> 0) GROUP BY ALL"""
 )
@@ -202,6 +220,18 @@ def mean_pool(spark, d):
     return kept.groupBy("label", "dim").agg(F.round(F.avg("x"), 6).alias("mean"))
 
 
+@query(
+    """SELECT vec_id, k AS dim, round(CASE WHEN n = 0 THEN 0.0 ELSE s / n END, 6) AS mean FROM (SELECT vec_id, k, sum(CASE WHEN embedding[16 * t + 1] > 0 THEN CAST(embedding[16 * t + k + 1] AS DOUBLE) ELSE 0 END) AS s, count(*) FILTER (embedding[16 * t + 1] > 0) AS n
+FROM embeddings, (SELECT unnest(range(4)) AS t), (SELECT unnest(range(16)) AS k) GROUP BY ALL)"""
+)
+def token_pool(spark, d):
+    """Each vector as four token vectors of sixteen, averaged over those whose first component is positive."""
+    tokens = F.array(*(F.slice(F.col("embedding").cast("array<double>"), 16 * t + 1, 16) for t in range(4)))
+    rows = table(spark, d, "embeddings").select("vec_id", tokens.alias("tokens")).withColumn("mask", F.transform("tokens", lambda t: (F.get(t, F.lit(0)) > 0).cast("int")))
+    means = rows.select("vec_id", F.posexplode(models.mean_pooled(F.col("tokens"), F.col("mask"))).alias("dim", "mean"))
+    return means.select("vec_id", "dim", F.round("mean", 6).alias("mean"))
+
+
 @query(
     """SELECT vec_id, CASE vec_id % 3 WHEN 0 THEN round(CAST(embedding[2] AS DOUBLE), 6) WHEN 1 THEN round(CAST(embedding[1] AS DOUBLE), 6) ELSE round((CAST(embedding[1] AS DOUBLE) + embedding[2] + embedding[3]) / 3, 6) END AS score FROM embeddings"""
 )

@@ -39,6 +39,12 @@ def stream_dedupe(spark, d):
     return ev.dedupe(events(spark, d), ["user_id", "event_type"]).select("user_id", "event_type")
 
 
+@query("SELECT user_id, event_type, event_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) = 1")
+def first_events(spark, d):
+    """The event that stays of each user and kind."""
+    return ev.dedupe(events(spark, d).select("ts", "event_id", "user_id", "event_type"), ["user_id", "event_type"]).select("user_id", "event_type", "event_id")
+
+
 RATE = """WITH RECURSIVE e AS (SELECT event_id, user_id, epoch_us(ts) AS t, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events),
 f AS (SELECT event_id, user_id, t, i, t AS start, CAST(1 AS BIGINT) AS n FROM e WHERE i = 1 UNION ALL
 SELECT e.event_id, e.user_id, e.t, e.i, CASE WHEN e.t >= f.start + 86400000000 THEN e.t ELSE f.start END, CASE WHEN e.t >= f.start + 86400000000 THEN 1 ELSE f.n + 1 END FROM f JOIN e ON e.user_id = f.user_id AND e.i = f.i + 1)"""

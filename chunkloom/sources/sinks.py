@@ -67,15 +67,24 @@ def as_json(df: DataFrame) -> DataFrame:
 
 
 def _moved(spark: SparkSession, source: str, target: str) -> None:
-    """Renames a file or folder, replacing a file or an older folder of that name."""
+    """Renames a file or folder, replacing a file or an older folder of that name.
+
+    An older folder is moved aside first and removed last, so that a crash between loses neither. ``merge.publish``
+    keeps a name readable throughout.
+    """
     jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     old, new = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
     system = new.getFileSystem(conf)
+    aside = None
     if system.exists(new) and system.getFileStatus(new).isDirectory():
-        system.delete(new, True)
+        aside = jvm.org.apache.hadoop.fs.Path(f"{target}.{uuid.uuid4().hex}.old")
+        if not system.rename(new, aside):
+            raise OSError(f"{target} can't be moved aside")
     overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
     overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
     jvm.org.apache.hadoop.fs.FileContext.getFileContext(new.toUri() if new.toUri().getScheme() else system.getUri(), conf).rename(system.makeQualified(old), system.makeQualified(new), overwrite)
+    if aside is not None:
+        system.delete(aside, True)
 
 
 def write_manifest(spark: SparkSession, path: str, values: dict) -> None:

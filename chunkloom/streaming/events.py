@@ -29,11 +29,13 @@ def session_counts(events: DataFrame, gap: str, late: str = "1 hour") -> DataFra
 
 
 def dedupe(events: DataFrame, keys: list[str], late: str = "1 hour") -> DataFrame:
-    """The first event of each key. On a stream a key is forgotten when the watermark has passed it, so a repeat
+    """The first event of each key, by ts and then the other columns. On a stream it is the first that arrives, a key is forgotten when the watermark has passed it, so a repeat
     must come within ``late`` to be dropped; state stays bounded."""
     if events.isStreaming:
         return events.withWatermark("ts", late).dropDuplicatesWithinWatermark(keys)
-    return events.dropDuplicates(keys)
+    others = ["ts", *(c for c in events.columns if c != "ts" and c not in keys)]
+    first = events.groupBy(*keys).agg(F.min(F.struct(*others)).alias("_first"))
+    return first.select(*keys, *(F.col(f"_first.{c}").alias(c) for c in others)).select(*events.columns)
 
 
 def rate_limit(events: DataFrame, limit: int, seconds: int) -> DataFrame:
