@@ -168,7 +168,7 @@ def graph_caps(spark, d):
     return graph.expand(seeds, _edges(spark, d), 2, per_node=2).select("seed", "key", "hop", graph.hop_score(F.col("hop")).alias("score"))
 
 
-@query(_walk_sql(3, 4, 6, 8, 25))
+@query(_walk_sql(3, 2, 3, 6, 20))
 def capped_walk(spark, d):
     """Customers and suppliers within three steps of a nation's customers, along orders, with every cap binding."""
     orders, items = table(spark, d, "orders"), table(spark, d, "lineitem")
@@ -180,7 +180,7 @@ def capped_walk(spark, d):
     c_key, s_key = (2 * F.col("c_custkey")).cast("long"), (2 * F.col("s_suppkey") + 1).cast("long")
     vertices = customers.select(c_key.alias("key"), chunk("c_acctbal", c_key)).unionByName(suppliers.select(s_key.alias("key"), chunk("s_acctbal", s_key)))
     seeds = customers.where("c_custkey % 20 = 0").select(F.col("c_nationkey").cast("long").alias("query_id"), c_key.alias("seed"))
-    walk = graph.capped_walk(seeds, edges, vertices, 3, per_node=4, beam=6, per_seed=8, total=25)
+    walk = graph.capped_walk(seeds, edges, vertices, 3, per_node=2, beam=3, per_seed=6, total=20)
     return walk.withColumn("path", F.array_join("path", ">")).withColumn("weight", F.round("weight", 6))
 
 
