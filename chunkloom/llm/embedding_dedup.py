@@ -75,22 +75,20 @@ def _unit(vectors: list) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _postings(batches):
+def _decoded(batches):
+    """The batches with each vector's own cell in every table and the cells it probes, label and width mixed in."""
     for batch in batches:
-        ids, keys, labels = (batch.column(k).to_numpy() for k in range(3))
-        vectors = batch.column(3).to_pylist()
+        labels, vectors = batch.column(2).to_numpy(), batch.column(3).to_pylist()
         widths = np.array([len(v) for v in vectors])
+        found = [None] * len(vectors)
         for width in np.unique(widths):
             rows = np.flatnonzero(widths == width)
             own, probed = cells(_unit([vectors[r] for r in rows]))
-            bucket = np.concatenate([own[:, :, None], probed], 2)
-            bucket = (bucket.view(np.uint64) ^ (labels[rows].astype(np.uint64)[:, None, None] * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(width))).view(np.int64)
-            n = bucket[0].size
-            role = np.zeros(bucket.shape, bool)
-            role[:, :, 0] = True
-            table = np.broadcast_to(np.arange(TABLES, dtype=np.int32)[None, :, None], bucket.shape)
-            columns = bucket.ravel(), table.ravel(), np.repeat(ids[rows], n), np.repeat(keys[rows], n), role.ravel()
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["bucket", "tab", "id", "key", "own"])
+            both = np.concatenate([own[:, :, None], probed], 2)
+            both = (both.view(np.uint64) ^ (labels[rows].astype(np.uint64)[:, None, None] * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(width))).view(np.int64)
+            for r, c in zip(rows, both.reshape(len(rows), -1), strict=True):
+                found[r] = c
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.int64()))], names=[*batch.schema.names, "cells"])
 
 
 def _compare(threshold: float):
@@ -109,7 +107,8 @@ def _compare(threshold: float):
             close &= part[:, None] != part[None, :]
         if not close.any():
             return empty
-        own, probed = cells(x)
+        held = np.array(table.column("cells").to_pylist(), np.int64).reshape(len(ids), TABLES, 1 + BLOCKS)
+        own, probed = held[:, :, 0], held[:, :, 1:]
         i, j = np.nonzero(np.triu(close))
         met = (own[i] == own[j]) | (own[i][:, :, None] == probed[j]).any(2) | (own[j][:, :, None] == probed[i]).any(2)
         counted = met.argmax(1) == t  # at its first table
@@ -148,13 +147,16 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     good = rows.where(sound).withColumn("print", print_)
     # a class is named by its least id and a hash, as an id may have several vectors
     classes = cut(good.groupBy("print").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("weight")).withColumn("key", F.xxhash64("print")))
-    reps = cut(good.join(classes, ["id", "print"]).dropDuplicates(["id", "key"]).select("id", "key", "label", "vector", "weight"))
-    postings = reps.select("id", "key", "label", "vector").mapInArrow(_postings, "bucket long, tab int, id long, key long, own boolean")
-    postings = cut(postings.groupBy("bucket", "tab", "id", "key").agg(F.max("own").alias("own")))
+    reps = good.join(classes, ["id", "print"]).dropDuplicates(["id", "key"]).select("id", "key", "label", "vector", "weight")
+    # a vector near a cell's border must fall into the same cells wherever it is looked at, so they are worked out once
+    reps = cut(reps.mapInArrow(_decoded, f"id long, key long, label long, vector {good.schema['vector'].dataType.simpleString()}, weight long, cells array<long>"))
+    each = reps.select("id", "key", F.posexplode("cells").alias("at", "bucket"))
+    each = each.select("bucket", F.floor(F.col("at") / (1 + BLOCKS)).cast("int").alias("tab"), "id", "key", (F.col("at") % (1 + BLOCKS) == 0).alias("own"))
+    postings = cut(each.groupBy("bucket", "tab", "id", "key").agg(F.max("own").alias("own")))
     crowded = postings.groupBy("bucket", "tab").agg(F.count(F.lit(1)).alias("m"), F.max("own").alias("any_own")).where("m > 1 AND any_own").select("bucket", "tab", F.ceil(F.col("m") / BLOCK_ROWS).cast("int").alias("parts"))
     placed = postings.join(crowded, ["bucket", "tab"]).withColumn("part", F.pmod(F.xxhash64("id", "key"), F.col("parts")).cast("int"))
     pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    blocks = pairs.select("bucket", "tab", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "id", "key", "own", "part").join(reps.select("id", "key", "vector", "weight"), ["id", "key"])
+    blocks = pairs.select("bucket", "tab", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "id", "key", "own", "part").join(reps.select("id", "key", "vector", "weight", "cells"), ["id", "key"])
     found = cut(blocks.groupBy("bucket", "tab", "p", "q").applyInArrow(_compare(threshold), "id long, key long, degree long, least long"))
     degree = found.groupBy("id", "key").agg(F.sum("degree").alias("degree"))
     links = found.where("id <> least").select(F.col("id").alias("a"), F.col("least").alias("b")).unionByName(_ties(good, classes))
