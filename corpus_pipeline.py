@@ -19,7 +19,8 @@ from chunkloom.llm.queries import tokenizer_file
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents whose toxicity score is 0.5 or more.
 
-    Null and empty texts stay; repeated rows go or stay together; without labels common insults decide.
+    Null and empty texts stay; repeated rows, and rows of equal texts, go or stay together; without labels common
+    insults decide. A score of just 0.5 goes. An empty table stays empty.
     """
     return toxicity.drop_toxic(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
 
@@ -38,7 +39,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One document of each group of near duplicates, that with the least id.
 
     Of rows that repeat this id and its text one stays, their other texts stay too. Texts without words and rows
-    with a null id are in no group and stay.
+    with a null id are in no group and stay. An empty table stays empty.
     """
     groups = jaccard_join.jaccard_groups(docs)
     other = fresh("other", docs.columns)
@@ -53,13 +54,17 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that hold a benchmark item.
 
-    Null, empty and wordless texts and rows with a null id stay; rows that repeat an id go together.
+    Null, empty and wordless texts and rows with a null id stay; rows that repeat an id go together, and a
+    similarity of just 0.8 counts. An empty table stays empty, and an empty benchmark leaves all.
     """
     return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of the ids and of the decoded text, a row for each row; null counts as empty."""
+    """Token counts and digests of the ids and of the decoded text, a row for each row, repeated ones too.
+
+    Null counts as empty. An empty table gives no rows.
+    """
     return sentencepiece_codec.encode_decode(docs, tokenizer_file())
 
 
