@@ -36,9 +36,21 @@ def hop_score(hop):
 
 
 def adjacency(chunks: DataFrame, by: str, order: str, key: str) -> DataFrame:
-    """Edges from each chunk to the next one of its document."""
-    following = F.lead(key).over(Window.partitionBy(by).orderBy(order))
-    return chunks.select(F.col(key).alias("src"), following.alias("dst")).where("dst IS NOT NULL")
+    """Edges from each chunk to the next one of its document, by ``order`` and key.
+
+    Rows are dealt by ranges of (``by``, ``order``), so that a document with many chunks is many tasks' work; the last
+    chunk of a range leads to the first of the document's next range.
+    """
+    rows = chunks.select(F.col(by).alias("by"), F.col(order).alias("at"), F.col(key).alias("key"))
+    rows = cut(rows.repartitionByRange("by", "at").withColumn("part", F.spark_partition_id()))
+    within = F.lead("key").over(Window.partitionBy("by", "part").orderBy("at", "key"))
+    first = rows.groupBy("by", "part").agg(F.min(F.struct("at", "key")).alias("f"))  # a row for each document and range
+    following = first.select("by", "part", F.lead("f.key").over(Window.partitionBy("by").orderBy("part")).alias("after")).where("after IS NOT NULL")
+    led = rows.select("by", "part", F.col("key").alias("src"), within.alias("dst"))
+    inner = led.where("dst IS NOT NULL").select("src", "dst")
+    following = following.select(F.col("by").alias("_by"), F.col("part").alias("_part"), "after")
+    across = led.where("dst IS NULL").join(following, F.col("by").eqNullSafe(F.col("_by")) & (F.col("part") == F.col("_part"))).select("src", F.col("after").alias("dst"))
+    return inner.unionByName(across)
 
 
 def capped_walk(seeds: DataFrame, edges: DataFrame, vertices: DataFrame, hops: int = 2, least_weight: float = 0.7, per_node: int = 20, beam: int | None = None, per_seed: int = 100, total: int = 500) -> DataFrame:

@@ -3,7 +3,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from chunkloom.functions import text
-from chunkloom.operators import fusion, packing, windows
+from chunkloom.operators import fusion, graph, packing, windows
 from chunkloom.sources import readers, sinks
 from chunkloom.streaming import events as ev
 
@@ -88,3 +88,15 @@ def test_sources_and_sinks(spark, tmp_path):
     assert sinks.flat(df).first().r == "[1,2]"
     sinks.snapshot(spark, df, str(tmp_path / "index"), "v1")
     assert sinks.restore(spark, str(tmp_path / "index")).count() == 2
+
+
+def test_adjacency_over_ranges(spark):
+    """A document that many tasks share, repeated places, and null documents."""
+    rows = [("hot", k // 2, k) for k in range(400)] + [("a", 1, 1000), ("a", 5, 1001), (None, 1, 2000), (None, 2, 2001), ("b", 1, 3000)]
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # so that ranges are not joined
+    try:
+        got = {(r.src, r.dst) for r in graph.adjacency(spark.createDataFrame(rows, "doc string, place int, chunk long"), "doc", "place", "chunk").collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert got == {(k, k + 1) for k in range(399)} | {(1000, 1001), (2000, 2001)}
