@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.folds import fold, rows_of
+from ..functions.text import squeezed, token_count
 
 
 def _pieces(counts: np.ndarray, most: int) -> np.ndarray:
@@ -49,6 +50,47 @@ def pack(counts: Column, budget: int, overlap_tokens: int = 0, overlap_items: in
     return rows_of(counts, {"first": "int", "last": "int", "tokens": "bigint"}, run)
 
 
+def long_line_chunks(df: DataFrame, text_col: str, keep: list[str], budget: int, overlap: int, least_chars: int = 200, most: int = 1000) -> DataFrame:
+    """``keep``, chunk_no, start_line, end_line, piece, token_count, text: lines packed under a budget, longer ones cut.
+
+    Lines join while their tokens fit; the next chunk begins with the lines that cover ``overlap`` tokens, or after the
+    chunk where that would be all of it. A line over the budget is cut into windows of its mean characters per token
+    times the budget, ``least_chars`` at least and ``most`` windows at most, which step on by the rest of the overlap; they
+    are chunks of this line alone, with piece from 1. Packing ends with the chunk that holds the last line. Lines count
+    from 0, ends are exclusive, texts are canonical. Null texts have no chunks, an empty one has one without tokens.
+    """
+
+    def run(numbers: np.ndarray) -> list:
+        counts, chars = numbers[0::2], numbers[1::2].tolist()
+        sums, n, at, out = np.concatenate([[0], np.cumsum(counts)]), len(counts), 0, []
+        while at < n:
+            tokens = int(counts[at])
+            if tokens > budget:
+                each = max(1, chars[at] // tokens)
+                width = max(least_chars, each * budget)
+                step = max(1, width - each * overlap)
+                windows = min(most, 1 + max(0, -(-(chars[at] - width) // step)))
+                out += [[at, at + 1, k + 1, k * step, min(chars[at], k * step + width)] for k in range(windows)]
+                at += 1
+                continue
+            end = max(at + 1, int(np.searchsorted(sums, sums[at] + budget, "right")) - 1)
+            out.append([at, end, 0, 0, 0])
+            if end == n:
+                break
+            back = int(np.searchsorted(sums, sums[end] - overlap, "right")) - 1 if overlap > 0 else end
+            at = back if back > at else end
+        return out
+
+    lines = F.split(text_col, "\n")
+    counted = F.flatten(F.transform(lines, lambda x: F.array(token_count(x), F.length(x).cast("long"))))
+    fields = {"start_line": "int", "end_line": "int", "piece": "int", "a": "int", "b": "int"}
+    packed = df.where(F.col(text_col).isNotNull()).select(*keep, lines.alias("_lines"), F.posexplode(rows_of(counted, fields, run)).alias("chunk_no", "_c"))
+    whole = F.array_join(F.slice("_lines", F.col("_c.start_line") + 1, F.col("_c.end_line") - F.col("_c.start_line")), "\n")
+    window = F.substr(F.get("_lines", F.col("_c.start_line")), F.col("_c.a") + 1, F.col("_c.b") - F.col("_c.a"))
+    out = packed.select(*keep, "chunk_no", "_c.start_line", "_c.end_line", "_c.piece", squeezed(F.when(F.col("_c.piece") > 0, window).otherwise(whole)).alias("text"))
+    return out.select(*keep, "chunk_no", "start_line", "end_line", "piece", token_count(F.col("text")).alias("token_count"), "text")
+
+
 def _groups(joins):
     """Group numbers from 1; ``joins(sum, count)`` says whether an item joins the group before."""
 

@@ -141,6 +141,26 @@ def line_chunks(spark, d):
     return chunks.select("doc", "chunk_no", F.col("x.first").alias("item_first"), F.col("x.last").alias("item_last"), F.col("x.tokens").alias("tokens"))
 
 
+@query(
+    r"""WITH RECURSIVE l AS (SELECT doc_id AS doc, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL),
+c AS (SELECT doc, l, list_transform(l, lambda x: len(list_filter(regexp_split_to_array(x, '\s+'), lambda t: t <> ''))) AS c FROM l),
+s AS (SELECT doc, l, c, len(c) AS n, list_transform(range(0, len(c) + 1), lambda i: CAST(coalesce(list_sum(c[1:i]), 0) AS BIGINT)) AS p FROM c),
+w AS (SELECT doc, n, c, p, CAST(0 AS BIGINT) AS lo, CASE WHEN c[1] > 20 THEN 1 ELSE greatest(1, len(list_filter(p, lambda x: x <= 20)) - 1) END AS e, c[1] > 20 AS long FROM s
+UNION ALL SELECT doc, n, c, p, nx, CASE WHEN c[nx + 1] > 20 THEN nx + 1 ELSE greatest(nx + 1, len(list_filter(p, lambda x: x <= p[nx + 1] + 20)) - 1) END, c[nx + 1] > 20 FROM (
+SELECT *, CASE WHEN long THEN e WHEN b > lo THEN b ELSE e END AS nx FROM (SELECT *, len(list_filter(p, lambda x: x <= p[e + 1] - 4)) - 1 AS b FROM w WHERE e < n))),
+k AS (SELECT w.doc, w.lo, w.e, w.long, s.l, length(s.l[w.lo + 1]) AS chars, greatest(1, length(s.l[w.lo + 1]) // greatest(w.c[w.lo + 1], 1)) AS each FROM w JOIN s ON s.doc = w.doc),
+x AS (SELECT doc, lo, e, 0 AS piece, array_to_string(l[lo + 1 : e], chr(10)) AS t FROM k WHERE NOT long UNION ALL
+SELECT doc, lo, e, i + 1, substr(l[lo + 1], CAST(i * step + 1 AS BIGINT), CAST(least(chars, i * step + width) - i * step AS BIGINT)) FROM (SELECT *, unnest(range(0, least(1000, 1 + greatest(0, CAST(ceil((chars - width) / step) AS BIGINT))))) AS i FROM (
+SELECT *, greatest(1, width - each * 4) AS step FROM (SELECT *, greatest(50, each * 20) AS width FROM k WHERE long)))),
+y AS (SELECT doc, lo, e, piece, trim(regexp_replace(t, '\s+', ' ', 'g')) AS t FROM x)
+SELECT doc, row_number() OVER (PARTITION BY doc ORDER BY lo, e, piece) - 1 AS chunk_no, lo AS start_line, e AS end_line, piece, CASE WHEN t = '' THEN 0 ELSE len(string_split(t, ' ')) END AS token_count, sha256(t) AS digest FROM y"""
+)
+def long_line_chunks(spark, d):
+    """Lines under 20 tokens with an overlap of four, longer lines in windows of characters."""
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("doc"), "text")
+    return packing.long_line_chunks(docs, "text", ["doc"], 20, 4, least_chars=50).withColumn("digest", F.sha2("text", 256)).drop("text")
+
+
 SENTENCES = r"list_filter(string_split(regexp_replace(trim(regexp_replace(text, '\s+', ' ', 'g')), '([.!?]) ', '\1' || chr(10), 'g'), chr(10)), lambda x: x <> '')"
 
 
