@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .stages import cut
 
 #: Bands and rows of a signature: of pairs at a similarity of 0.8, 1 in 4,000 shares no band.
 BANDS, ROWS = 16, 4
+#: Sets in which frequent shingles are looked for, and how many of these are put behind the others.
+LOOKED, FREQUENT = 20_000, 20_000
 
 
 def shingles(words: Column, width: int) -> Column:
@@ -47,13 +51,57 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
+def prefixes(sets: DataFrame, least: float) -> DataFrame:
+    """(id, h, n) of sets (id, s): the shingles of which two sets at a similarity of ``least`` share one.
+
+    They are the first n - ceil(least * n) + 1 of a set in one order of all shingles. Any order is exact; frequent
+    shingles, as a part of the sets shows them, come last, so that few sets share one.
+    """
+    part = F.pmod(F.xxhash64("id"), F.lit(max(1, sets.count() // LOOKED))) == 0
+    counts = sets.where(part).select(F.explode("s").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 2")
+    common = counts.orderBy(F.desc("c"), "h").limit(FREQUENT).collect()
+    known = sorted((r.h, r.c) for r in common)
+    sent = sets.sparkSession.sparkContext.broadcast((np.array([h for h, _ in known], np.int64), np.array([c for _, c in known], np.int64)))
+
+    def run(batches):
+        names, counted = sent.value
+        for whole in batches:
+            for at in range(0, whole.num_rows, 500):
+                batch = whole.slice(at, 500)
+                sizes = np.diff(batch.column(1).offsets.to_numpy())
+                h = batch.column(1).flatten().to_numpy()
+                owner = np.repeat(np.arange(len(sizes)), sizes)
+                often = np.zeros(len(h), np.int64)
+                if len(names):
+                    place = np.minimum(np.searchsorted(names, h), len(names) - 1)
+                    often = np.where(names[place] == h, counted[place], 0)
+                order = np.lexsort((h, often, owner))
+                rank = np.arange(len(h)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                took = sizes - np.ceil(least * sizes - 1e-6).astype(np.int64) + 1
+                kept = rank < took[owner]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner[kept])), pa.array(h[order][kept]), pa.array(sizes[owner[kept]].astype(np.int32))], names=["id", "h", "n"])
+
+    return sets.select("id", "s").mapInArrow(run, f"id {sets.schema['id'].dataType.simpleString()}, h long, n int")
+
+
+def across(sets: DataFrame, joined: DataFrame, least: float) -> DataFrame:
+    """(a, b): all pairs of sets in different components (node, component) that may be similar enough."""
+    posts = prefixes(sets, least).join(joined.withColumnRenamed("node", "id"), "id", "left").select("h", "id", "n", F.coalesce("component", "id").alias("c"))
+    by = Window.partitionBy("h")
+    posts = cut(posts.withColumn("low", F.min("c").over(by)).withColumn("high", F.max("c").over(by)).where("low < high").drop("low", "high"))
+    a, b = (posts.select("h", F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("c").alias(f"c{x}")) for x in "ab")
+    close = F.least("na", "nb") >= least * F.greatest("na", "nb") - 1e-6
+    return a.join(b, "h").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & close).select("a", "b").distinct()
+
+
 def near_duplicates(chunks: DataFrame, id_col: str, words: Column, least: float = 0.8, width: int = 5, neighbours: int = 8) -> DataFrame:
     """(id, n_shingles, cluster): the least id that is reached by links, of chunks whose shingles are similar enough.
 
     Chunks with equal shingles are one set, so copies aren't compared. Sets that share a band are put in the order of
     their smallest shingles, which brings similar ones together, and each is checked against the band's first and
-    against the ``neighbours`` that follow it: the pairs are linear in the rows of a band. A pair that only crowded
-    bands hold may be missed where neither links it to a third; recall is measured in a test. Links are checked exactly.
+    against the ``neighbours`` that follow it: the pairs are linear in the rows of a band. Sets that are not in one
+    component then are compared where they share a rare shingle of their prefixes, so no link between components is
+    missed. Links are checked exactly.
     Chunks without words have no links; null ids have a null cluster and link nothing; an empty table gives no rows.
     """
     rows = cut(chunks.select(F.col(id_col).alias("id"), shingles(words, width).alias("s")))
@@ -69,7 +117,12 @@ def near_duplicates(chunks: DataFrame, id_col: str, words: Column, least: float
     pairs = paired.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     side = lambda n, c: sets.select(F.col("id").alias(n), F.col("s").alias(c))
     both = F.size(F.array_intersect("sa", "sb"))
-    links = pairs.join(side("a", "sa"), "a").join(side("b", "sb"), "b").where(both >= least * (F.size("sa") + F.size("sb") - both) - 1e-9).select("a", "b")
+
+    def linked(pairs):
+        return cut(pairs.join(side("a", "sa"), "a").join(side("b", "sb"), "b").where(both >= least * (F.size("sa") + F.size("sb") - both) - 1e-9).select("a", "b"))
+
+    links = linked(pairs)
+    links = links.unionByName(linked(across(sets, components(links), least)))
     # ids of several texts are one node
     again = named.join(sets.select("set", F.col("id").alias("rep")), "set").where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     joined = components(links.unionByName(again))

@@ -57,3 +57,19 @@ def test_components_of_chains(spark):
     links = [(k, k + 1) for k in range(60)] + [(100, 101), (103, 101), (7, 7), (None, 3)]
     got = {r.node: r.component for r in similar.components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {k: 0 for k in range(61)} | {100: 100, 101: 100, 103: 100}
+
+
+def test_no_link_is_missed_that_no_band_holds(spark, monkeypatch):
+    """Pairs at a similarity of just 0.8, more than bands are sure to hold, beside a shingle that all texts begin with."""
+    monkeypatch.setattr(similar, "BANDS", 1)
+    rnd, rows = random.Random(7), []
+    words = [f"w{k}" for k in range(5000)]
+    for group in range(150):
+        n = rnd.choice([9, 14, 24, 49])
+        base = rnd.sample(words, n)
+        rows += [" ".join(["common", "line", "of", "all", "texts", *base]), " ".join(["common", "line", "of", "all", "texts", *base, *rnd.sample(words, (n + 1) // 4)])]
+    rows = list(enumerate(rows))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.cluster) for r in similar.near_duplicates(docs, "doc_id", text.words(F.col("text"))).collect()}
+    want = brute(rows)
+    assert got == want and len({c for _, c in want.values()}) < 290
