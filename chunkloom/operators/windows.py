@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions.text import clock
 
+#: Windows of a text's block.
+BLOCK_WINDOWS = 32
+
 
 def window_starts(total: Column, width: int, overlap: int) -> Column:
     """0-based starts; the last window is the first that reaches the end. An empty text has one window."""
@@ -28,14 +31,21 @@ def token_windows(df: DataFrame, tokens: str, width: int, overlap: int, keep: li
 
 def char_windows(df: DataFrame, text: str, budget: int, overlap_tokens: int, keep: list[str], most: int = 1000) -> DataFrame:
     """Windows of a long line by its whole characters per token: at least 200 wide, stepping on by the rest of the
-    overlap, ``most`` of them."""
-    n = F.length(text)
-    each = F.greatest(F.lit(1), F.floor(n / F.greatest(F.size(F.filter(F.split(text, r"\s+"), lambda t: t != "")), F.lit(1))).cast("int"))
+    overlap, ``most`` of them.
+
+    A text is cut into blocks of ``BLOCK_WINDOWS`` windows and these into windows inside its row, so that no copy of the
+    whole text goes with each window, and a window is looked for from its block's start.
+    """
+    counted = df.select(*keep, F.col(text).alias("_x"), F.length(text).alias("_n"), F.size(F.filter(F.split(text, r"\s+"), lambda t: t != "")).alias("_t"))
+    each = F.greatest(F.lit(1), F.floor(F.col("_n") / F.greatest(F.col("_t"), F.lit(1))).cast("int"))
     width = F.greatest(F.lit(200), each * budget)
-    step = F.greatest(F.lit(1), width - each * overlap_tokens)
-    last = F.least(F.lit(most - 1), F.greatest(F.lit(0), F.ceil((n - width) / step).cast("int")))
-    out = df.select(*keep, F.col(text).alias("_x"), width.alias("_w"), step.alias("_s"), F.explode(F.sequence(F.lit(0), last)).alias("window_index"))
-    return out.select(*keep, "window_index", F.substr("_x", F.col("window_index") * F.col("_s") + 1, F.col("_w")).alias("text"))
+    sized = counted.select(*keep, "_x", "_n", width.alias("_w"), F.greatest(F.lit(1), width - each * overlap_tokens).alias("_s"))
+    last = F.least(F.lit(most - 1), F.greatest(F.lit(0), F.ceil((F.col("_n") - F.col("_w")) / F.col("_s")).cast("int")))
+    placed = sized.select(*keep, "_x", "_w", "_s", last.alias("_l"))
+    size = F.lit(BLOCK_WINDOWS)
+    blocks = F.transform(F.sequence(F.lit(0), F.floor(F.col("_l") / size).cast("int")), lambda g: F.substr("_x", g * size * F.col("_s") + 1, (size - 1) * F.col("_s") + F.col("_w")))
+    cut = lambda b, g: F.transform(F.sequence(F.lit(0), F.least(size - 1, F.col("_l") - g * size)), lambda k: F.substr(b, k * F.col("_s") + 1, F.col("_w")))
+    return placed.select(*keep, F.posexplode(F.flatten(F.transform(blocks, cut))).alias("window_index", "text"))
 
 
 def tumbling(number: Column, size: int) -> Column:

@@ -1,10 +1,12 @@
 """What a larger input must not make dearer: rows that carry whole texts, patterns that search, memory of a batch or a task."""
 
+import re
 import time
 
 from pyspark.sql import functions as F
 
 from chunkloom.functions import text
+from chunkloom.operators import windows
 
 
 def seconds(df):
@@ -25,3 +27,20 @@ def test_nfkc_of_plain_texts_costs_little(spark):
     import unicodedata
 
     assert [r.x for r in sorted(got)] == [None if t is None else unicodedata.normalize("NFKC", t) for t in odd]
+
+
+def test_windows_do_not_carry_their_text(spark):
+    rows = [(1, "wörd " * 20_000), (2, "x" * 300_000), (3, ""), (4, "short"), (5, "ab 漢字 " * 1500), (6, "a " * 40_000)]
+    docs = spark.createDataFrame(rows, "id long, x string")
+    out = windows.char_windows(docs, "x", 200, 20, ["id"])
+    carried = re.findall(r"Generate [^\n]*\[([^\[\]]*)\], false, \[", out._jdf.queryExecution().executedPlan().toString())
+    assert carried and all(c.startswith("id#") and "," not in c for c in carried), carried
+    want = set()
+    for i, x in rows:
+        each = max(1, len(x) // max(1, len(x.split())))
+        width = max(200, each * 200)
+        step = max(1, width - each * 20)
+        n = 1 + min(999, max(0, -(-(len(x) - width) // step)))
+        want |= {(i, k, x[k * step : k * step + width]) for k in range(n)}
+    assert {(r.id, r.window_index, r.text) for r in out.collect()} == want
+    assert sum(1 for i, _, _ in want if i == 1) > 2 * windows.BLOCK_WINDOWS
