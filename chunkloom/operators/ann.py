@@ -15,6 +15,8 @@ from .stages import cut
 SAMPLE_ROWS, CODES = 20_000, 256
 #: Vectors of a list that are compared at once, and queries that are compared with them.
 BLOCK_ROWS, QUERY_ROWS = 4_096, 256
+#: Vectors whose true neighbours tell when the trees of a graph are enough, and trees for each leaf of one, at most.
+ASKED, MOST_TREES = 256, 4
 FITTED = "lists int, parts int, centers array<array<double>>, books array<array<array<double>>>"
 
 
@@ -152,65 +154,119 @@ def search_index(spark: SparkSession, folder: str, queries: DataFrame, k: int, p
     return top_k(scored, "query_id", "score", "id", k)
 
 
-def _leaves(rows: DataFrame, seed: int, size: int) -> DataFrame:
-    """(id, v, leaf): vectors that fall on the same sides of random directions share a leaf of about ``size``."""
-    bits = max(0, int(np.ceil(np.log2(max(1, rows.count() / size)))))
+def _numbers(column: pa.Array) -> np.ndarray:
+    """The unit vectors of a column of lists of one length."""
+    x = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+    return x / (np.linalg.norm(x, axis=1, keepdims=True) + 1e-12)
 
-    def run(batches):
-        for batch in batches:
-            x = _unit(batch.column(1).to_pylist())
-            directions = np.random.default_rng(seed).normal(size=(x.shape[1], bits))
-            leaf = ((x @ directions > 0) << np.arange(bits)).sum(1).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaf)], names=["id", "v", "leaf"])
 
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, v array<double>, leaf long")
+def _alike(rows: DataFrame, first: int, trees: int, bits: int, size: int, k: int, seed: int) -> DataFrame:
+    """(src, dst, score): the k nearest others of each vector in its leaf of each of ``trees``.
 
+    Vectors on the same sides of ``bits`` random directions share a leaf, which is compared as one matrix. A leaf of more than
+    ``2 * size`` vectors is cut into blocks by a hash.
+    """
+    id_type, v_type = (rows.schema[c].dataType.simpleString() for c in ("id", "v"))
 
-def _best_within(lists: DataFrame, k: int, kind: str) -> DataFrame:
-    """(src, dst, score): the k nearest others of each member of a row's ``ids`` among these, by cosine."""
+    def placed(batches):
+        for batch in batches:
+            x = _numbers(batch.column(1)) if batch.num_rows else np.zeros((0, 1))
+            for tree in range(first, first + trees):
+                directions = np.random.default_rng([seed, tree]).normal(size=(x.shape[1], bits))
+                leaf = ((x @ directions > 0) << np.arange(bits)).sum(1).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(x), tree, np.int32)), pa.array(leaf)], names=["id", "v", "tree", "leaf"])
+
+    def nearest(table: pa.Table) -> pa.Table:
+        ids, x = table.column("id").combine_chunks(), _numbers(table.column("v").combine_chunks())
+        n, out = min(k, len(x) - 1), []
+        for at in range(0, len(x) if n else 0, QUERY_ROWS):
+            close = x[at : at + QUERY_ROWS] @ x.T
+            own = np.arange(len(close))
+            close[own, at + own] = -np.inf
+            best = np.argpartition(-close, n - 1, axis=1)[:, :n]
+            out.append((np.repeat(at + own, n), best.ravel(), np.round(np.take_along_axis(close, best, 1).ravel(), 6)))
+        src, dst, score = (np.concatenate(c) for c in zip(*out)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        return pa.table({"src": ids.take(pa.array(src)), "dst": ids.take(pa.array(dst)), "score": score})
+
+    dealt = rows.mapInArrow(placed, f"id {id_type}, v {v_type}, tree int, leaf long")
+    crowd = dealt.groupBy("tree", "leaf").agg(F.ceil(F.count(F.lit(1)) / (2 * size)).cast("int").alias("parts"))
+    crowd = crowd.where("parts > 1")  # few unless many vectors are alike
+    cut_up = dealt.join(crowd, ["tree", "leaf"], "left") if not crowd.isEmpty() else dealt.withColumn("parts", F.lit(1))
+    part = F.pmod(F.xxhash64("id", F.lit(seed)), F.coalesce("parts", F.lit(1))).alias("part")
+    return cut_up.select("id", "v", "tree", "leaf", part).groupBy("tree", "leaf", "part").applyInArrow(nearest, f"src {id_type}, dst {id_type}, score double")
+
+
+def _met(lists: DataFrame, kind: str) -> DataFrame:
+    """(src, dst, score): the pairs of a row's ``ids`` by cosine, where the score may still be among the best of src (``least``)."""
 
     def run(batches):
         for batch in batches:
-            src, dst, score = [], [], []
-            for ids, vs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                x = _unit(vs)
-                close = x @ x.T
+            ids, least = batch.column(0).flatten(), batch.column(2).flatten().to_numpy(zero_copy_only=False)
+            x, ends = _numbers(batch.column(1).flatten()), np.cumsum(np.diff(batch.column(0).offsets.to_numpy())).tolist()
+            out, a = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))], 0
+            for b in ends:
+                close = np.round(x[a:b] @ x[a:b].T, 6)
                 np.fill_diagonal(close, -np.inf)
-                n = min(k, len(ids) - 1)
-                best = np.argsort(-close, axis=1, kind="stable")[:, :n]
-                src += [i for i in ids for _ in range(n)]
-                dst += [ids[j] for j in best.ravel().tolist()]
-                score += np.round(np.take_along_axis(close, best, 1), 6).ravel().tolist()
-            yield pa.RecordBatch.from_pydict({"src": src, "dst": dst, "score": score}, pa.schema([("src", batch.column(0).type.value_type), ("dst", batch.column(0).type.value_type), ("score", pa.float64())]))
+                row, column = np.nonzero(close >= least[a:b, None])
+                out.append((a + row, a + column, close[row, column]))
+                a = b
+            src, dst, score = (np.concatenate(c) for c in zip(*out))
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(src)), ids.take(pa.array(dst)), pa.array(score)], names=["src", "dst", "score"])
 
-    return lists.select("ids", "vs").mapInArrow(run, f"src {kind}, dst {kind}, score double").where("src <> dst")
+    return lists.select("ids", "vs", "least").mapInArrow(run, f"src {kind}, dst {kind}, score double")
 
 
 def _kept(edges: DataFrame, k: int) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("src").orderBy(F.desc("score"), "dst"))
-    return edges.groupBy("src", "dst").agg(F.max("score").alias("score")).withColumn("_r", rank).where(F.col("_r") <= k).drop("_r")
+    return edges.groupBy("src", "dst").agg(F.max("score").alias("score")).withColumn("_r", rank).where(F.col("_r") <= k)
+
 
+def _true(rows: DataFrame, k: int, n: int, seed: int) -> DataFrame:
+    """(src, dst): the k nearest others of ``n`` vectors, the least by a hash, among all."""
+    kind = rows.schema["id"].dataType.simpleString()
+    drawn = rows.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(n).collect()
+    sent = rows.sparkSession.sparkContext.broadcast(([r.id for r in drawn], _unit([r.v for r in drawn]) if drawn else None))
+
+    def run(batches):
+        names, asked = sent.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            close = np.round(asked @ _numbers(batch.column(1)).T, 6)
+            best = np.argsort(-close, axis=1, kind="stable")[:, : k + 1]
+            src = pa.array(names, batch.column(0).type).take(pa.array(np.repeat(np.arange(len(names)), best.shape[1])))
+            yield pa.RecordBatch.from_arrays([src, batch.column(0).take(pa.array(best.ravel())), pa.array(np.take_along_axis(close, best, 1).ravel())], names=["src", "dst", "score"])
 
-def nn_descent(vectors: DataFrame, k: int, width: int = 24, leaf: int = 64, trees: int = 3, rounds: int = 8, seed: int = 11, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+    return _kept(rows.mapInArrow(run, f"src {kind}, dst {kind}, score double").where("src <> dst"), k).select("src", "dst")
+
+
+def nn_descent(vectors: DataFrame, k: int, width: int = 24, leaf: int = 2_048, trees: int = 4, rounds: int = 2, recall: float = 0.95, seed: int = 11, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(src, dst, score, rank): about the ``k`` nearest others of each vector by cosine, without comparing all pairs.
 
-    Each vector keeps ``width`` neighbours. They start as the nearest within leaves of random hyperplanes, drawn
-    anew for each of ``trees``, so that leaves overlap. In a round every vector's neighbourhood (half of ``width`` of its neighbours, and as many of those that have it as a
-    neighbour, both drawn by a hash of the pair and the round) is compared within itself, as neighbours of a neighbour
-    are likely neighbours: at most ``width`` members and their ``width`` nearest, so n * width ** 2 rows. Rounds end
-    when fewer than one in a thousand neighbours changes. A crowded leaf is cut into blocks by a hash. Each round is
-    written down. Recall is approximate and measured in a test.
+    Neighbours start as the nearest within leaves of random hyperplanes, which are compared as matrices, and are drawn anew
+    for each tree: ``trees`` first, then as many as it takes until ``recall`` of the true neighbours of ``ASKED`` drawn vectors
+    are found. A tree costs n * leaf products; how many it takes depends on how alike neighbours are: in 64 dimensions of noise
+    all but as many as comparing all pairs does. In a round every vector's neighbourhood (half of ``width`` of its neighbours,
+    and as many of those that have it as a neighbour, both drawn by a hash of the pair and the round) is compared within
+    itself, as neighbours of a neighbour are likely neighbours; pairs that can't be among the ``width`` best of a vector
+    don't leave their row. Rounds end when fewer than one in a thousand neighbours changes. Each round is written down.
     """
-    rows = cut(sound(vectors, id_col, vector_col).dropDuplicates(["id"]))
-    kind = rows.schema["id"].dataType.simpleString()
-    start = None
-    for tree in range(trees):
-        placed = _leaves(rows, seed + tree, leaf)
-        crowd = placed.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / (2 * leaf)).cast("int").alias("parts"))
-        blocks = placed.join(crowd, "leaf").groupBy("leaf", F.pmod(F.xxhash64("id", F.lit(seed)), F.col("parts")).alias("part")).agg(F.collect_list(F.struct("id", "v")).alias("m"))
-        found = _best_within(blocks.select(F.col("m.id").alias("ids"), F.col("m.v").alias("vs")), width, kind)
-        start = found if start is None else start.unionByName(found)
-    graph = cut(_kept(start, width))
+    sounds = sound(vectors, id_col, vector_col).dropDuplicates(["id"])
+    if vectors.schema[vector_col].dataType.simpleString() == "array<float>":
+        sounds = sounds.withColumn("v", F.col("v").cast("array<float>"))
+    rows = cut(sounds)
+    kind, total = rows.schema["id"].dataType.simpleString(), rows.count()
+    bits = max(0, int(np.ceil(np.log2(max(1, total / leaf)))))
+    true = cut(_true(rows, k, ASKED, seed))
+    wanted = true.count()
+    graph, grown, more = None, 0, trees if bits else 1
+    while more:
+        found = _alike(rows, grown, more, bits, leaf, k, seed)
+        graph = cut(_kept(found if graph is None else graph.drop("_r").unionByName(found), width))
+        grown += more
+        share = graph.where(F.col("_r") <= k).join(true, ["src", "dst"], "left_semi").count() / max(1, wanted)
+        need = np.log(1 - recall) / np.log(1 - min(max(share, 0.01), 0.999)) * grown  # were leaves independent
+        more = 0 if share >= recall or grown >= MOST_TREES << bits else max(1, min(16, int(np.ceil(need)) - grown))
     for turn in range(rounds):
         half = width // 2
         drawn = F.row_number().over(Window.partitionBy("at").orderBy("h", "member"))
@@ -219,12 +275,13 @@ def nn_descent(vectors: DataFrame, k: int, width: int = 24, leaf: int = 64, tree
         back = graph.select(F.col("dst").alias("at"), F.col("src").alias("member"), hash_.alias("h"))
         members = [side.withColumn("_r", drawn).where(F.col("_r") <= half).select("at", "member") for side in (out, back)]
         near = members[0].unionByName(members[1]).unionByName(rows.select(F.col("id").alias("at"), F.col("id").alias("member"))).distinct()
-        lists = near.join(rows.select(F.col("id").alias("member"), "v"), "member").groupBy("at").agg(F.collect_list(F.struct("member", "v")).alias("m"))
-        found = _best_within(lists.select(F.col("m.member").alias("ids"), F.col("m.v").alias("vs")), width, kind)
-        after = cut(_kept(graph.unionByName(found), width))
+        last = graph.where(F.col("_r") == width).select(F.col("src").alias("id"), F.col("score").alias("least"))
+        known = rows.join(last, "id", "left").select(F.col("id").alias("member"), "v", F.coalesce("least", F.lit(-2.0)).alias("least"))
+        lists = near.join(known, "member").groupBy("at").agg(F.collect_list(F.struct("member", "v", "least")).alias("m"))
+        found = _met(lists.select(F.col("m.member").alias("ids"), F.col("m.v").alias("vs"), F.col("m.least").alias("least")), kind)
+        after = cut(_kept(graph.drop("_r").unionByName(found), width))
         changed = after.join(graph.select("src", "dst"), ["src", "dst"], "left_anti").count()
-        total = after.count()
         graph = after
-        if changed * 1000 <= total:
+        if changed * 1000 <= after.count():
             break
-    return top_k(graph, "src", "score", "dst", k)
+    return top_k(graph.drop("_r"), "src", "score", "dst", k)

@@ -3,10 +3,11 @@
 import re
 import time
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from chunkloom.functions import text
-from chunkloom.operators import windows
+from chunkloom.operators import ann, windows
 
 
 def seconds(df):
@@ -44,3 +45,15 @@ def test_windows_do_not_carry_their_text(spark):
         want |= {(i, k, x[k * step : k * step + width]) for k in range(n)}
     assert {(r.id, r.window_index, r.text) for r in out.collect()} == want
     assert sum(1 for i, _, _ in want if i == 1) > 2 * windows.BLOCK_WINDOWS
+
+
+def test_descent_of_noise(spark):
+    """Neighbours in noise are hardly alike, so that few of them are neighbours' neighbours."""
+    n, k = 6000, 5
+    x = np.random.default_rng(4).normal(size=(n, 64)).astype(np.float32)
+    got = {(r.src, r.dst) for r in ann.nn_descent(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>"), k).collect()}
+    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    close = x[:500] @ x.T
+    close[np.arange(500), np.arange(500)] = -1
+    want = {(i, int(j)) for i, best in enumerate(np.argsort(-close, axis=1)[:, :k]) for j in best}
+    assert len(got) == n * k and len(got & want) >= 0.9 * len(want)
