@@ -7,7 +7,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from chunkloom.functions import text
-from chunkloom.operators import ann, windows
+from chunkloom.operators import ann, inverted, retrieval, windows
 
 
 def seconds(df):
@@ -57,3 +57,20 @@ def test_descent_of_noise(spark):
     close[np.arange(500), np.arange(500)] = -1
     want = {(i, int(j)) for i, best in enumerate(np.argsort(-close, axis=1)[:, :k]) for j in best}
     assert len(got) == n * k and len(got & want) >= 0.9 * len(want)
+
+
+def test_index_names_a_document_once_a_shard(spark, tmp_path):
+    folder = f"file://{tmp_path}/index"
+    rows = [(k, " ".join(f"w{(k * j) % 37}" for j in range(k % 50))) for k in range(700)] + [(5, "w1 w2 w3 w0 w0"), (5, "w9 w0 w0 w9 w9"), (9, None), (4000, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    inverted.append(docs, folder, "doc_id", text.words)
+    held = spark.read.parquet(f"{folder}/postings/segment=0").agg(F.sum(F.size("ids"))).first()[0]
+    assert held <= len(rows)
+    queries = spark.createDataFrame([(1, "w0 w9"), (2, "w36 w7 w7 nothing")], "query_id long, query string")
+    got = inverted.bm25_topk(spark, folder, queries, 10, text.words)
+    want = retrieval.top_k(retrieval.bm25(docs, queries, "doc_id", text.words), "query_id", "score", "id", 10)
+    assert sorted(map(tuple, got.select("query_id", "id", "score", "rank").collect())) == sorted(map(tuple, want.select("query_id", "id", "score", "rank").collect()))
+    none = f"file://{tmp_path}/none"
+    inverted.append(docs.limit(0), none, "doc_id", text.words)
+    inverted.append(docs, none, "doc_id", text.words)
+    assert inverted.segments(spark, none) == 2 and inverted.bm25_topk(spark, none, queries, 10, text.words).count() == got.count()
