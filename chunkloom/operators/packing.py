@@ -161,7 +161,7 @@ def merged_sections(counts: Column, threshold: int, most: int) -> Column:
 
 def word_lengths(text: Column) -> Column:
     """Characters of each word of a canonical text, negative for the last word of a sentence."""
-    return F.transform(F.split(text, " "), lambda w: F.when(w.rlike(r"[.!?]$"), -F.length(w)).otherwise(F.length(w)).cast("long"))
+    return F.transform(F.split(text, " "), lambda w: F.when(F.right(w, F.lit(1)).isin(".", "!", "?"), -F.length(w)).otherwise(F.length(w)))
 
 
 def sentence_chunks(df: DataFrame, text_col: str, keep: list[str], budget: int, overlap: int, least: int) -> DataFrame:
@@ -202,11 +202,15 @@ def sentence_chunks(df: DataFrame, text_col: str, keep: list[str], budget: int,
 
     known = df.where(F.coalesce(F.col(text_col), F.lit("")) != "")
     chunks = known.withColumn("_chunks", fold(word_lengths(F.col(text_col)), "array<array<bigint>>", run))
-    c = F.col("_c")
-    part = lambda k: F.substr(F.col(text_col), (F.get(c, k) + 1).cast("int"), (F.get(c, k + 1) - F.get(c, k)).cast("int"))
-    joined = F.array_join(F.transform(F.sequence(F.lit(4), F.size(c) - 2, F.lit(2)), part), " ")
-    fields = {"sentence_first": F.get(c, F.lit(0)), "sentence_end": F.get(c, F.lit(1)), "start_char": F.get(c, F.lit(4)), "end_char": F.element_at(c, -1), "token_count": F.get(c, F.lit(2)), "truncated": F.get(c, F.lit(3)) > 0, "text": joined}
-    return chunks.select(*keep, text_col, F.posexplode("_chunks").alias("chunk_no", "_c")).select(*keep, "chunk_no", *(v.alias(n) for n, v in fields.items()))
+
+    def told(c):
+        """A chunk's fields; its texts are cut out inside the row, so that no copy of the whole text goes with each chunk."""
+        part = lambda k: F.substr(F.col(text_col), (F.get(c, k) + 1).cast("int"), (F.get(c, k + 1) - F.get(c, k)).cast("int"))
+        joined = F.array_join(F.transform(F.sequence(F.lit(4), F.size(c) - 2, F.lit(2)), part), " ")
+        fields = {"sentence_first": F.get(c, F.lit(0)), "sentence_end": F.get(c, F.lit(1)), "start_char": F.get(c, F.lit(4)), "end_char": F.element_at(c, -1), "token_count": F.get(c, F.lit(2)), "truncated": F.get(c, F.lit(3)) > 0, "text": joined}
+        return F.struct(*(v.alias(n) for n, v in fields.items()))
+
+    return chunks.select(*keep, F.posexplode(F.transform("_chunks", told)).alias("chunk_no", "_c")).select(*keep, "chunk_no", "_c.*")
 
 
 def rows_per_chunk(header: Column, sample: Column, target: int, least: int = 1, most: int = 100) -> Column:

@@ -2,12 +2,14 @@
 
 import re
 import time
+import weakref
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from chunkloom.functions import text
-from chunkloom.operators import ann, inverted, retrieval, windows
+from chunkloom.functions import folds, text
+from chunkloom.operators import ann, inverted, packing, retrieval, windows
 
 
 def seconds(df):
@@ -74,3 +76,36 @@ def test_index_names_a_document_once_a_shard(spark, tmp_path):
     inverted.append(docs.limit(0), none, "doc_id", text.words)
     inverted.append(docs, none, "doc_id", text.words)
     assert inverted.segments(spark, none) == 2 and inverted.bm25_topk(spark, none, queries, 10, text.words).count() == got.count()
+
+
+class Rows(list):
+    """A list that tells when it goes."""
+
+
+def test_folds_hold_few_results_at_once(spark, monkeypatch):
+    """Of a batch's results no more than a portion are Python's objects at once."""
+    made, held, kept = [], [], {}
+
+    def run(c):
+        rows = Rows([[int(x)] * 6 for x in c])
+        made.append(weakref.ref(rows))
+        held.append(sum(r() is not None for r in made))
+        return rows
+
+    caught = lambda f, *a, **b: kept.setdefault("each", f) and (lambda c: c)
+    for name in ("pandas_udf", "arrow_udf"):
+        monkeypatch.setattr(F, name, lambda *a, **b: (lambda f: caught(f)) if isinstance(a[0], str) else caught(a[0]))
+    folds.fold(F.col("x"), "array<array<bigint>>", run)
+    arrays = pa.array([[k % 7 for k in range(400)]] * 2000 + [None, []])
+    got = kept["each"](arrays)
+    assert max(held) <= 400 and len(got) == 2002 and got.null_count == 1
+    assert got[5].as_py() == [[k % 7] * 6 for k in range(400)] and got[2001].as_py() == []
+
+
+def test_sentence_chunks_do_not_carry_their_text(spark):
+    docs = spark.createDataFrame([(1, "One two three. Four five! " * 400), (2, ""), (3, None), (4, "é" * 50)], "id long, t string")
+    out = packing.sentence_chunks(docs, "t", ["id"], 45, 2, 12)
+    carried = re.findall(r"Generate [^\n]*\[([^\[\]]*)\], false, \[", out._jdf.queryExecution().executedPlan().toString())
+    assert carried and all(c.startswith("id#") and "," not in c for c in carried), carried
+    text_ = ("One two three. Four five! " * 400)
+    assert all(r.text == text_[r.start_char : r.end_char] for r in out.where("id = 1").collect() if r.token_count <= 45)
