@@ -8,8 +8,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from chunkloom import plans
 from chunkloom.functions import folds, text
-from chunkloom.operators import ann, inverted, packing, retrieval, windows
+from chunkloom.operators import ann, graph, inverted, packing, retrieval, windows
 
 
 def seconds(df):
@@ -109,3 +110,13 @@ def test_sentence_chunks_do_not_carry_their_text(spark):
     assert carried and all(c.startswith("id#") and "," not in c for c in carried), carried
     text_ = ("One two three. Four five! " * 400)
     assert all(r.text == text_[r.start_char : r.end_char] for r in out.where("id = 1").collect() if r.token_count <= 45)
+
+
+def test_edges_are_dealt_by_their_number(spark, monkeypatch):
+    sf, seen, cut = "/root/testdata/sf0.001", [], graph.cut
+    run = plans.load()["capped_walk"][0]
+    want = sorted(map(tuple, run(spark, sf).collect()))
+    monkeypatch.setattr(graph, "cut", lambda df: seen.append(df.rdd.getNumPartitions()) or cut(df))
+    monkeypatch.setattr(plans.retrievals, "EDGE_ROWS", 500, raising=False)
+    assert sorted(map(tuple, run(spark, sf).collect())) == want and want
+    assert seen[0] >= spark.read.parquet(f"{sf}/lineitem.parquet").count() // 500
