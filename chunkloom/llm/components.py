@@ -32,7 +32,5 @@ def components(links: DataFrame, left: str = "a", right: str = "b") -> DataFrame
 
 def _stars(edges: DataFrame) -> bool:
     """Whether each node hangs on one node that hangs on none."""
-    several = edges.groupBy("u").count().where("count > 1")
-    if not several.isEmpty():
-        return False
-    return edges.select("v").distinct().join(edges.select("u"), F.col("v") == F.col("u"), "left_semi").isEmpty()
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("holds")).unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("hangs"), F.lit(1).alias("holds")))
+    return ends.groupBy("node").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds")).where("hangs > 1 OR hangs = 1 AND holds = 1").isEmpty()

@@ -72,7 +72,7 @@ def ordered(turns: DataFrame) -> DataFrame:
     first = rows.where("n > 0").groupBy("print").agg(F.min(F.struct("turn")).alias("first"))
     marked = spread_join(rows, first, "print", "left").withColumn("fault", fault(F.col("text"), ~F.col("first.turn").eqNullSafe(F.col("turn"))))
     dealt = marked.drop("print", "first").repartitionByRange("conv", "turn", "role", F.substring("text", 1, 200))
-    return cut(dealt.sortWithinPartitions("conv", "turn", "role", "text").withColumn("part", F.spark_partition_id()))
+    return cut(dealt.sortWithinPartitions("conv", "turn", "role", "text").withColumn("part", F.spark_partition_id()), as_dealt=True)
 
 
 class Run:
