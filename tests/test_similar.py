@@ -1,7 +1,9 @@
 """Near-duplicate clusters against brute force."""
 
+import os
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from chunkloom.functions import text
@@ -73,3 +75,37 @@ def test_no_link_is_missed_that_no_band_holds(spark, monkeypatch):
     got = {r.doc_id: (r.n_shingles, r.cluster) for r in similar.near_duplicates(docs, "doc_id", text.words(F.col("text"))).collect()}
     want = brute(rows)
     assert got == want and len({c for _, c in want.values()}) < 290
+
+
+def test_whole_sets_are_not_written(spark, monkeypatch):
+    """What is written between steps stays below the texts, as whole sets of shingles (8 bytes a word) wouldn't."""
+    rnd, written, cut = random.Random(9), [], similar.cut
+
+    def held():
+        folder = spark.sparkContext._jsc.sc().getCheckpointDir().get().removeprefix("file:")
+        return sum(os.path.getsize(f"{at}/{name}") for at, _, names in os.walk(folder) for name in names)
+
+    def counted(df):
+        out = cut(df)
+        written.append(held())
+        return out
+
+    rows = [(k, " ".join(rnd.choices([f"{x:x}" for x in range(1000)], k=1500))) for k in range(400)]
+    docs = spark.createDataFrame(rows + [(k + 400, t) for k, t in rows], "doc_id long, text string")
+    cut(docs.limit(1))
+    began = held()
+    monkeypatch.setattr(similar, "cut", counted)
+    got = {r.doc_id: r.cluster for r in similar.near_duplicates(docs, "doc_id", text.words(F.col("text"))).collect()}
+    assert got == {k: k % 400 for k in range(800)}
+    assert max(written) - began < sum(len(t) for _, t in rows)
+
+
+def test_sketches_bound_the_overlap_from_above():
+    rnd = np.random.default_rng(2)
+    for _ in range(200):
+        whole = rnd.integers(0, 1 << 63, rnd.integers(1, 3000)).astype(np.uint64)
+        a, b = (np.sort(rnd.choice(whole, rnd.integers(1, len(whole) + 1), replace=False)) for _ in "ab")
+        sketch = lambda s: np.packbits(np.isin(np.arange(size := 1 << max(6, int(8 * len(s) - 1).bit_length())), (s % np.uint64(size)).astype(int))).tobytes()
+        most, true = similar.most_shared(len(a), sketch(a), len(b), sketch(b)), len(np.intersect1d(a, b))
+        alike = min(len(a), len(b)) >= max(100, 0.8 * max(len(a), len(b)))
+        assert true <= most <= min(len(a), len(b)) and (not alike or most <= true + 0.3 * min(len(a), len(b)))
