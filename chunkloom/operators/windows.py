@@ -29,23 +29,31 @@ def token_windows(df: DataFrame, tokens: str, width: int, overlap: int, keep: li
     return out.select(*keep, "window_index", "token_start", end.alias("token_end"), (end - F.col("token_start")).alias("token_count"), text.alias("text"))
 
 
-def char_windows(df: DataFrame, text: str, budget: int, overlap_tokens: int, keep: list[str], most: int = 1000) -> DataFrame:
+def char_windows(df: DataFrame, text: str, budget: int, overlap_tokens: int, keep: list[str]) -> DataFrame:
     """Windows of a long line by its whole characters per token: at least 200 wide, stepping on by the rest of the
-    overlap, ``most`` of them.
+    overlap, to the text's end.
 
-    A text is cut into blocks of ``BLOCK_WINDOWS`` windows and these into windows inside its row, so that no copy of the
-    whole text goes with each window, and a window is looked for from its block's start.
+    A text is cut into blocks of ``BLOCK_WINDOWS`` of ``BLOCK_WINDOWS`` of ``BLOCK_WINDOWS`` windows, and these on into
+    windows, inside its row, so that no copy of the whole text goes with each window, and a window is looked for from
+    its block's start.
     """
     counted = df.select(*keep, F.col(text).alias("_x"), F.length(text).alias("_n"), F.size(F.filter(F.split(text, r"\s+"), lambda t: t != "")).alias("_t"))
-    each = F.greatest(F.lit(1), F.floor(F.col("_n") / F.greatest(F.col("_t"), F.lit(1))).cast("int"))
-    width = F.greatest(F.lit(200), each * budget)
-    sized = counted.select(*keep, "_x", "_n", width.alias("_w"), F.greatest(F.lit(1), width - each * overlap_tokens).alias("_s"))
-    last = F.least(F.lit(most - 1), F.greatest(F.lit(0), F.ceil((F.col("_n") - F.col("_w")) / F.col("_s")).cast("int")))
-    placed = sized.select(*keep, "_x", "_w", "_s", last.alias("_l"))
-    size = F.lit(BLOCK_WINDOWS)
-    blocks = F.transform(F.sequence(F.lit(0), F.floor(F.col("_l") / size).cast("int")), lambda g: F.substr("_x", g * size * F.col("_s") + 1, (size - 1) * F.col("_s") + F.col("_w")))
-    cut = lambda b, g: F.transform(F.sequence(F.lit(0), F.least(size - 1, F.col("_l") - g * size)), lambda k: F.substr(b, k * F.col("_s") + 1, F.col("_w")))
-    return placed.select(*keep, F.posexplode(F.flatten(F.transform(blocks, cut))).alias("window_index", "text"))
+    each = F.greatest(F.lit(1), F.floor(F.col("_n") / F.greatest(F.col("_t"), F.lit(1)))).cast("long")
+    # no wider than the text, which then is one window: a long word's width exceeds an int
+    width = F.least(F.greatest(F.lit(200), each * budget), F.greatest(F.lit(200), F.col("_n"))).cast("int")
+    sized = counted.select(*keep, "_x", "_n", width.alias("_w"), F.greatest(F.lit(1), width - each * overlap_tokens).cast("int").alias("_s"))
+    last = F.greatest(F.lit(0), F.ceil((F.col("_n") - F.col("_w")) / F.col("_s")).cast("int"))
+    placed = sized.select(*keep, "_x", "_n", "_w", "_s", last.alias("_l"))
+
+    def cut(held: Column, left: Column, size: int) -> Column:
+        """The windows of a text whose last one is number ``left``, by way of blocks of ``size`` windows."""
+        reach = F.least((size - 1) * F.col("_s").cast("long") + F.col("_w"), F.greatest(F.col("_n"), F.lit(1)).cast("long")).cast("int")
+        parts = F.transform(F.sequence(F.lit(0), F.floor(left / size).cast("int")), lambda g: F.substr(held, g * size * F.col("_s") + 1, reach))
+        if size == 1:
+            return parts
+        return F.flatten(F.transform(parts, lambda b, g: cut(b, F.least(F.lit(size - 1), left - g * size), size // BLOCK_WINDOWS)))
+
+    return placed.select(*keep, F.posexplode(cut(F.col("_x"), F.col("_l"), BLOCK_WINDOWS**3)).alias("window_index", "text"))
 
 
 def tumbling(number: Column, size: int) -> Column:

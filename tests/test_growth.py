@@ -50,6 +50,22 @@ def test_windows_do_not_carry_their_text(spark):
     assert sum(1 for i, _, _ in want if i == 1) > 2 * windows.BLOCK_WINDOWS
 
 
+def test_windows_reach_the_end(spark, monkeypatch):
+    """More windows than a thousand, through all levels of blocks, and a word so long that a width would exceed an int."""
+    rows = [(1, "ab " * 300_000), (2, "x" * 11_000_000), (3, "wörd " * 9_000), (4, "ab " * 130), (5, "")]
+    docs = spark.createDataFrame(rows, "id long, x string")
+    want = set()
+    for i, x in rows:
+        each = max(1, len(x) // max(1, len(x.split())))
+        width = max(200, each * 200)
+        step = max(1, width - each * 20)
+        want |= {(i, k, hash(x[k * step : k * step + width])) for k in range(1 + max(0, -(-(len(x) - width) // step)))}
+    assert sum(i == 1 for i, _, _ in want) > 1500
+    for size in (windows.BLOCK_WINDOWS, 3):
+        monkeypatch.setattr(windows, "BLOCK_WINDOWS", size)
+        assert {(r.id, r.window_index, hash(r.text)) for r in windows.char_windows(docs, "x", 200, 20, ["id"]).collect()} == want
+
+
 def test_descent_of_noise(spark):
     """Neighbours in noise are hardly alike, so that few of them are neighbours' neighbours."""
     n, k = 6000, 5
